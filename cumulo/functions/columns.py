@@ -72,20 +72,27 @@ def slot(arr, i: int) -> Column:
     return F.get(col_(arr), F.lit(i))
 
 
-def activity_word(dates, as_of) -> Column:
-    """32-bit activity word over an array of dates.
+def activity_word(dates: str, as_of) -> Column:
+    """32-bit activity word over an array-of-dates column.
 
     Bit 31 is the as-of day, bit 0 is 31 days back; dates outside 0..31 days
     back are ignored, duplicates count once. A fold over the (small, bounded)
     per-row array replaces the reference's cross join with a date series.
+    `as_of` is a date / ISO string (a run parameter) or a column name.
     """
-    d = F.array_distinct(col_(dates))
-    a = col_(as_of)
-    return F.aggregate(
-        d, F.lit(0).cast("long"),
-        lambda acc, x: acc + F.when(
-            (F.datediff(a, x) >= 0) & (F.datediff(a, x) <= 31),
-            F.shiftleft(F.lit(1).cast("long"), 31 - F.datediff(a, x))).otherwise(F.lit(0).cast("long")))
+    import datetime as _dt
+    if isinstance(as_of, (_dt.date, str)) and not (isinstance(as_of, str) and not _is_iso(as_of)):
+        a = f"DATE'{as_of}'"
+    else:
+        a = f"`{as_of}`"
+    return F.expr(
+        f"aggregate(array_distinct(`{dates}`), 0L, (acc, x) -> acc + "
+        f"IF(datediff({a}, x) BETWEEN 0 AND 31, shiftleft(1L, 31 - datediff({a}, x)), 0L))")
+
+
+def _is_iso(s: str) -> bool:
+    import re
+    return re.fullmatch(r"\d{4}-\d{2}-\d{2}", s) is not None
 
 
 def word_bits(word, mask: int = WORD_MASK) -> Column:

@@ -1 +1,184 @@
-"""placeholder"""
+"""Queries over date lists, activity words and month arrays (P10-P17) on web events."""
+
+from __future__ import annotations
+
+import datetime
+
+from pyspark.sql import functions as F
+
+from cumulo.operators import activity as AC
+from cumulo.operators.joins import join_bounded_dimension
+from cumulo.plans import adapters as A
+from cumulo.plans.registry import query
+from cumulo.sources.io import upsert
+from cumulo.plans.sqlparts import DEVICES, WEB, with_
+
+W20 = WEB.format(mod=20)
+ASOF = "lastday AS (SELECT MAX(event_date) AS d FROM web)"
+ONE_DAY = datetime.timedelta(days=1)
+
+
+def _web(spark, sf):
+    return A.web_events(spark, sf)
+
+
+def _last_day(web):
+    return AC.run_date(web)
+
+
+def _dates_str(c="dates_active"):
+    return F.array_join(F.col(c).cast("array<string>"), ",")
+
+
+def _datelist(web, keys, drop_null=True):
+    last = _last_day(web)
+    days = AC.active_days(web, keys, drop_null_keys=drop_null)
+    prev = AC.datelist_backfill(days, keys, last - ONE_DAY)
+    return AC.datelist_step(prev, days, keys, last)
+
+
+DATELIST_SQL = with_(W20, DEVICES, ASOF) + """SELECT {keys}, array_to_string(list_sort(list(DISTINCT event_date)), ',') AS dates_active,
+  CAST(COUNT(DISTINCT event_date) AS INTEGER) AS n_dates, (SELECT d FROM lastday) AS date
+FROM {src} WHERE event_date <= (SELECT d FROM lastday) {where} GROUP BY {keys}"""
+
+
+@query("user_datelist", DATELIST_SQL.format(keys="user_id", src="web", where="AND user_id IS NOT NULL"))
+def q_user_datelist(spark, sf):
+    """P10: users' date lists: backfill to the day before the last, then one step."""
+    d = _datelist(_web(spark, sf), ["user_id"])
+    return d.select("user_id", _dates_str().alias("dates_active"),
+                    F.size("dates_active").alias("n_dates"), "date")
+
+
+@query("user_device_datelist", DATELIST_SQL.format(
+    keys="user_id, browser_type", src="web JOIN devices USING (device_id)", where="AND user_id IS NOT NULL"))
+def q_user_device_datelist(spark, sf):
+    """P10 by (user, browser): events joined to the device dimension first."""
+    web = join_bounded_dimension(_web(spark, sf), A.devices(spark, sf), "device_id", how="inner")
+    d = _datelist(web, ["user_id", "browser_type"])
+    return d.select("user_id", "browser_type", _dates_str().alias("dates_active"),
+                    F.size("dates_active").alias("n_dates"), "date")
+
+
+@query("host_datelist", DATELIST_SQL.format(keys="host", src="web", where=""))
+def q_host_datelist(spark, sf):
+    """P10 by host (NULL hosts kept, as in the reference)."""
+    d = _datelist(_web(spark, sf), ["host"], drop_null=False)
+    return d.select("host", _dates_str().alias("dates_active"), F.size("dates_active").alias("n_dates"), "date")
+
+
+WORD_SQL = with_(W20, ASOF, """dd AS (SELECT DISTINCT user_id, event_date FROM web
+  WHERE user_id IS NOT NULL AND event_date <= (SELECT d FROM lastday)),
+words AS (SELECT user_id, CAST(SUM(CASE WHEN datediff('day', event_date, (SELECT d FROM lastday)) BETWEEN 0 AND 31
+  THEN CAST(1 AS BIGINT) << (31 - datediff('day', event_date, (SELECT d FROM lastday))) ELSE 0 END) AS BIGINT) AS datelist_int
+  FROM dd GROUP BY user_id)""")
+
+
+def _words(spark, sf):
+    web = _web(spark, sf)
+    last = _last_day(web)
+    d = _datelist(web, ["user_id"])
+    return AC.datelist_int(d, ["user_id"], last)
+
+
+@query("datelist_int", WORD_SQL + "SELECT user_id, datelist_int FROM words")
+def q_datelist_int(spark, sf):
+    """32-day activity word from the users' date lists."""
+    return _words(spark, sf)
+
+
+@query("datelist_metrics", WORD_SQL + """SELECT user_id,
+  bit_count(datelist_int) > 0 AS monthly_active, CAST(bit_count(datelist_int) AS INTEGER) AS l32,
+  bit_count(datelist_int & 4261412864) > 0 AS weekly_active,
+  CAST(bit_count(datelist_int & 4261412864) AS INTEGER) AS l7,
+  bit_count(datelist_int & 33292288) > 0 AS weekly_active_previous_week FROM words""")
+def q_datelist_metrics(spark, sf):
+    """Monthly / weekly activity from the word."""
+    return AC.datelist_metrics(_words(spark, sf), ["user_id"])
+
+
+def _daily_hits(web):
+    return AC.active_days(web, ["user_id"])
+
+
+def _month_hits(spark, sf):
+    web = _web(spark, sf)
+    last = _last_day(web)
+    daily = _daily_hits(web)
+    prev = AC.month_array_backfill(daily, ["user_id"], last - ONE_DAY, [("hit_array", "num_hits")])
+    return AC.month_array_step(prev, daily, ["user_id"], last, [("hit_array", "num_hits")])
+
+
+MONTH_SQL = with_(W20, ASOF, """mon AS (SELECT CAST(date_trunc('month', d) AS DATE) AS m, d FROM lastday),
+daily AS (SELECT {keys}, event_date, {vals} FROM web
+  WHERE {notnull} event_date BETWEEN (SELECT m FROM mon) AND (SELECT d FROM mon) GROUP BY {keys}, event_date),
+ks AS (SELECT {keys}, MIN(event_date) AS first_found_date FROM daily GROUP BY {keys}),
+grid AS (SELECT ks.*, CAST(UNNEST(range((SELECT m FROM mon), (SELECT d FROM mon) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS day FROM ks),
+filled AS (SELECT grid.*, {filled} FROM grid LEFT JOIN daily ON {joinon} AND daily.event_date = grid.day)""")
+
+
+@query("month_hits", MONTH_SQL.format(keys="user_id", vals="COUNT(*) AS num_hits", notnull="user_id IS NOT NULL AND",
+                                      filled="daily.num_hits", joinon="daily.user_id = grid.user_id")
+       + """SELECT user_id, CAST((SELECT m FROM mon) AS DATE) AS month_start, first_found_date,
+  array_to_string(list(COALESCE(CAST(num_hits AS VARCHAR), 'null') ORDER BY day), ',') AS hit_array,
+  (SELECT d FROM mon) AS date_partition FROM filled GROUP BY user_id, first_found_date""")
+def q_month_hits(spark, sf):
+    """NULL-padded month arrays of daily hits; one step on top of the backfill."""
+    m = _month_hits(spark, sf)
+    return m.select("user_id", "month_start", "first_found_date",
+                    F.array_join(F.col("hit_array").cast("array<string>"), ",", "null").alias("hit_array"),
+                    "date_partition")
+
+
+@query("day_slot_totals", MONTH_SQL.format(keys="user_id", vals="COUNT(*) AS num_hits", notnull="user_id IS NOT NULL AND",
+                                           filled="daily.num_hits", joinon="daily.user_id = grid.user_id")
+       + """SELECT CAST((SELECT m FROM mon) AS DATE) AS month_start,
+  CAST(SUM(CASE WHEN day = (SELECT m FROM mon) THEN COALESCE(num_hits, 0) ELSE 0 END) AS BIGINT) AS num_hits_first_day,
+  CAST(SUM(CASE WHEN day = (SELECT m FROM mon) + 1 THEN COALESCE(num_hits, 0) ELSE 0 END) AS BIGINT) AS num_hits_second_day,
+  CAST(SUM(CASE WHEN day = (SELECT m FROM mon) + 2 THEN COALESCE(num_hits, 0) ELSE 0 END) AS BIGINT) AS num_hits_third_day
+FROM filled""")
+def q_day_slot_totals(spark, sf):
+    """Totals of the first three day slots across users (out-of-range slots count 0)."""
+    m = _month_hits(spark, sf)
+    return AC.slot_totals(m, "hit_array", ["month_start"], [0, 1, 2],
+                          ["num_hits_first_day", "num_hits_second_day", "num_hits_third_day"])
+
+
+@query("metric_array_daily", with_(W20, ASOF) + """SELECT 'site_hits' AS metric_name, event_date, COUNT(*) AS value
+FROM web WHERE user_id IS NOT NULL AND event_date BETWEEN date_trunc('month', (SELECT d FROM lastday)) AND (SELECT d FROM lastday)
+GROUP BY event_date""")
+def q_metric_array_daily(spark, sf):
+    """P14 + A8 + P17: zero-padded metric arrays, upserted on (user, month, metric), then summed back to days."""
+    web = _web(spark, sf)
+    last = _last_day(web)
+    daily = _daily_hits(web)
+    prev = AC.month_array_backfill(daily, ["user_id"], last - ONE_DAY, [("metric_array", "num_hits")],
+                                   pad=0, first_found_col=None).withColumn("metric_name", F.lit("site_hits"))
+    step = AC.month_array_step(prev, daily, ["user_id"], last, [("metric_array", "num_hits")], pad=0,
+                               first_found_col=None).withColumn("metric_name", F.lit("site_hits"))
+    table = upsert(prev, step, ["user_id", "month_start", "metric_name"])
+    return AC.metric_array_to_daily(table, ["metric_name"])
+
+
+@query("host_month_reduced", MONTH_SQL.format(
+    keys="host", vals="COUNT(*) AS hits, COUNT(DISTINCT user_id) AS visitors", notnull="",
+    filled="daily.hits, daily.visitors", joinon="daily.host IS NOT DISTINCT FROM grid.host")
+       + """SELECT host, CAST((SELECT m FROM mon) AS DATE) AS month,
+  array_to_string(list(COALESCE(hits, 0) ORDER BY day), ',') AS hit_array,
+  array_to_string(list(COALESCE(visitors, 0) ORDER BY day), ',') AS unique_visitors_array
+FROM filled GROUP BY host""")
+def q_host_month_reduced(spark, sf):
+    """Parallel hit and unique-visitor month arrays per host, zero padded."""
+    web = _web(spark, sf)
+    last = _last_day(web)
+    daily = AC.active_days(web, ["host"], drop_null_keys=False).join(
+        web.groupBy("host", "event_date").agg(F.count_distinct("user_id").alias("visitors")),
+        on=["host", "event_date"], how="inner")
+    ms = [("hit_array", "num_hits"), ("unique_visitors_array", "visitors")]
+    prev = AC.month_array_backfill(daily, ["host"], last - ONE_DAY, ms, pad=0, first_found_col=None,
+                                   month_col="month")
+    step = AC.month_array_step(prev, daily, ["host"], last, ms, pad=0, first_found_col=None, month_col="month")
+    return step.select("host", "month",
+                       F.array_join(F.col("hit_array").cast("array<string>"), ",").alias("hit_array"),
+                       F.array_join(F.col("unique_visitors_array").cast("array<string>"), ",")
+                       .alias("unique_visitors_array"))
