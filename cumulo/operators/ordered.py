@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cumulo.session import ensure_checkpoint_dir
+
 
 def _slices(df: DataFrame, slices: int | None) -> int:
     if slices:
@@ -28,13 +30,19 @@ def ordinal_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """Add the 1-based position of each row inside `keys` ordered by `order`
     (which must be a total order within a key) and running sums of `sums`.
 
-    Shuffles: one range exchange on (keys, order), one hash exchange on
-    (slice, keys) for the local windows; slice totals are small.
+    Shuffles: one range exchange on (keys, order) (checkpointed), one hash
+    exchange on (slice, keys) for the local windows; slice totals are small.
     """
     keys, order, sums = list(keys), list(order), dict(sums or {})
     base = df.select("*", *[c.alias(f"_v_{n}") for n, c in sums.items()])
     r = (base.repartitionByRange(_slices(df, slices), *[F.col(c) for c in keys + order])
          .withColumn("_slice", F.spark_partition_id()))
+    # The slice id depends on the range bounds, which are sampled from the
+    # input partitions; two consumers planned separately (and re-coalesced by
+    # AQE) could disagree. A reliable checkpoint fixes the slices once and
+    # also cuts the lineage at this stage boundary.
+    ensure_checkpoint_dir(df.sparkSession)
+    r = r.checkpoint(eager=True)
     wl = (Window.partitionBy("_slice", *keys).orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = r.select("*", F.count(F.lit(1)).over(wl).alias("_l_n"),

@@ -1 +1,131 @@
-"""placeholder"""
+"""Analytical-pattern queries (P21-P27) and dedup probes."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cumulo.operators import analytics as AN
+from cumulo.operators.clean import duplicate_keys
+from cumulo.operators.joins import join_bounded_dimension
+from cumulo.plans import adapters as A
+from cumulo.plans.registry import query
+from cumulo.plans.sqlparts import DEVICES, GAMES, GD, GD_DEDUP, WEB, with_
+
+W20 = WEB.format(mod=20)
+GD_ORDER = ["line_no", "pts", "reb", "ast"]
+
+
+def _gdd(spark, sf):
+    return AN.dedup(A.game_details(spark, sf), ["game_id", "team_id", "player_id"], GD_ORDER)
+
+
+@query("dedup_facts", with_(GD, GD_DEDUP) + "SELECT * FROM gdd")
+def q_dedup_facts(spark, sf):
+    """One box-score row per (game, team, player), first by line number."""
+    return _gdd(spark, sf)
+
+
+@query("duplicate_keys", with_(GD) + """SELECT game_id, team_id, player_id, COUNT(*) AS num_rows
+FROM gd GROUP BY 1, 2, 3 HAVING COUNT(*) > 1""")
+def q_duplicate_keys(spark, sf):
+    """Keys that occur more than once."""
+    return duplicate_keys(A.game_details(spark, sf), ["game_id", "team_id", "player_id"])
+
+
+@query("dashboard_rollup", with_(W20, DEVICES) + """, aug AS (
+  SELECT COALESCE(os_type, 'unknown') AS os_type, COALESCE(device_type, 'unknown') AS device_type,
+         COALESCE(browser_type, 'unknown') AS browser_type FROM web JOIN devices USING (device_id))
+SELECT CASE WHEN GROUPING(os_type) = 0 AND GROUPING(device_type) = 0 AND GROUPING(browser_type) = 0
+            THEN 'os_type__device_type__browser'
+            WHEN GROUPING(browser_type) = 0 THEN 'browser_type'
+            WHEN GROUPING(device_type) = 0 THEN 'device_type'
+            WHEN GROUPING(os_type) = 0 THEN 'os_type' END AS aggregation_level,
+  COALESCE(os_type, '(overall)') AS os_type, COALESCE(device_type, '(overall)') AS device_type,
+  COALESCE(browser_type, '(overall)') AS browser_type, COUNT(*) AS number_of_hits
+FROM aug GROUP BY GROUPING SETS ((browser_type, device_type, os_type), (browser_type), (os_type), (device_type))""")
+def q_dashboard_rollup(spark, sf):
+    """Hits by (browser, device, os) and by each alone in one scan."""
+    ev = join_bounded_dimension(A.web_events(spark, sf), A.devices(spark, sf), "device_id", how="inner")
+    return AN.dashboard_rollup(ev)
+
+
+REF_CLASS_SQL = """CASE WHEN referrer LIKE '%linkedin%' THEN 'Linkedin' WHEN referrer LIKE '%t.co%' THEN 'Twitter'
+  WHEN referrer LIKE '%google%' THEN 'Google' WHEN referrer LIKE '%lnkd%' THEN 'Linkedin'
+  WHEN referrer LIKE '%example.com%' THEN 'On Site' ELSE referrer END"""
+
+TRAFFIC_MIN_TOTAL = 100
+
+
+@query("traffic_windows", with_(W20, DEVICES) + """, aug AS (
+  SELECT url, """ + REF_CLASS_SQL + """ AS referrer, event_date FROM web JOIN devices USING (device_id)),
+agg AS (SELECT url, referrer, event_date, COUNT(*) AS count FROM aug GROUP BY 1, 2, 3),
+win AS (SELECT referrer, url, event_date, count,
+  SUM(count) OVER (PARTITION BY referrer, url, date_trunc('month', event_date)) AS month_total,
+  SUM(count) OVER (PARTITION BY referrer, url) AS total,
+  SUM(count) OVER (PARTITION BY referrer, url ORDER BY event_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS weekly_rolling_count,
+  SUM(count) OVER (PARTITION BY referrer, url ORDER BY event_date ROWS BETWEEN 13 PRECEDING AND 7 PRECEDING) AS previous_weekly_rolling_count
+  FROM agg)
+SELECT referrer, url, event_date, count, CAST(weekly_rolling_count AS BIGINT) AS weekly_rolling_count,
+  CAST(previous_weekly_rolling_count AS BIGINT) AS previous_weekly_rolling_count,
+  CAST(count AS DOUBLE) / month_total AS pct_of_month, CAST(count AS DOUBLE) / total AS pct_of_total
+FROM win WHERE total > """ + str(TRAFFIC_MIN_TOTAL) + " AND referrer IS NOT NULL")
+def q_traffic_windows(spark, sf):
+    """Referrer class, weekly / previous week rolling counts, month and total shares."""
+    ev = join_bounded_dimension(A.web_events(spark, sf), A.devices(spark, sf), "device_id", how="inner")
+    return AN.traffic_windows(ev, own_patterns=["%example.com%"], min_total=TRAFFIC_MIN_TOTAL)
+
+
+TEAM_WIN_SQL = """CASE WHEN g.home_team_id = d.team_id THEN g.home_team_wins
+  ELSE CASE WHEN g.home_team_wins = 0 THEN 1 ELSE 0 END END"""
+
+
+@query("grouping_answers", with_(GD, GD_DEDUP, GAMES, """dg AS (
+  SELECT d.*, COALESCE(d.pts, 0) AS p, g.season, """ + TEAM_WIN_SQL + """ AS team_win
+  FROM gdd d LEFT JOIN games g ON d.game_id = g.game_id),
+tr AS (SELECT game_id, team_id, MAX(team_win) AS team_win FROM dg GROUP BY 1, 2),
+tw AS (SELECT team_id, CAST(SUM(team_win) AS BIGINT) AS total_wins FROM tr GROUP BY 1),
+ds AS (SELECT player_name, team_abbreviation, season, SUM(p) AS total_points, MAX(total_wins) AS total_wins,
+  GROUPING(player_name) AS gp, GROUPING(team_abbreviation) AS gt, GROUPING(season) AS gs
+  FROM dg JOIN tw ON dg.team_id = tw.team_id
+  GROUP BY GROUPING SETS ((player_name, team_abbreviation), (player_name, season), (team_abbreviation))),
+ans AS (SELECT CASE WHEN gp = 0 AND gt = 0 THEN 1 WHEN gp = 0 AND gs = 0 THEN 2 ELSE 3 END AS n,
+  CASE WHEN gp = 1 THEN CAST(total_wins AS DOUBLE) ELSE total_points END AS v,
+  CASE WHEN gp = 1 THEN team_abbreviation ELSE player_name END AS a FROM ds),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY n ORDER BY v DESC, a DESC) AS rn FROM ans)""")
+       + """SELECT CASE n WHEN 1 THEN 'who scored the most points playing for one team?'
+  WHEN 2 THEN 'who scored the most points in one season?' ELSE 'which team has won the most games?' END AS question,
+  a AS answer, v AS vals FROM ranked WHERE rn = 1""")
+def q_grouping_answers(spark, sf):
+    """P24 (+ P27): three answers from one grouping-sets scan."""
+    return AN.grouping_answers(_gdd(spark, sf), A.games(spark, sf))
+
+
+@query("best_rolling_90", with_(GD, GAMES, """ds AS (SELECT DISTINCT d.game_id, g.game_date, d.team_id, """
+                                + TEAM_WIN_SQL + """ AS team_win FROM gd d LEFT JOIN games g ON d.game_id = g.game_id),
+w AS (SELECT team_id, SUM(team_win) OVER (PARTITION BY team_id ORDER BY game_date, game_id
+  ROWS BETWEEN 89 PRECEDING AND CURRENT ROW) AS s FROM ds),
+best AS (SELECT team_id, CAST(MAX(s) AS BIGINT) AS max_in_window FROM w GROUP BY 1)""")
+       + "SELECT * FROM best WHERE max_in_window = (SELECT MAX(max_in_window) FROM best)")
+def q_best_rolling_90(spark, sf):
+    """P25: most wins in any 90-game stretch; every team tied for the best."""
+    d = AN.team_win(A.game_details(spark, sf), A.games(spark, sf))
+    ds = d.select("game_id", "game_date", "team_id", "team_win").distinct()
+    r = AN.best_rolling(ds, "team_id", ["game_date", "game_id"], "team_win", 90)
+    return r.select("team_id", F.col("max_in_window").cast("bigint").alias("max_in_window"))
+
+
+@query("longest_streak", with_(GD, GD_DEDUP, GAMES, """ds AS (SELECT d.player_id, d.game_id, g.game_date,
+  CASE WHEN COALESCE(d.pts, 0) > 10 THEN 1 ELSE 0 END AS over_10
+  FROM (SELECT player_id, game_id, SUM(pts) AS pts FROM gdd GROUP BY 1, 2) d LEFT JOIN games g ON d.game_id = g.game_id),
+grp AS (SELECT player_id, over_10,
+  ROW_NUMBER() OVER (PARTITION BY player_id ORDER BY game_date, game_id)
+  - ROW_NUMBER() OVER (PARTITION BY player_id, over_10 ORDER BY game_date, game_id) AS grp FROM ds),
+lens AS (SELECT player_id, grp, COUNT(*) AS len FROM grp WHERE over_10 = 1 GROUP BY 1, 2)""")
+       + "SELECT player_id, CAST(MAX(len) AS BIGINT) AS longest_streak FROM lens GROUP BY 1")
+def q_longest_streak(spark, sf):
+    """Longest run of consecutive games with more than 10 points, per player."""
+    gdd = _gdd(spark, sf)
+    per_game = gdd.groupBy("player_id", "game_id").agg(F.sum("pts").alias("pts"))
+    g = A.games(spark, sf).select("game_id", "game_date")
+    ds = per_game.join(g, on="game_id", how="left")
+    return AN.longest_streak(ds, "player_id", ["game_date", "game_id"], F.coalesce(F.col("pts"), F.lit(0.0)) > 10)
