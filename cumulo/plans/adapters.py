@@ -139,3 +139,40 @@ def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("CITY_"), F.col("n_regionkey").cast("string")).alias("city"),
         F.concat(F.lit("ARENA_"), F.col("n_nationkey").cast("string")).alias("arena"),
         (F.lit(1946) + F.col("n_nationkey")).cast("bigint").alias("yearfounded"))
+
+
+def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders -> matches: map := customer % 5 (a region), playlist := priority."""
+    o = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"])
+    return o.select(F.col("o_orderkey").alias("match_id"), (F.col("o_custkey") % 5).alias("mapid"),
+                    (F.col("o_orderstatus") != "P").alias("is_team_game"),
+                    F.col("o_orderpriority").alias("playlist_id"),
+                    F.col("o_orderdate").alias("completion_date"))
+
+
+def match_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem -> one row per (match, player): kills := sum of quantities, deaths := lines."""
+    li = load(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey", "l_quantity"])
+    return (li.groupBy(F.col("l_orderkey").alias("match_id"),
+                       F.concat(F.lit("gamer_"), F.col("l_suppkey").cast("string")).alias("player_gamertag"))
+            .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("player_total_kills"),
+                 F.count(F.lit(1)).alias("player_total_deaths")))
+
+
+def medals_matches_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem -> medal awards: medal := part, count := line number."""
+    li = load(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey", "l_partkey", "l_linenumber"])
+    return li.select(F.col("l_orderkey").alias("match_id"),
+                     F.concat(F.lit("gamer_"), F.col("l_suppkey").cast("string")).alias("player_gamertag"),
+                     F.col("l_partkey").alias("medal_id"), F.col("l_linenumber").alias("count"))
+
+
+def medals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = load(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type"])
+    return p.select(F.col("p_partkey").alias("medal_id"), F.col("p_name").alias("name"),
+                    F.col("p_type").alias("description"))
+
+
+def maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = load(spark, sf_dir, "region", ["r_regionkey", "r_name"])
+    return r.select(F.col("r_regionkey").cast("bigint").alias("mapid"), F.col("r_name").alias("name"))

@@ -77,3 +77,13 @@ GD_DEDUP = """gdd AS (
 
 def with_(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
+
+MATCHES = """matches AS (SELECT o_orderkey AS match_id, o_custkey % 5 AS mapid, o_orderstatus <> 'P' AS is_team_game,
+  o_orderpriority AS playlist_id, o_orderdate AS completion_date FROM orders),
+details AS (SELECT l_orderkey AS match_id, 'gamer_' || CAST(l_suppkey AS VARCHAR) AS player_gamertag,
+  CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS player_total_kills, COUNT(*) AS player_total_deaths
+  FROM lineitem GROUP BY 1, 2),
+mmp AS (SELECT l_orderkey AS match_id, 'gamer_' || CAST(l_suppkey AS VARCHAR) AS player_gamertag,
+  l_partkey AS medal_id, l_linenumber AS count FROM lineitem),
+medals AS (SELECT p_partkey AS medal_id, p_name AS name, p_type AS description FROM part),
+maps AS (SELECT CAST(r_regionkey AS BIGINT) AS mapid, r_name AS name FROM region)"""
