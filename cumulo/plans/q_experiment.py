@@ -1 +1,58 @@
-"""placeholder"""
+"""Experiment queries (N1-N4) on web events."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cumulo.operators import experiment as X
+from cumulo.plans import adapters as A
+from cumulo.plans.registry import query
+from cumulo.plans.sqlparts import WEB, with_
+
+W20 = WEB.format(mod=20)
+
+
+def _users(web):
+    return X.per_user_outcomes(web, "user_id", F.col("url") == "/purchase",
+                               F.round(F.col("value") * 100).cast("bigint"))
+
+
+@query("experiment_cells")
+def q_experiment_cells(spark, sf):
+    """Hash-assigned cells (control + two variants) per user, with exposures.
+    No SQL oracle: the hash is Spark's xxhash64."""
+    users = A.web_events(spark, sf).select("user_id").distinct()
+    return X.assign_cells(users, "user_id", "homepage_test",
+                          (("control", 34), ("variant_a", 33), ("variant_b", 33)))
+
+
+@query("experiment_readout", with_(W20, """u AS (SELECT user_id, MAX(CASE WHEN url = '/purchase' THEN 1 ELSE 0 END) AS converted,
+  CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS value_cents,
+  CASE WHEN user_id % 2 = 0 THEN 'control' ELSE 'treatment' END AS cell FROM web GROUP BY user_id),
+g AS (SELECT cell, COUNT(*) AS users, CAST(SUM(converted) AS BIGINT) AS conversions,
+  CAST(SUM(value_cents) AS BIGINT) AS s, CAST(SUM(value_cents * value_cents) AS BIGINT) AS ss FROM u GROUP BY cell),
+h AS (SELECT cell, users, conversions, CAST(conversions AS DOUBLE) / CAST(users AS DOUBLE) AS conversion_rate,
+  CAST(s AS DOUBLE) / CAST(users AS DOUBLE) / 100.0 AS mean_value,
+  CASE WHEN users > 1 THEN (CAST(ss AS DOUBLE) - CAST(s AS DOUBLE) * CAST(s AS DOUBLE) / CAST(users AS DOUBLE))
+    / (CAST(users AS DOUBLE) - 1.0) / 10000.0 END AS var_value FROM g),
+c AS (SELECT CAST(users AS DOUBLE) AS cn, CAST(conversions AS DOUBLE) AS ck FROM h WHERE cell = 'control')""")
+       + """SELECT cell, users, conversions, conversion_rate, mean_value, var_value,
+  conversion_rate / (ck / cn) - 1.0 AS lift,
+  CASE WHEN cell <> 'control' THEN (conversion_rate - ck / cn) /
+    sqrt(((CAST(conversions AS DOUBLE) + ck) / (CAST(users AS DOUBLE) + cn)) *
+         (1.0 - (CAST(conversions AS DOUBLE) + ck) / (CAST(users AS DOUBLE) + cn)) * (1.0 / CAST(users AS DOUBLE) + 1.0 / cn)) END AS z
+FROM h, c""")
+def q_experiment_readout(spark, sf):
+    """Readout per cell; cells here by user parity so the SQL oracle can reproduce them."""
+    users = _users(A.web_events(spark, sf)).withColumn(
+        "cell", F.when(F.col("user_id") % 2 == 0, "control").otherwise("treatment"))
+    return X.experiment_readout(users)
+
+
+@query("daily_kpis", with_(W20) + """SELECT event_date, COUNT(DISTINCT user_id) AS dau, COUNT(*) AS events,
+  COUNT(*) FILTER (WHERE host = 'click') AS clicks, COUNT(*) FILTER (WHERE host = 'view') AS views,
+  CAST(COUNT(*) FILTER (WHERE host = 'click') AS DOUBLE) / CAST(COUNT(*) FILTER (WHERE host = 'view') AS DOUBLE) AS ctr,
+  COUNT(*) FILTER (WHERE host = 'purchase') AS purchases FROM web GROUP BY event_date""")
+def q_daily_kpis(spark, sf):
+    """DAU, click-through and purchases per day."""
+    return X.daily_kpis(A.web_events(spark, sf), "user_id", "host")
