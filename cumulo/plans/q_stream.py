@@ -1 +1,49 @@
-"""placeholder"""
+"""Batch forms of the stream jobs (L3-L6) on events: same transforms as the streams."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cumulo.plans import adapters as A
+from cumulo.plans.registry import query
+from cumulo.plans.sqlparts import WEB, with_
+from cumulo.streaming import windows as SW
+
+W20 = WEB.format(mod=20)
+SESSIONS_SQL = with_(W20, """o AS (SELECT user_id, host, event_time,
+  LAG(event_time) OVER (PARTITION BY user_id, host ORDER BY event_time) AS prev FROM web),
+f AS (SELECT *, CASE WHEN prev IS NULL OR event_time - prev > INTERVAL 5 MINUTE THEN 1 ELSE 0 END AS new FROM o),
+s AS (SELECT *, SUM(new) OVER (PARTITION BY user_id, host ORDER BY event_time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM f),
+sess AS (SELECT user_id, host, MIN(event_time) AS session_start, MAX(event_time) + INTERVAL 5 MINUTE AS session_end,
+  COUNT(*) AS num_hits FROM s GROUP BY user_id, host, sid)""")
+
+
+def _web(spark, sf):
+    return A.web_events(spark, sf)
+
+
+@query("tumbling_5m", with_(W20) + """SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start, host,
+  COUNT(*) AS num_hits FROM web GROUP BY 1, 2""")
+def q_tumbling_5m(spark, sf):
+    """L3: hits per 5-minute tumbling window and host."""
+    return SW.tumbling_counts(_web(spark, sf), "event_time", ["host"])
+
+
+@query("tumbling_5m_by_type", with_(W20) + """SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start, host,
+  referrer, COUNT(*) AS num_hits FROM web GROUP BY 1, 2, 3""")
+def q_tumbling_5m_by_type(spark, sf):
+    """L4: hits per 5-minute window, host and referrer."""
+    return SW.tumbling_counts(_web(spark, sf), "event_time", ["host", "referrer"])
+
+
+@query("sessions", SESSIONS_SQL + "SELECT * FROM sess")
+def q_sessions(spark, sf):
+    """5-minute-gap sessions per (user, host)."""
+    return SW.sessions(_web(spark, sf), "event_time", ["user_id", "host"])
+
+
+@query("session_report", SESSIONS_SQL + """SELECT host, COUNT(*) AS num_sessions, CAST(SUM(num_hits) AS BIGINT) AS num_events,
+  CAST(SUM(num_hits) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_events_per_session FROM sess GROUP BY host""")
+def q_session_report(spark, sf):
+    """Sessions, events and mean events per session per host."""
+    return SW.session_report(SW.sessions(_web(spark, sf), "event_time", ["user_id", "host"]))
