@@ -129,3 +129,13 @@ def q_longest_streak(spark, sf):
     g = A.games(spark, sf).select("game_id", "game_date")
     ds = per_game.join(g, on="game_id", how="left")
     return AN.longest_streak(ds, "player_id", ["game_date", "game_id"], F.coalesce(F.col("pts"), F.lit(0.0)) > 10)
+
+
+@query("referrer_class", with_(W20) + "SELECT " + REF_CLASS_SQL + """ AS referrer_class, COUNT(*) AS num_events
+FROM web GROUP BY 1""")
+def q_referrer_class(spark, sf):
+    """Referrer classed by LIKE patterns, first match wins; unmatched keep their value."""
+    from cumulo.functions.columns import DEFAULT_REFERRER_PATTERNS, pattern_class
+    pats = list(DEFAULT_REFERRER_PATTERNS) + [("%example.com%", "On Site")]
+    return (A.web_events(spark, sf).groupBy(pattern_class("referrer", pats).alias("referrer_class"))
+            .agg(F.count(F.lit(1)).alias("num_events")))
