@@ -98,35 +98,56 @@ def entity_spine(facts: DataFrame, key: Sequence[str], period_col: str, last_per
     return firsts.select(*key, F.explode(F.sequence(F.col("_first"), last.cast("int"))).alias(period_col))
 
 
+def fill_gaps(active: DataFrame, key: Sequence[str], period_col: str, last_period,
+              src_col: str = "_src", step=None) -> DataFrame:
+    """Dense (entity, period) rows generated from the active rows alone.
+
+    Each active row is repeated for its own period and every following
+    period up to the entity's next active period (or `last_period`), so
+    the grid comes out of one window (lead) per entity plus a generator:
+    no spine table and no join back to the facts. `src_col` keeps the
+    active period the row was copied from. Integer periods by default;
+    pass `step="date"` for day periods.
+    """
+    key = list(key)
+    last = last_period if isinstance(last_period, Column) else F.lit(last_period)
+    w = Window.partitionBy(*key).orderBy(period_col)
+    nxt = F.lead(period_col).over(w)
+    if step == "date":
+        upto = F.coalesce(F.date_sub(nxt, 1), last.cast("date"))
+    else:
+        upto = F.coalesce(nxt - 1, last.cast("int"))
+    others = [c for c in active.columns if c != period_col]
+    marked = active.filter(F.col(period_col) <= last).select(*others, F.col(period_col).alias(src_col),
+                                                             upto.alias("_upto"))
+    return marked.select(*others, src_col, F.explode(F.sequence(F.col(src_col), F.col("_upto"))).alias(period_col))
+
+
 def cumulate_backfill(facts: DataFrame, key: Sequence[str], period_col: str, *,
                       struct_cols: Sequence[str], measure: str, thresholds, default_class: str,
                       last_period=None, static: DataFrame | None = None,
                       history: str = "history", class_col: str = "scoring_class") -> DataFrame:
     """Every snapshot in one pass.
 
-    Spine (entity x period) left-joined to the facts, then a running
-    `collect_list` per entity over its periods. The window partition is one
-    entity's periods, bounded by the number of periods. Static attributes
-    come from `static` (already one row per key) by a key join.
+    A running `collect_list` per entity over its active periods, then
+    `fill_gaps` repeats each snapshot over the inactive periods that follow
+    it. Both windows are one entity's periods (bounded by the number of
+    periods) and share one exchange on the key. Static attributes come
+    from `static` (one row per key) by a key join.
     """
     key = list(key)
     if last_period is None:
         last_period = facts.agg(F.max(period_col)).scalar()
-    spine = entity_spine(facts, key, period_col, last_period)
-    f = facts.select(*key, period_col, F.struct(*struct_cols).alias("_s"),
-                     F.col(measure).alias("_m"))
     w = (Window.partitionBy(*key).orderBy(period_col)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    j = spine.join(f, on=[*key, period_col], how="left")
-    hist = j.select(*key, period_col,
-                    F.collect_list("_s").over(w).alias(history),
-                    F.last("_m", ignorenulls=True).over(w).alias("_last_m"),
-                    F.max(F.when(F.col("_s").isNotNull(), F.col(period_col))).over(w).alias("_last_p"))
-    out = hist.select(
+    hist = facts.select(*key, period_col, F.col(measure).alias("_m"),
+                        F.collect_list(F.struct(*struct_cols)).over(w).alias(history))
+    dense = fill_gaps(hist, key, period_col, last_period)
+    out = dense.select(
         *key, history,
-        classify("_last_m", thresholds, default_class).alias(class_col),
-        (F.col(period_col) - F.col("_last_p")).cast("int").alias("years_since_last_active"),
-        (F.col("_last_p") == F.col(period_col)).alias("is_active"),
+        classify("_m", thresholds, default_class).alias(class_col),
+        (F.col(period_col) - F.col("_src")).cast("int").alias("years_since_last_active"),
+        (F.col("_src") == F.col(period_col)).alias("is_active"),
         F.col(period_col).alias("current_period"))
     if static is not None:
         out = out.join(static, on=key, how="left")
@@ -165,11 +186,6 @@ def snapshot_states(facts: DataFrame, key: Sequence[str], period_col: str, *, me
     key = list(key)
     if last_period is None:
         last_period = facts.agg(F.max(period_col)).scalar()
-    spine = entity_spine(facts, key, period_col, last_period)
-    w = (Window.partitionBy(*key).orderBy(period_col)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    j = spine.join(facts.select(*key, period_col, F.col(measure).alias("_m")),
-                   on=[*key, period_col], how="left")
-    return j.select(*key, period_col,
-                    classify(F.last("_m", ignorenulls=True).over(w), thresholds, default_class).alias(class_col),
-                    F.col("_m").isNotNull().alias("is_active"))
+    dense = fill_gaps(facts.select(*key, period_col, F.col(measure).alias("_m")), key, period_col, last_period)
+    return dense.select(*key, period_col, classify("_m", thresholds, default_class).alias(class_col),
+                        (F.col("_src") == F.col(period_col)).alias("is_active"))

@@ -68,30 +68,35 @@ def growth_accounting_backfill(active: DataFrame, key: str, last_date, date_col:
                                with_dates: bool = True) -> DataFrame:
     """P18 backfill: every (user, day) from the first active day to `last_date`.
 
-    Spine by `explode(sequence(first, last))`; the previous state is a
-    window over one user's days (bounded by the number of days). Equal to
-    folding `growth_accounting_step` day by day.
+    From the distinct active days alone: one window per user over its
+    active days (lag, first day, running date list; bounded by the number
+    of days), then `fill_gaps` generates the inactive days in between.
+    No spine join. Equal to folding `growth_accounting_step` day by day.
     """
+    from cumulo.operators.cumulative import fill_gaps
     days = active.select(key, date_col).distinct()
-    first = days.groupBy(key).agg(F.min(date_col).alias("first_active_date"))
-    spine = first.select(key, "first_active_date",
-                         F.explode(F.sequence("first_active_date", _d(last_date))).alias("date"))
-    j = spine.join(days.select(key, F.col(date_col).alias("date"), F.col(date_col).alias("_today")),
-                   on=[key, "date"], how="left")
-    w = Window.partitionBy(key).orderBy("date")
-    upto_prev = w.rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(key).orderBy(date_col)
     upto_now = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev_last = F.max("_today").over(upto_prev)
-    exists = F.col("date") > F.col("first_active_date")
-    prev_date = F.date_sub(F.col("date"), 1)
-    cols = [key, "first_active_date",
-            F.max("_today").over(upto_now).alias("last_active_date"),
-            _daily_state(exists, prev_last, prev_date, F.col("_today")).alias("daily_active_state"),
-            _weekly_state(exists, prev_last, prev_date, F.col("_today")).alias("weekly_active_state")]
+    cols = [key, date_col,
+            F.min(date_col).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+             .alias("first_active_date"),
+            F.lag(date_col).over(w).alias("_prev_active")]
     if with_dates:
-        cols.append(F.collect_list("_today").over(upto_now).alias("dates_active"))
-    cols.append("date")
-    return j.select(*cols)
+        cols.append(F.collect_list(date_col).over(upto_now).alias("dates_active"))
+    marked = days.select(*cols)
+    dense = fill_gaps(marked, [key], date_col, _d(last_date), src_col="_src", step="date")
+    g = F.col(date_col)
+    today = F.when(g == F.col("_src"), g)
+    prev_last = F.when(g == F.col("_src"), F.col("_prev_active")).otherwise(F.col("_src"))
+    exists = g > F.col("first_active_date")
+    prev_date = F.date_sub(g, 1)
+    out = [key, "first_active_date", F.col("_src").alias("last_active_date"),
+           _daily_state(exists, prev_last, prev_date, today).alias("daily_active_state"),
+           _weekly_state(exists, prev_last, prev_date, today).alias("weekly_active_state")]
+    if with_dates:
+        out.append("dates_active")
+    out.append(g.alias("date"))
+    return dense.select(*out)
 
 
 def retention_curve(growth: DataFrame) -> DataFrame:
