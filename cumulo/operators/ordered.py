@@ -70,3 +70,50 @@ def shifted(df: DataFrame, keys: Sequence[str], idx_col: str, by: int,
     other = df.select(*keys, (F.col(idx_col) + by).alias(idx_col),
                       *[F.col(c).alias(prefix + c) for c in cols])
     return df.join(other, on=[*keys, idx_col], how="left")
+
+
+def sessionize(df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int, order: Sequence[str] = (),
+               count_col: str = "num_hits", slices: int | None = None) -> DataFrame:
+    """Batch sessions per key: a new session starts when the time since the
+    key's previous event exceeds `gap_seconds` (exactly one gap still
+    merges, as Spark's session windows do); a session ends `gap_seconds`
+    after its last event.
+
+    Skew-safe, one pass: rows are range-sliced on (key, time) and
+    checkpointed; inside each (slice, key) a local window flags starts,
+    counting the slice's first row as a start provisionally; a small table
+    with one row per (slice, key) fixes that first row from the previous
+    slice's last event and turns the flags into global session numbers.
+    Sessions are then a partial aggregate on (key, session number).
+    """
+    keys = list(keys)
+    order = [ts, *order]
+    secs = F.col(ts).cast("timestamp").cast("double")   # seconds; timestamp_ntz read in the session time zone
+    base = df.select(*keys, *[c for c in order], secs.alias("_t"))
+    r = (base.repartitionByRange(_slices(df, slices), *[F.col(c) for c in keys + order])
+         .withColumn("_slice", F.spark_partition_id()))
+    ensure_checkpoint_dir(df.sparkSession)
+    r = r.checkpoint(eager=True)
+    wl = Window.partitionBy("_slice", *keys).orderBy(*order)
+    prev_t = F.lag("_t").over(wl)
+    start = F.when(prev_t.isNull() | (F.col("_t") - prev_t > gap_seconds), 1).otherwise(0)
+    local = r.select("*", start.alias("_start"))
+    local = local.select("*", F.sum("_start").over(wl.rowsBetween(Window.unboundedPreceding, 0)).alias("_l_sid"))
+    per = local.groupBy("_slice", *keys).agg(F.min("_t").alias("_first_t"), F.max("_t").alias("_last_t"),
+                                            F.sum("_start").alias("_prov"))
+    wo = Window.partitionBy(*keys).orderBy("_slice")
+    prev_last = F.lag("_last_t").over(wo)
+    # the slice's first row is a true start unless the previous slice's last event is within the gap
+    first_true = F.when(prev_last.isNotNull() & (F.col("_first_t") - prev_last <= gap_seconds), 0).otherwise(1)
+    fixed = per.select("_slice", *keys, (first_true - 1).alias("_fix"),
+                       (F.col("_prov") + first_true - 1).alias("_true"))
+    off = fixed.select("_slice", *keys, "_fix",
+                       F.coalesce(F.sum("_true").over(wo.rowsBetween(Window.unboundedPreceding, -1)),
+                                  F.lit(0)).alias("_off"))
+    j = local.join(off, on=["_slice", *keys], how="inner")
+    sid = F.col("_off") + F.col("_l_sid") + F.col("_fix")
+    rows = j.select(*keys, ts, sid.alias("_sid"))
+    g = rows.groupBy(*keys, "_sid").agg(F.min(ts).alias("session_start"), F.max(ts).alias("_last"),
+                                        F.count(F.lit(1)).alias(count_col))
+    return g.select(*keys, "session_start",
+                    (F.col("_last") + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("session_end"), count_col)

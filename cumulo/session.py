@@ -24,6 +24,8 @@ DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # merge session windows inside each input partition before the shuffle
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

@@ -84,3 +84,25 @@ def test_state_changes_labels(spark):
                    (1, 2004): "Retired", (2, 2001): "New", (2, 2003): "Retired", (2, 2004): "Stayed Retired",
                    (3, 2000): "New", (3, 2001): "Retired", (3, 2003): "Stayed Retired",
                    (3, 2004): "Returned from Retirement"}
+
+
+def test_sessionize_matches_session_window_on_hot_key(spark):
+    import datetime as dt
+
+    from cumulo.operators.ordered import sessionize
+    from cumulo.streaming.windows import sessions
+    rnd = random.Random(11)
+    t0 = dt.datetime(2024, 1, 1)
+    rows, t = [], t0
+    for i in range(4000):                      # one hot key: gaps around the 300 s threshold
+        t += dt.timedelta(seconds=rnd.choice([10, 120, 299, 300, 301, 900]))
+        rows.append(("hot", "h", t))
+    for k in range(30):
+        t = t0
+        for _ in range(rnd.randint(1, 20)):
+            t += dt.timedelta(seconds=rnd.choice([60, 300, 1000]))
+            rows.append((f"u{k}", "h", t))
+    df = spark.createDataFrame(rows, "user string, host string, ts timestamp_ntz")
+    got = sessionize(df, ["user", "host"], "ts", 300, slices=9)
+    want = sessions(df, "ts", ["user", "host"], "300 seconds")
+    assertDataFrameEqual(got, want)
