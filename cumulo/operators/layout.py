@@ -85,9 +85,17 @@ def top_filtered_group(facts: DataFrame, dim: DataFrame, dim_key: str, dim_filte
 
 def medal_facts(details: DataFrame, medals_players: DataFrame, key: str = "match_id",
                 player: str = "player_gamertag", medal: str = "medal_id") -> DataFrame:
-    """K6: full join of details and medals on (match, player), medals summed per (match, player, medal)."""
-    j = details.select(key, player).distinct().join(medals_players, on=[key, player], how="full")
-    return j.groupBy(key, player, medal).agg(F.sum("count").cast("bigint").alias("medal_count"))
+    """K6: medals per (match, player, medal), full-joined with the players of
+    each match on (match, player).
+
+    Medals are summed per (match, player, medal) *before* the join (partial
+    aggregate): AQE cannot split skewed partitions of a full outer join, so
+    the join only ever sees one row per medal kind of a (match, player);
+    the details side is distinct on the key, so nothing multiplies.
+    """
+    med = medals_players.groupBy(key, player, medal).agg(F.sum("count").cast("bigint").alias("medal_count"))
+    return details.select(key, player).distinct().join(med, on=[key, player], how="full") \
+        .select(key, player, medal, "medal_count")
 
 
 def cached_reports(facts: DataFrame, entity: str, other: str, measure: str) -> DataFrame:
