@@ -46,19 +46,24 @@ def build_session(master: str | None = None, app: str = "cumulo",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the checkpoint directory, setting a scratch one only when unset.
 
     On a cluster `spark.checkpoint.dir` names shared storage and is left alone;
-    the fallback exists for local runs and tests.
+    the fallback exists for local runs and tests. Sessions without a local
+    SparkContext (Spark Connect) keep whatever the server is configured with.
     """
-    current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getConf().get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        sc.setCheckpointDir(current)
         return current
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    jdir = sc._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         return jdir.get()
     path = tempfile.mkdtemp(prefix="cumulo-ckpt-", dir=os.environ.get("CUMULO_SCRATCH", "/tmp"))
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
