@@ -12,6 +12,21 @@ from cumulo.functions.columns import DEFAULT_REFERRER_PATTERNS, pattern_class, s
 from cumulo.operators.ordered import ordinal_running, shifted
 
 
+# Lifecycle labels (P23), keyed by (played now, played before).
+STATE_LABELS = {"new": "New", "retired": "Retired", "continued": "Continued Playing",
+                "returned": "Returned from Retirement", "stayed_retired": "Stayed Retired"}
+
+# The three questions answered by `grouping_answers` (P24), in order.
+QUESTIONS = ("who scored the most points playing for one team?",
+             "who scored the most points in one season?",
+             "which team has won the most games?")
+
+# Dashboard labels.
+ALL_DIMS_LABEL = "os_type__device_type__browser"
+OVERALL = "(overall)"
+UNKNOWN = "unknown"
+
+
 def state_changes(facts: DataFrame, key: Sequence[str], period_col: str, out: str = "state") -> DataFrame:
     """New / Retired / Continued Playing / Returned from Retirement / Stayed Retired.
 
@@ -31,11 +46,12 @@ def state_changes(facts: DataFrame, key: Sequence[str], period_col: str, out: st
         *key, period_col, F.coalesce(F.col("_played"), F.lit(0)).alias("played"))
     w = Window.partitionBy(*key).orderBy(period_col)
     prev = F.lag("played").over(w)
-    label = (F.when((F.col("played") == 1) & prev.isNull(), "New")
-             .when((F.col("played") == 0) & (prev == 1), "Retired")
-             .when((F.col("played") == 1) & (prev == 1), "Continued Playing")
-             .when((F.col("played") == 1) & (prev == 0), "Returned from Retirement")
-             .otherwise("Stayed Retired"))
+    L = STATE_LABELS
+    label = (F.when((F.col("played") == 1) & prev.isNull(), L["new"])
+             .when((F.col("played") == 0) & (prev == 1), L["retired"])
+             .when((F.col("played") == 1) & (prev == 1), L["continued"])
+             .when((F.col("played") == 1) & (prev == 0), L["returned"])
+             .otherwise(L["stayed_retired"]))
     return flags.select(*key, period_col, label.alias(out))
 
 
@@ -43,17 +59,17 @@ def dashboard_rollup(df: DataFrame, dims: Sequence[str] = ("browser_type", "devi
                      label_col: str = "aggregation_level", count_col: str = "number_of_hits") -> DataFrame:
     """Hits by all dimensions and by each alone, in one scan (Expand)."""
     b, d, o = dims
-    filled = df.select(*[F.coalesce(F.col(c), F.lit("unknown")).alias(c) for c in dims])
+    filled = df.select(*[F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) for c in dims])
     g = filled.groupingSets([[b, d, o], [b], [o], [d]], b, d, o).agg(
         F.count(F.lit(1)).alias(count_col),
         *[F.grouping(c).alias(f"_g_{c}") for c in dims])
     level = (F.when((F.col(f"_g_{o}") == 0) & (F.col(f"_g_{d}") == 0) & (F.col(f"_g_{b}") == 0),
-                    f"{o}__{d}__browser")
+                    ALL_DIMS_LABEL)
              .when(F.col(f"_g_{b}") == 0, b)
              .when(F.col(f"_g_{d}") == 0, d)
              .when(F.col(f"_g_{o}") == 0, o))
     return g.select(level.alias(label_col),
-                    *[F.coalesce(F.col(c), F.lit("(overall)")).alias(c) for c in (o, d, b)],
+                    *[F.coalesce(F.col(c), F.lit(OVERALL)).alias(c) for c in (o, d, b)],
                     count_col)
 
 
@@ -137,9 +153,8 @@ def grouping_answers(details: DataFrame, games: DataFrame, *, player: str = "pla
     answer = F.when(q == 3, F.col(team)).otherwise(F.col(player))
     best = (g.select(q.alias("n"), F.struct(metric.alias("v"), answer.alias("a")).alias("s"))
             .groupBy("n").agg(F.max("s").alias("best")))
-    question = (F.when(F.col("n") == 1, "who scored the most points playing for one team?")
-                .when(F.col("n") == 2, "who scored the most points in one season?")
-                .otherwise("which team has won the most games?"))
+    question = (F.when(F.col("n") == 1, QUESTIONS[0]).when(F.col("n") == 2, QUESTIONS[1])
+                .otherwise(QUESTIONS[2]))
     return best.select(question.alias("question"), F.col("best.a").alias("answer"),
                        F.col("best.v").alias("vals"))
 

@@ -42,8 +42,9 @@ def sessions(df: DataFrame, ts: str, by: Sequence[str], gap: str = "5 minutes",
              count_col: str = "num_hits") -> DataFrame:
     """Session windows per key: events at most `gap` apart share a session
     (T21: exactly one gap apart still merges); the session ends `gap` after
-    its last event. Spark merges sessions map-side before the shuffle, so a
-    hot key ships partial sessions, not raw events."""
+    its last event. This is the streaming form (state per key in the state
+    store, local merging enabled in `cumulo.session`); batch jobs over
+    skewed keys use `operators.ordered.sessionize`."""
     g = df.groupBy(F.session_window(F.col(ts), gap).alias("_s"), *by).agg(F.count(F.lit(1)).alias(count_col))
     return g.select(*by, F.col("_s.start").alias("session_start"), F.col("_s.end").alias("session_end"), count_col)
 
