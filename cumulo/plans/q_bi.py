@@ -83,8 +83,12 @@ def q_events_devices(spark, sf):
 FROM web LEFT JOIN nation ON n_nationkey = web.device_id""")
 def q_geo_lookup(spark, sf):
     """Location JSON per event from a lookup table ('{}' when unknown)."""
+    return geo_enrich(_web(spark, sf, 30), locations(spark, sf), "device_id").select("event_id", "geodata")
+
+
+def locations(spark, sf):
+    """nation -> location table keyed like the events' device id (25 rows)."""
     n = load(spark, sf, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-    loc = n.select(F.col("n_nationkey").cast("bigint").alias("device_id"), F.col("n_name").alias("country"),
-                   F.concat(F.lit("REGION_"), F.col("n_regionkey").cast("string")).alias("state"),
-                   F.concat(F.lit("CITY_"), F.col("n_nationkey").cast("string")).alias("city"))
-    return geo_enrich(_web(spark, sf, 30), loc, "device_id").select("event_id", "geodata")
+    return n.select(F.col("n_nationkey").cast("bigint").alias("device_id"), F.col("n_name").alias("country"),
+                    F.concat(F.lit("REGION_"), F.col("n_regionkey").cast("string")).alias("state"),
+                    F.concat(F.lit("CITY_"), F.col("n_nationkey").cast("string")).alias("city"))

@@ -49,3 +49,25 @@ def q_sessions(spark, sf):
 def q_session_report(spark, sf):
     """Sessions, events and mean events per session per host."""
     return SW.session_report(sessionize(_web(spark, sf), ["user_id", "host"], "event_time", 300))
+
+
+@query("landing_enrich", with_(WEB.format(mod=30)) + """SELECT event_id, date_trunc('millisecond', event_time) AS event_timestamp,
+  CASE WHEN n_nationkey IS NULL THEN '{}' ELSE CAST(json_object('country', n_name,
+    'state', 'REGION_' || CAST(n_regionkey AS VARCHAR), 'city', 'CITY_' || CAST(n_nationkey AS VARCHAR)) AS VARCHAR)
+  END AS geodata
+FROM web LEFT JOIN nation ON n_nationkey = web.device_id""")
+def q_landing_enrich(spark, sf):
+    """L1 (batch form): raw events with string times, as landed by the stream, parsed
+    with the event-time pattern (H8) and enriched with location JSON (U1)."""
+    from cumulo.plans.q_bi import locations
+    raw = _web_raw(spark, sf)
+    landed = SW.enrich_landing(raw, locations(spark, sf), key="device_id")
+    return landed.select("event_id", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
+                         "geodata")
+
+
+def _web_raw(spark, sf):
+    """Web events as the stream lands them: event time as an ISO string."""
+    w = A.web_events(spark, sf, device_mod=30)
+    return w.select("event_id", "device_id", "host", "url", "referrer",
+                    F.date_format(F.col("event_time").cast("timestamp"), SW.EVENT_TIME_PATTERN).alias("event_time"))
