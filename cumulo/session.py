@@ -67,3 +67,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     path = tempfile.mkdtemp(prefix="cumulo-ckpt-", dir=os.environ.get("CUMULO_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def scale_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
+                   max_initial_partitions: int = 200_000) -> dict:
+    """Shuffle and scan sizing for a given input volume.
+
+    With AQE the initial shuffle width only has to be large enough that no
+    reducer gets more than about `target_partition_bytes`; AQE then
+    coalesces small partitions and splits skewed ones at run time. Scan
+    splits use the same size. At 100 TB this gives about 400k initial
+    partitions, capped at `max_initial_partitions` (large shuffles beyond
+    the cap still spill; the skew split handles hot keys).
+    """
+    n = max(1, min(max_initial_partitions, -(-input_bytes // target_partition_bytes)))
+    t = str(target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": t,
+        "spark.sql.files.maxPartitionBytes": t,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict) -> None:
+    """Set runtime SQL settings (static ones are left to the cluster)."""
+    for k, v in settings.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001
+            pass

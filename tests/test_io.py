@@ -62,3 +62,10 @@ def test_layout_and_catalog_helpers(spark, scratch):
     rep = io.layout_report({"a": spark.read.parquet(io.write_partitioned(df, os.path.join(scratch, "l"), ["g"])
                                                     or os.path.join(scratch, "l"))})
     assert rep.first().num_files >= 3
+
+
+def test_scale_settings():
+    from cumulo.session import scale_settings
+    s = scale_settings(100 * 1024 ** 4)
+    assert int(s["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(scale_settings(10 * 1024 ** 3)["spark.sql.shuffle.partitions"]) == 40
