@@ -6,6 +6,8 @@ inside whole-stage codegen; nothing is a Python UDF.
 
 from __future__ import annotations
 
+import datetime
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -80,8 +82,9 @@ def activity_word(dates: str, as_of) -> Column:
     per-row array replaces the reference's cross join with a date series.
     `as_of` is a date / ISO string (a run parameter) or a column name.
     """
-    import datetime as _dt
-    if isinstance(as_of, (_dt.date, str)) and not (isinstance(as_of, str) and not _is_iso(as_of)):
+    if isinstance(as_of, datetime.datetime):
+        as_of = as_of.date()
+    if isinstance(as_of, (datetime.date, str)) and _is_iso(str(as_of)):
         a = f"DATE'{as_of}'"
     else:
         a = f"`{as_of}`"
@@ -91,7 +94,6 @@ def activity_word(dates: str, as_of) -> Column:
 
 
 def _is_iso(s: str) -> bool:
-    import re
     return re.fullmatch(r"\d{4}-\d{2}-\d{2}", s) is not None
 
 

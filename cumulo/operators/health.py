@@ -13,9 +13,9 @@ def missing_partitions(df: DataFrame, date_col: str, start: Column, end: Column,
                        out: str = "missing_date") -> DataFrame:
     """O1: expected days in [start, end] with no rows.
 
-    The expected calendar comes from `explode(sequence(start, end))` on a
-    one-row aggregate of the data itself (bounds may be scalar columns);
-    present days are a distinct aggregate; the anti join is on the date.
+    The expected calendar is `explode(sequence(start, end))` (bounds may be
+    scalar subqueries over the data); present days are a distinct
+    aggregate; the anti join is on the date.
     """
     present = df.select(F.col(date_col).alias(out)).distinct()
     cal = df.sparkSession.range(1).select(F.explode(F.sequence(start, end)).alias(out))

@@ -87,3 +87,11 @@ def test_metric_array_to_daily(spark):
                                "metric_name string, month_start date, metric_array array<long>")
     out = AC.metric_array_to_daily(df, ["metric_name"])
     assert sorted((r.event_date.day, r.value) for r in out.collect()) == [(1, 4), (2, 6), (3, 5)]
+
+
+def test_activity_word_accepts_iso_string_and_column(spark):
+    df = spark.createDataFrame([(1, [D(2023, 1, 31), D(2023, 1, 30)], D(2023, 1, 31))],
+                               "user_id long, dates_active array<date>, as_of date")
+    a = AC.datelist_int(df, ["user_id"], "2023-01-31").first().datelist_int
+    b = AC.datelist_int(df, ["user_id"], "as_of").first().datelist_int
+    assert a == b == (1 << 31) + (1 << 30)
