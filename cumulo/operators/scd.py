@@ -64,37 +64,38 @@ def scd2_step(scd: DataFrame, today: DataFrame, key: Sequence[str], attrs: Seque
     p = F.lit(period)
     base = scd.select(*key, *attrs, start_col, end_col)
     if open_by == "end":
-        is_open = F.col(end_col) == p - 1
-        marked = base.withColumn("_open", is_open)
+        marked = base.withColumn("_open", F.col(end_col) == p - 1)
     elif open_by == "latest":
         w = Window.partitionBy(*key).orderBy(F.col(start_col).desc(), F.col(end_col).desc())
         marked = base.withColumn("_open", F.row_number().over(w) == 1)
     else:
         raise ValueError(open_by)
-    closed = marked.filter(~F.col("_open")).drop("_open")
-    opened = marked.filter(F.col("_open")).select(
-        *key, F.struct(*attrs).alias("_o_a"), F.col(start_col).alias("_o_s"), F.col(end_col).alias("_o_e"))
+    hist = marked.select(*[F.col(k).alias(f"_h_{k}") for k in key], F.struct(*attrs).alias("_o_a"),
+                         F.col(start_col).alias("_o_s"), F.col(end_col).alias("_o_e"), "_open")
     t = today.select(*key, F.struct(*attrs).alias("_t_a"))
-    j = opened.join(t, on=key, how="full")
+    # One full outer join: today's row can only match the key's open row;
+    # closed rows come out unmatched and pass through unchanged.
+    cond = [F.col(f"_h_{k}") == F.col(k) for k in key] + [F.col("_open")]
+    j = hist.join(t, on=cond, how="full")
 
     def row(a, s, e):
-        return F.struct(*[F.col(k) for k in key], *[a[x].alias(x) for x in attrs],
-                        s.alias(start_col), e.alias(end_col))
+        return F.struct(*[F.coalesce(F.col(f"_h_{k}"), F.col(k)).alias(k) for k in key],
+                        *[a[x].alias(x) for x in attrs], s.alias(start_col), e.alias(end_col))
 
-    has_o, has_t = F.col("_o_a").isNotNull(), F.col("_t_a").isNotNull()
+    has_o = F.col("_o_a").isNotNull() & F.col("_open")
+    has_t = F.col("_t_a").isNotNull()
     same = F.col("_o_a").eqNullSafe(F.col("_t_a"))
     old = row(F.col("_o_a"), F.col("_o_s"), F.col("_o_e"))
     extended = row(F.col("_o_a"), F.col("_o_s"), p)
     new = row(F.col("_t_a"), p, p)
-    # A key whose latest row already covers `period` (re-run) is left unchanged.
+    # A key whose open row already covers `period` (re-run) is left unchanged.
     covered = has_o & (F.col("_o_e") >= p)
-    rows = (F.when(covered, F.array(old))
-            .when(has_o & has_t & same, F.array(extended))
-            .when(has_o & has_t, F.array(old, new))
-            .when(has_t, F.array(new))
-            .otherwise(F.array(old)))
-    stepped = j.select(F.inline(rows))
-    return closed.unionByName(stepped).withColumn(current_col, p)
+    rows = (F.when(~has_t, F.array(old))
+            .when(covered, F.array(old))
+            .when(has_o & same, F.array(extended))
+            .when(has_o, F.array(old, new))
+            .otherwise(F.array(new)))
+    return j.select(F.inline(rows)).withColumn(current_col, p)
 
 
 def scd_intervals_valid(scd: DataFrame, key: Sequence[str], start_col: str = "start_period",
