@@ -99,3 +99,28 @@ def test_landing_job_restarts_from_checkpoint(spark, scratch):
     # replaying a batch id overwrites its own partition (idempotent sink)
     R.parquet_writer(sink)(spark.read.parquet(sink).filter("batch_id = 0").drop("batch_id"), 0)
     assert spark.read.parquet(sink).count() == 3
+
+
+def test_two_sinks_on_one_source(spark, scratch):
+    """L4: a second aggregation on the same source definition, each with its own checkpoint."""
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    rows = [_ev("1", "a.example.com", "2024-01-01T00:01:00.000Z"),
+            _ev("2", "a.example.com", "2024-01-01T00:02:00.000Z"),
+            _ev("3", "b.example.com", "2024-01-01T00:07:00.000Z")]
+    rows[0]["referrer"] = "https://t.co/x"
+    _write(src, "a.json", rows)
+    source = R.events_with_time(R.file_source(spark, src))
+    by_host = SW.tumbling_counts(source, "event_timestamp", ["host"])
+    by_ref = SW.tumbling_counts(source, "event_timestamp", ["host", "referrer"])
+    q1 = R.start(by_host, "by_host", mode="complete", trigger_seconds=None, fmt="memory",
+                 checkpoint=os.path.join(scratch, "c1"))
+    q2 = R.start(by_ref, "by_ref", mode="complete", trigger_seconds=None, fmt="memory",
+                 checkpoint=os.path.join(scratch, "c2"))
+    q1.processAllAvailable()
+    q2.processAllAvailable()
+    assert {(r.host, r.num_hits) for r in spark.table("by_host").collect()} == {("a.example.com", 2),
+                                                                                ("b.example.com", 1)}
+    assert spark.table("by_ref").count() == 3
+    q1.stop()
+    q2.stop()
