@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_", "classify", "pattern_class", "season_year", "safe_ratio", "slot",
+    "col_", "classify", "pattern_class", "url_host", "host_pattern_class", "season_year", "safe_ratio", "slot",
     "activity_word", "word_bits", "stable_bucket", "attrs_struct", "ts_parse",
     "domain_match", "DEFAULT_REFERRER_PATTERNS", "LAST7_MASK", "PREV7_MASK", "WORD_MASK",
 ]
@@ -58,6 +58,25 @@ def pattern_class(value, patterns: Sequence[tuple[str, str]] = DEFAULT_REFERRER_
     return fallback if expr is None else expr.otherwise(fallback)
 
 
+def url_host(url) -> Column:
+    """H3: host part of a URL ('https://a.b/c' -> 'a.b') by split and item."""
+    return F.lower(F.split(col_(url), "/").getItem(2))
+
+
+def host_pattern_class(url, patterns: Sequence[tuple[str, str]], default=None) -> Column:
+    """Like `pattern_class`, but each pattern's text ('%t.co%' -> 't.co') must
+    be whole dot-separated labels of the URL's host, so 't.co' matches 't.co'
+    and 'x.t.co' but not 'microsoft.com'. Unmatched rows keep the URL."""
+    host = url_host(url)
+    expr = None
+    for pat, label in patterns:
+        token = pat.strip("%")
+        cond = host.rlike(r"(^|\.)" + re.escape(token) + r"(\.|$)")
+        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
+    fallback = col_(url) if default is None else F.lit(default)
+    return fallback if expr is None else expr.otherwise(fallback)
+
+
 def season_year(date, start_month: int = 10) -> Column:
     """H5: season label; a season starting in `start_month` belongs to that year."""
     d = col_(date)

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cumulo.functions.columns import DEFAULT_REFERRER_PATTERNS, pattern_class, safe_ratio
+from cumulo.functions.columns import DEFAULT_REFERRER_PATTERNS, host_pattern_class, pattern_class, safe_ratio
 from cumulo.operators.ordered import ordinal_running, shifted
 
 
@@ -74,16 +74,22 @@ def dashboard_rollup(df: DataFrame, dims: Sequence[str] = ("browser_type", "devi
 
 
 def traffic_windows(events: DataFrame, *, patterns=DEFAULT_REFERRER_PATTERNS,
-                    own_patterns: Sequence[str] = (), min_total: int = 500) -> DataFrame:
+                    own_patterns: Sequence[str] = (), min_total: int = 500,
+                    match_host: bool = False) -> DataFrame:
     """Daily hits per (url, referrer class) with trend windows.
 
     Windows are per (referrer, url) over days: one row per day after the
     aggregate, so partitions are bounded by the number of days. Previous
     week is rows 13..7 before (T6: the reference's 13..6 overlaps the
     current week). Frames count rows; days without hits are absent.
+    With `match_host` a pattern must be whole labels of the referrer's host
+    (T14: '%t.co%' as LIKE also matches e.g. 'https://www.microsoft.com').
     """
     pats = list(patterns) + [(p, "On Site") for p in own_patterns]
-    ref = pattern_class("referrer", pats)
+    if match_host:
+        ref = host_pattern_class("referrer", pats)
+    else:
+        ref = pattern_class("referrer", pats)
     daily = (events.select("url", ref.alias("referrer"), F.to_date("event_time").alias("event_date"))
              .groupBy("url", "referrer", "event_date").agg(F.count(F.lit(1)).alias("count")))
     w = Window.partitionBy("referrer", "url").orderBy("event_date")

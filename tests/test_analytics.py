@@ -106,3 +106,17 @@ def test_sessionize_matches_session_window_on_hot_key(spark):
     got = sessionize(df, ["user", "host"], "ts", 300, slices=9)
     want = sessions(df, "ts", ["user", "host"], "300 seconds")
     assertDataFrameEqual(got, want)
+
+
+def test_traffic_windows_host_matching(spark):
+    import datetime as dt
+    rows = [("/", "https://www.microsoft.com/x", dt.datetime(2024, 1, d)) for d in range(1, 4)]
+    rows += [("/", "https://t.co/abc", dt.datetime(2024, 1, d)) for d in range(1, 4)]
+    ev = spark.createDataFrame(rows, "url string, referrer string, event_time timestamp_ntz")
+    loose = {r.referrer for r in AN.traffic_windows(ev, min_total=0).collect()}
+    strict = {r.referrer for r in AN.traffic_windows(ev, min_total=0, match_host=True).collect()}
+    assert loose == {"Twitter"}                       # the LIKE pattern also catches microsoft.com
+    assert strict == {"Twitter", "https://www.microsoft.com/x"}
+    prev = {r.event_date.day: r.previous_weekly_rolling_count
+            for r in AN.traffic_windows(ev, min_total=0, match_host=True).filter("referrer = 'Twitter'").collect()}
+    assert prev == {1: None, 2: None, 3: None}

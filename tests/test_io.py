@@ -69,3 +69,14 @@ def test_scale_settings():
     s = scale_settings(100 * 1024 ** 4)
     assert int(s["spark.sql.shuffle.partitions"]) == 200_000
     assert int(scale_settings(10 * 1024 ** 3)["spark.sql.shuffle.partitions"]) == 40
+
+
+def test_year_partition_pruning(spark, scratch):
+    from cumulo.plans import adapters as A
+    from tests.conftest import SF_SMALL
+    path = os.path.join(scratch, "matches_by_year")
+    m = io.with_year_partition(A.matches(spark, SF_SMALL), "completion_date")
+    io.write_partitioned(m, path, ["year"])
+    q = spark.read.parquet(path).filter(F.col("year") == 1996)
+    assert "PartitionFilters: [isnotnull(year" in io.plan_text(q) and "(year" in io.plan_text(q)
+    assert q.count() == m.filter(F.col("year") == 1996).count()
