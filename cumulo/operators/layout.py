@@ -98,11 +98,17 @@ def medal_facts(details: DataFrame, medals_players: DataFrame, key: str = "match
         .select(key, player, medal, "medal_count")
 
 
-def cached_reports(facts: DataFrame, entity: str, other: str, measure: str) -> DataFrame:
-    """One aggregate persisted and read by two reports, returned as
-    one labelled union. The cache is released by the caller (`unpersist`);
-    here the aggregate is small (one row per entity pair)."""
-    agg = facts.groupBy(entity, other).agg(F.sum(measure).alias("total")).persist()
+def cached_reports(facts: DataFrame, entity: str, other: str, measure: str,
+                   agg: DataFrame | None = None) -> DataFrame:
+    """One shared aggregate read by two reports, returned as one
+    labelled union.
+
+    Both reports read the same aggregate subtree, so Spark runs its shuffle
+    once and reuses it (ReusedExchange). A caller that keeps the aggregate
+    for more jobs passes it in persisted, e.g. `with io.cached(agg): ...`.
+    """
+    if agg is None:
+        agg = shared_aggregate(facts, entity, other, measure)
     by_entity = agg.groupBy(entity).agg(F.sum("total").alias("total"),
                                         F.count(F.lit(1)).alias("num_groups"))
     by_other = agg.groupBy(other).agg(F.sum("total").alias("total"), F.count(F.lit(1)).alias("num_groups"))
@@ -112,6 +118,11 @@ def cached_reports(facts: DataFrame, entity: str, other: str, measure: str) -> D
                                          "total", "num_groups")))
 
 
+def shared_aggregate(facts: DataFrame, entity: str, other: str, measure: str) -> DataFrame:
+    """The aggregate behind `cached_reports`: one row per (entity, other)."""
+    return facts.groupBy(entity, other).agg(F.sum(measure).alias("total"))
+
+
 def layout_experiment(df: DataFrame, orders: Mapping[str, Sequence[str]], partition_by: Sequence[str] = (),
                       base: str | None = None) -> DataFrame:
     """Write the same rows once per sort order (sorted within

@@ -35,7 +35,9 @@ def build_session(master: str | None = None, app: str = "cumulo",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    b = (b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+         # checkpoint files are deleted once their RDDs are no longer referenced
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**DEFAULTS, **(extra or {})}.items():

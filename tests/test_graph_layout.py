@@ -67,3 +67,15 @@ def test_pushdown_and_pruning(spark):
     plan = plan_text(ev)
     assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,7)]" in plan
     assert "ReadSchema: struct<user_id:bigint,event_type:string>" in plan
+
+
+def test_cached_reports_with_persisted_aggregate(spark):
+    from cumulo.sources.io import cached
+    facts = L.match_facts(A.match_details(spark, SF_SMALL), A.matches(spark, SF_SMALL),
+                          A.medals_matches_players(spark, SF_SMALL))
+    agg = L.shared_aggregate(facts, "player_gamertag", "playlist_id", "player_total_kills")
+    plain = L.cached_reports(facts, "player_gamertag", "playlist_id", "player_total_kills")
+    with cached(agg):
+        from_cache = L.cached_reports(facts, "player_gamertag", "playlist_id", "player_total_kills", agg=agg)
+        assert "InMemoryRelation" in plan_text(from_cache, "extended") or "InMemoryTableScan" in plan_text(from_cache)
+        assert sorted(from_cache.collect()) == sorted(plain.collect())
