@@ -23,7 +23,7 @@ def restrict_to(df: DataFrame, top: DataFrame, key: str) -> DataFrame:
 
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], key: str, metric: str, k: int,
-                    buckets: int = 64, rank_col: str = "rank") -> DataFrame:
+                    buckets: int | None = None, rank_col: str = "rank") -> DataFrame:
     """M3x: top k keys per group by metric (ties -> smallest key).
 
     Two levels so no group is ranked in one task: keys are first ranked
@@ -31,6 +31,8 @@ def top_k_per_group(df: DataFrame, group: Sequence[str], key: str, metric: str,
     (at most k x buckets per group) are ranked per group.
     """
     group = list(group)
+    if buckets is None:   # as wide as a shuffle, so each first-level group is a slice of one
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(metric).desc(), F.col(key)]
     b = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
     w1 = Window.partitionBy(*group, b).orderBy(*order)
