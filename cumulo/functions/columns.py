@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_", "classify", "pattern_class", "url_host", "host_pattern_class", "season_year", "safe_ratio", "slot",
+    "col_", "classify", "distinct_count", "pattern_class", "url_host", "host_pattern_class", "season_year", "safe_ratio", "slot",
     "activity_word", "word_bits", "stable_bucket", "attrs_struct", "ts_parse",
     "domain_match", "DEFAULT_REFERRER_PATTERNS", "LAST7_MASK", "PREV7_MASK", "WORD_MASK",
 ]
@@ -77,6 +77,12 @@ def host_pattern_class(url, patterns: Sequence[tuple[str, str]], default=None) -
     return fallback if expr is None else expr.otherwise(fallback)
 
 
+def distinct_count(c, approx: bool = False, rsd: float = 0.01) -> Column:
+    """Exact distinct count, or HyperLogLog++ with relative error `rsd`
+    (fixed-size state per group: no per-group set of values)."""
+    return F.approx_count_distinct(col_(c), rsd) if approx else F.count_distinct(col_(c))
+
+
 def season_year(date, start_month: int = 10) -> Column:
     """H5: season label; a season starting in `start_month` belongs to that year."""
     d = col_(date)

@@ -29,6 +29,12 @@ def assign_cells(df: DataFrame, id_col: str, experiment: str,
     return df.withColumn(out, expr.otherwise(F.lit(weights[-1][0])))
 
 
+def exposures(events: DataFrame, cells: DataFrame, id_col: str, cell: str = "cell") -> DataFrame:
+    """Every event of an assigned user, tagged with the user's cell
+    (a key join; `cells` has one row per user)."""
+    return events.join(cells.select(id_col, cell), on=id_col, how="inner")
+
+
 def per_user_outcomes(events: DataFrame, user: str, convert_when: Column, value_cents: Column) -> DataFrame:
     """One row per user: converted flag and total value (in cents, exact)."""
     return events.groupBy(user).agg(F.max(F.when(convert_when, 1).otherwise(0)).alias("converted"),

@@ -6,6 +6,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from cumulo.functions.columns import distinct_count
 from cumulo.operators import activity as AC
 from cumulo.operators.joins import join_bounded_dimension
 from cumulo.plans import adapters as A
@@ -172,7 +173,7 @@ def q_host_month_reduced(spark, sf):
     web = _web(spark, sf)
     last = _last_day(web)
     daily = AC.active_days(web, ["host"], drop_null_keys=False).join(
-        web.groupBy("host", "event_date").agg(F.count_distinct("user_id").alias("visitors")),
+        web.groupBy("host", "event_date").agg(distinct_count("user_id").alias("visitors")),
         on=["host", "event_date"], how="inner")
     ms = [("hit_array", "num_hits"), ("unique_visitors_array", "visitors")]
     prev = AC.month_array_backfill(daily, ["host"], last - ONE_DAY, ms, pad=0, first_found_col=None,

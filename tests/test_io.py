@@ -80,3 +80,26 @@ def test_year_partition_pruning(spark, scratch):
     q = spark.read.parquet(path).filter(F.col("year") == 1996)
     assert "PartitionFilters: [isnotnull(year" in io.plan_text(q) and "(year" in io.plan_text(q)
     assert q.count() == m.filter(F.col("year") == 1996).count()
+
+
+def test_schema_drift_rows(spark):
+    from cumulo.operators.health import schema_drift
+    df = spark.createDataFrame([(1, "a", 2.0)], "id long, name string, extra double")
+    spec = StructType([StructField("id", StringType()), StructField("name", StringType()),
+                       StructField("missing", LongType())])
+    got = {(r.column, r.issue) for r in schema_drift(spark, df, spec).collect()}
+    assert got == {("id", "type_changed"), ("missing", "missing"), ("extra", "unexpected")}
+
+
+def test_exposures_and_cells(spark):
+    from cumulo.operators.experiment import assign_cells, exposures
+    users = spark.range(2000).withColumnRenamed("id", "user_id")
+    cells = assign_cells(users, "user_id", "exp1", (("control", 50), ("treatment", 50)))
+    counts = {r.cell: r["count"] for r in cells.groupBy("cell").count().collect()}
+    assert set(counts) == {"control", "treatment"} and 850 < counts["control"] < 1150
+    again = assign_cells(users, "user_id", "exp1", (("control", 50), ("treatment", 50)))
+    assert cells.exceptAll(again).count() == 0                  # deterministic
+    other = assign_cells(users, "user_id", "exp2", (("control", 50), ("treatment", 50)))
+    assert cells.join(other, "user_id").filter(cells.cell != other.cell).count() > 0   # independent salt
+    ev = spark.createDataFrame([(1, "click"), (1, "view"), (5, "view")], "user_id long, kind string")
+    assert exposures(ev, cells, "user_id").count() == 3
