@@ -135,18 +135,21 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame
 
 def grouping_answers(details: DataFrame, games: DataFrame, *, player: str = "player_name",
                      team: str = "team_abbreviation", season: str = "season",
-                     points: str = "pts") -> DataFrame:
+                     points: str = "pts", team_games: DataFrame | None = None) -> DataFrame:
     """Three questions from one grouping-sets scan.
 
     1 most points for one team (player, team); 2 most points in one season
     (player, season); 3 most wins (team). Team wins count once per game.
     The best row per set is a `max` over struct(metric, answer) - a partial
     aggregate, so no set is funnelled through a window; ties go to the
-    greatest answer.
+    greatest answer. Wins depend only on (game, team), so `team_games` may be
+    the raw (not deduplicated) box scores: the win count then does not
+    repeat the dedup.
     """
     d = team_win(details, games)
     d = d.withColumn(points, F.coalesce(F.col(points), F.lit(0.0)))
-    results = d.groupBy("game_id", "team_id").agg(F.max("team_win").alias("team_win"))
+    pairs = (team_games if team_games is not None else details).select("game_id", "team_id").distinct()
+    results = team_win(pairs, games).groupBy("game_id", "team_id").agg(F.max("team_win").alias("team_win"))
     wins = results.groupBy("team_id").agg(F.sum("team_win").cast("bigint").alias("total_wins"))
     data = d.join(wins, on="team_id", how="inner")
     g = data.groupingSets([[player, team], [player, season], [team]], player, team, season).agg(

@@ -97,7 +97,7 @@ ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY n ORDER BY v DESC, a DESC)
   a AS answer, v AS vals FROM ranked WHERE rn = 1""")
 def q_grouping_answers(spark, sf):
     """P24 (+ P27): three answers from one grouping-sets scan."""
-    return AN.grouping_answers(_gdd(spark, sf), A.games(spark, sf))
+    return AN.grouping_answers(_gdd(spark, sf), A.games(spark, sf), team_games=A.game_details(spark, sf))
 
 
 @query("best_rolling_90", with_(GD, GAMES, """ds AS (SELECT DISTINCT d.game_id, g.game_date, d.team_id, """
