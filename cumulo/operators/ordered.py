@@ -26,7 +26,7 @@ def _slices(df: DataFrame, slices: int | None) -> int:
 
 def ordinal_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     sums: Mapping[str, Column] | None = None, *, idx_col: str = "idx",
-                    slices: int | None = None) -> DataFrame:
+                    slices: int | None = None, keep_slice: bool = False) -> DataFrame:
     """Add the 1-based position of each row inside `keys` ordered by `order`
     (which must be a total order within a key) and running sums of `sums`.
 
@@ -55,7 +55,8 @@ def ordinal_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                      *[F.coalesce(F.sum(f"_t_{n}").over(wo), F.lit(0)).alias(f"_o_{n}") for n in sums])
     j = local.join(off, on=["_slice", *keys], how="inner")
     out = j.select(*df.columns, (F.col("_l_n") + F.col("_o_n")).alias(idx_col),
-                   *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums])
+                   *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums],
+                   *(["_slice"] if keep_slice else []))
     return out
 
 

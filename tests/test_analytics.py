@@ -120,3 +120,12 @@ def test_traffic_windows_host_matching(spark):
     prev = {r.event_date.day: r.previous_weekly_rolling_count
             for r in AN.traffic_windows(ev, min_total=0, match_host=True).filter("referrer = 'Twitter'").collect()}
     assert prev == {1: None, 2: None, 3: None}
+
+
+def test_hot_key_spans_many_slices(spark):
+    """The point of the range slicing: one key with most rows is processed by many tasks."""
+    df = _skewed(spark, n_hot=20000)
+    out = ordinal_running(df, ["k"], ["t"], slices=8, keep_slice=True)
+    per_slice = {r["_slice"]: r["count"] for r in out.filter("k = 0").groupBy("_slice").count().collect()}
+    assert len(per_slice) >= 6 and max(per_slice.values()) < 0.3 * 20000
+    assert out.filter("k = 0").agg(F.max("idx")).first()[0] == 20000

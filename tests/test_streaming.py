@@ -124,3 +124,22 @@ def test_two_sinks_on_one_source(spark, scratch):
     assert spark.table("by_ref").count() == 3
     q1.stop()
     q2.stop()
+
+
+def test_stream_sessions_append_with_watermark(spark, scratch):
+    """Session windows on a stream; a session is emitted once the watermark passes its end."""
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    stream = R.events_with_time(R.file_source(spark, src, max_files_per_trigger=1), delay="15 seconds")
+    sess = SW.sessions(stream, "event_timestamp", ["ip", "host"], gap="5 minutes")
+    q = R.start(sess, "sess_append", mode="append", trigger_seconds=None, fmt="memory",
+                checkpoint=os.path.join(scratch, "ck"))
+    _write(src, "1.json", [_ev("9", "h", "2024-01-01T00:00:00.000Z"), _ev("9", "h", "2024-01-01T00:04:00.000Z")])
+    q.processAllAvailable()
+    _write(src, "2.json", [_ev("9", "h", "2024-01-01T00:30:00.000Z")])   # closes the first session
+    q.processAllAvailable()
+    _write(src, "3.json", [_ev("9", "h", "2024-01-01T01:30:00.000Z")])   # moves the watermark again
+    q.processAllAvailable()
+    got = sorted((r.session_start.minute, r.num_hits) for r in spark.table("sess_append").collect())
+    q.stop()
+    assert got[0] == (0, 2) and (30, 1) in got
