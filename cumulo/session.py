@@ -60,6 +60,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
         return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        current = spark.conf.get("spark.checkpoint.dir", None) or current
+    except Exception:  # noqa: BLE001
+        pass
     if current:
         sc.setCheckpointDir(current)
         return current
