@@ -34,8 +34,10 @@ def bucketed_match_facts(spark: SparkSession, details: DataFrame, matches: DataF
                          medals_players: DataFrame, prefix: str, buckets: int = 16,
                          key: str = "match_id") -> DataFrame:
     """Write the three inputs bucketed (and sorted) by `key`, read
-    them back and join: with bucketing on the same key and count the join
-    needs no shuffle (checked on the plan in the tests)."""
+    them back and join: with bucketing on the same key and count the joins
+    need no shuffle (checked on the plan in the tests). The medal join is on
+    (match, player); for it to reuse the match bucketing the session needs
+    `spark.sql.requireAllClusterKeysForCoPartition=false`."""
     names = {n: f"{prefix}_{n}" for n in ("details", "matches", "medals")}
     write_bucketed(details, names["details"], buckets, [key], sort_by=[key])
     write_bucketed(matches, names["matches"], buckets, [key], sort_by=[key])

@@ -82,9 +82,15 @@ def create_table_as(df: DataFrame, table: str, mode: str = "overwrite",
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
+    """Drop a table if it exists."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def ensure_database(spark: SparkSession, name: str) -> None:
+    """Create a database (schema) if it does not exist."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+
+
 def layout_report(frames: dict[str, DataFrame]) -> DataFrame:
     """Bytes and file count per table variant, from file metadata.
 

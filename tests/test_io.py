@@ -54,6 +54,8 @@ def test_table_spec_contract(spark):
 
 def test_layout_and_catalog_helpers(spark, scratch):
     df = spark.range(100).withColumn("g", F.col("id") % 3)
+    io.ensure_database(spark, "cumulo_t")
+    assert "cumulo_t" in {d.name for d in spark.catalog.listDatabases()}
     io.create_table_as(df, "t_ctas")
     assert "t_ctas" in {r.name for r in io.list_tables(spark).collect()}
     io.insert_into(df.select("g", "id"), "t_ctas")   # reordered by name before the positional insert
