@@ -45,3 +45,29 @@ def run_range(spark: SparkSession, path: str, part_col: str, start: dt.date, end
     while d <= end:
         run_step(spark, path, part_col, d, step)
         d += dt.timedelta(days=1)
+
+
+def run_step_table(spark: SparkSession, table: str, part_col: str, day: dt.date,
+                   step: Callable[[DataFrame | None, dt.date], DataFrame],
+                   key: list[str] | None = None, buckets: int = 16) -> DataFrame:
+    """Like `run_step`, into a catalog table partitioned by day and, with
+    `key`, bucketed (and sorted) by the entity key.
+
+    Yesterday's partition then keeps its bucketing when read back, so the
+    step's full outer join on the key shuffles only today's rows into the
+    table's buckets; the large snapshot is never re-shuffled. Later days
+    are added with `insertInto` and dynamic partition overwrite.
+    """
+    exists = spark.catalog.tableExists(table)
+    prev = spark.table(table).filter(F.col(part_col) == F.lit(day - dt.timedelta(days=1))) if exists else None
+    if prev is not None:
+        prev = prev.drop(part_col)
+    out = step(prev, day).withColumn(part_col, F.lit(day).cast("date"))
+    if not exists:
+        w = out.write.format("parquet").mode("overwrite").partitionBy(part_col)
+        if key:
+            w = w.bucketBy(buckets, *key).sortBy(*key)
+        w.saveAsTable(table)
+    else:
+        out.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    return spark.table(table).filter(F.col(part_col) == F.lit(day))
