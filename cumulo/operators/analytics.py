@@ -119,18 +119,17 @@ def team_win(details: DataFrame, games: DataFrame) -> DataFrame:
     return j.withColumn("team_win", win).drop("home_team_id", "home_team_wins")
 
 
-def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the first by `order` (ascending; must make the
-    choice total together with the remaining columns).
-
-    `min` over a struct of (order, rest) is a partial aggregate: duplicates
-    are combined map-side, so a key with a huge share of rows never lands
-    in one task as a whole (a row_number window would).
+def dedup(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
+    """One row per key, the first by `order` (which must make the
+    choice total within a key).
+
+    `row_number() ... = 1`: Spark plans it with a partial window group
+    limit before the shuffle, so each map task forwards at most one row
+    per key and a key with a huge share of duplicates never reaches one
+    task whole (measured in SKEW.md).
     """
-    keys, order = list(keys), list(order)
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_r"))
-    return picked.select(*keys, *[F.col("_r")[c].alias(c) for c in order + rest]).select(*df.columns)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def grouping_answers(details: DataFrame, games: DataFrame, *, player: str = "player_name",
