@@ -54,15 +54,20 @@ def with_json(df: DataFrame, col: str = "properties") -> DataFrame:
 
 
 def graph_contract(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
-    """Contract violations - unknown types and duplicate composite keys."""
-    bad_v = (vertices_df.filter(~F.col("type").isin(*VERTEX_TYPES))
-             .select(F.lit("vertex_type").alias("issue"), F.col("identifier").alias("detail")))
-    dup_v = (vertices_df.groupBy("identifier", "type").count().filter("count > 1")
-             .select(F.lit("vertex_key").alias("issue"), F.col("identifier").alias("detail")))
+    """Contract violations - unknown types and duplicate composite keys.
+
+    One aggregate per table on its composite key yields both checks, so
+    each table is read once.
+    """
+    v = vertices_df.groupBy("identifier", "type").agg(F.count(F.lit(1)).alias("_n"))
+    v_issues = v.select(F.explode(F.array_compact(F.array(
+        F.when(~F.col("type").isin(*VERTEX_TYPES), F.lit("vertex_type")),
+        F.when(F.col("_n") > 1, F.lit("vertex_key"))))).alias("issue"), F.col("identifier").alias("detail"))
     ek = ["subject_identifier", "subject_type", "object_identifier", "object_type", "edge_type"]
-    bad_e = (edges_df.filter(~F.col("edge_type").isin(*EDGE_TYPES) | ~F.col("subject_type").isin(*VERTEX_TYPES)
-                             | ~F.col("object_type").isin(*VERTEX_TYPES))
-             .select(F.lit("edge_type").alias("issue"), F.col("subject_identifier").alias("detail")))
-    dup_e = (edges_df.groupBy(*ek).count().filter("count > 1")
-             .select(F.lit("edge_key").alias("issue"), F.col("subject_identifier").alias("detail")))
-    return bad_v.unionByName(dup_v).unionByName(bad_e).unionByName(dup_e)
+    e = edges_df.groupBy(*ek).agg(F.count(F.lit(1)).alias("_n"))
+    bad_type = (~F.col("edge_type").isin(*EDGE_TYPES) | ~F.col("subject_type").isin(*VERTEX_TYPES)
+                | ~F.col("object_type").isin(*VERTEX_TYPES))
+    e_issues = e.select(F.explode(F.array_compact(F.array(
+        F.when(bad_type, F.lit("edge_type")),
+        F.when(F.col("_n") > 1, F.lit("edge_key"))))).alias("issue"), F.col("subject_identifier").alias("detail"))
+    return v_issues.unionByName(e_issues)
