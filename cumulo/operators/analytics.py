@@ -179,8 +179,9 @@ def best_rolling(df: DataFrame, key: str, order: Sequence[str], measure: str, n:
     s = shifted(r.select(key, "idx", "_cum"), [key], "idx", n, ["_cum"])
     roll = s.select(key, (F.col("_cum") - F.coalesce(F.col("prev__cum"), F.lit(0))).alias("_roll"))
     per_key = roll.groupBy(key).agg(F.max("_roll").alias(out))
-    top = per_key.agg(F.max(out)).scalar()
-    return per_key.filter(F.col(out) == top)
+    # ties for the best: semi join on the value with the one-row maximum
+    # (an equi-join; both sides share the per-key aggregate's exchange)
+    return per_key.join(per_key.agg(F.max(out).alias(out)), on=out, how="left_semi").select(key, out)
 
 
 def longest_streak(df: DataFrame, key: str, order: Sequence[str], predicate,
