@@ -105,3 +105,11 @@ def test_exposures_and_cells(spark):
     assert cells.join(other, "user_id").filter(cells.cell != other.cell).count() > 0   # independent salt
     ev = spark.createDataFrame([(1, "click"), (1, "view"), (5, "view")], "user_id long, kind string")
     assert exposures(ev, cells, "user_id").count() == 3
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from cumulo.session import ensure_checkpoint_dir
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert configured and ensure_checkpoint_dir(spark) == configured
+    assert spark.sparkContext._jsc.sc().getCheckpointDir().get().startswith("file:" + configured) or \
+        spark.sparkContext._jsc.sc().getCheckpointDir().get().startswith(configured)
