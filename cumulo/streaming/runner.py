@@ -79,9 +79,18 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str) -> Stre
 
 def start(df: DataFrame, name: str, *, mode: str = "append", trigger_seconds: float | None = 10,
           batch_writer: Callable[[DataFrame, int], None] | None = None, fmt: str | None = None,
-          path: str | None = None, checkpoint: str | None = None) -> StreamingQuery:
-    """Start a query with a checkpoint (exactly-once state, replayable batches)."""
+          path: str | None = None, checkpoint: str | None = None,
+          state_partitions: int | None = None) -> StreamingQuery:
+    """Start a query with a checkpoint (exactly-once state, replayable batches).
+
+    The number of state partitions of a stateful query is fixed by
+    `spark.sql.shuffle.partitions` when its checkpoint is first created and
+    read back from the checkpoint afterwards; `state_partitions` sets it for
+    a new query (the reference runs aggregations at parallelism 3).
+    """
     spark = df.sparkSession
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     w = (df.writeStream.queryName(name).outputMode(mode)
          .option("checkpointLocation", checkpoint or checkpoint_path(spark, name)))
     if trigger_seconds:

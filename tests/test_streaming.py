@@ -37,8 +37,10 @@ def test_stream_complete_mode_equals_batch(spark, scratch):
     _write(src, "a.json", base)
     stream = R.events_with_time(R.file_source(spark, src), delay="15 seconds")
     agg = SW.tumbling_counts(stream, "event_timestamp", ["host"])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     q = R.start(agg, "tumbling_complete", mode="complete", trigger_seconds=None, fmt="memory",
-                checkpoint=os.path.join(scratch, "ck1"))
+                checkpoint=os.path.join(scratch, "ck1"), state_partitions=3)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     q.processAllAvailable()
     got = spark.table("tumbling_complete")
     batch = SW.tumbling_counts(SW.parse_event_time(spark.read.schema(R.EVENT_SCHEMA).json(src)),
