@@ -31,19 +31,18 @@ def state_changes(facts: DataFrame, key: Sequence[str], period_col: str, out: st
     """New / Retired / Continued Playing / Returned from Retirement / Stayed Retired.
 
     Grid = each entity from its first period over the periods present in the
-    data (explode of a sequence, then a semi join with the distinct periods:
-    no theta join). The lag window is per entity over its periods, bounded
-    by the number of periods.
+    data: `fill_gaps` generates the periods after each active one (no spine
+    join, no theta join), then a semi join keeps the periods that occur.
+    The lag window is per entity over its periods, bounded by the number of
+    periods.
     """
+    from cumulo.operators.cumulative import fill_gaps
     key = list(key)
-    present = facts.select(*key, period_col).distinct().withColumn("_played", F.lit(1))
+    present = facts.select(*key, period_col).distinct()
     periods = facts.select(period_col).distinct()
-    lo_hi = facts.agg(F.max(period_col).alias("_hi"))
-    firsts = facts.groupBy(*key).agg(F.min(period_col).alias("_first"))
-    grid = firsts.select(*key, F.explode(F.sequence(F.col("_first"), lo_hi.scalar())).alias(period_col))
-    grid = grid.join(periods, on=period_col, how="left_semi")
-    flags = grid.join(present, on=[*key, period_col], how="left").select(
-        *key, period_col, F.coalesce(F.col("_played"), F.lit(0)).alias("played"))
+    dense = fill_gaps(present, key, period_col, facts.agg(F.max(period_col)).scalar())
+    flags = dense.join(periods, on=period_col, how="left_semi").select(
+        *key, period_col, F.when(F.col(period_col) == F.col("_src"), 1).otherwise(0).alias("played"))
     w = Window.partitionBy(*key).orderBy(period_col)
     prev = F.lag("played").over(w)
     L = STATE_LABELS
