@@ -28,11 +28,11 @@ def _states(ps, last=None):
                              default_class=A.SEASON_DEFAULT, last_period=last)
 
 
-def _backfill(spark, sf, ps, last=None):
+def _backfill(spark, sf, ps, last=None, with_static=True):
+    static = A.player_static(spark, sf).select("player_id", "player_name", "country") if with_static else None
     return C.cumulate_backfill(ps, KEY, "season", struct_cols=STRUCT, measure="pts",
                                thresholds=A.SEASON_THRESHOLDS, default_class=A.SEASON_DEFAULT,
-                               last_period=last, static=A.player_static(spark, sf).select(
-                                   "player_id", "player_name", "country"))
+                               last_period=last, static=static)
 
 
 def _render(df):
@@ -133,7 +133,7 @@ def q_history_unnest(spark, sf):
     """The last snapshot's history arrays back to rows."""
     ps = _ps(spark, sf)
     last = _max_season(ps)
-    snap = _backfill(spark, sf, ps).filter(F.col("current_period") == last)
+    snap = _backfill(spark, sf, ps, with_static=False).filter(F.col("current_period") == last)
     rows = C.unnest_history(snap, ["player_id"])
     return rows.select("player_id", "season", "gp", "pts", "total")
 
@@ -146,7 +146,7 @@ def q_first_last_ratio(spark, sf):
     """P5: latest season's value over the first season's, on the last snapshot."""
     ps = _ps(spark, sf)
     last = _max_season(ps)
-    snap = _backfill(spark, sf, ps).filter(F.col("current_period") == last)
+    snap = _backfill(spark, sf, ps, with_static=False).filter(F.col("current_period") == last)
     r = C.first_last_ratio(snap, ["player_id"], "pts")
     return r
 
