@@ -28,8 +28,9 @@ def cumulate_step(prev: DataFrame, today: DataFrame, key: Sequence[str], period,
                   period_col: str = "current_period") -> DataFrame:
     """Merge yesterday's snapshot with today's facts (one row per key).
 
-    Full outer join on the key (one shuffle on the key; the previous
-    snapshot can be stored bucketed by key to drop it). History gets
+    Full outer join on the key; both sides have one row per key. Stored
+    with `plans.jobs.run_step_table` (bucketed by key) the previous
+    snapshot is read in its buckets and only today's rows shuffle. History gets
     today's struct appended; carried columns prefer the previous snapshot;
     the class comes from today's measure, else stays as it was.
     """
