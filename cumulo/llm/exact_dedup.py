@@ -9,7 +9,8 @@ steps, each grouping by digest *and* full content:
    from each input task;
 3. global: at most `salts` winners of a text are merged by digest, then content.
 
-Group rows carry only (digest, row that stays, size), and every document joins them by digest.
+Group rows carry only (digest, row that stays, size); they are written once and every document joins
+them by digest.
 Two different contents under one digest (impossible in practice with SHA-256, easy with the weak
 digests of the tests) are told apart by joining on the content too.
 
@@ -26,7 +27,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cumulo.llm.common import ascii_lower
+from cumulo.llm.common import ascii_lower, materialise
 
 
 def sha256_hex(norm: Column) -> Column:
@@ -48,26 +49,28 @@ def content_groups(rows: DataFrame, salts: int) -> DataFrame:
 
 
 def _winners(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column], salts: int):
-    """rows (_id, _digest, _norm), per-digest winners, and the content groups behind them."""
+    """rows (_id, _digest, _norm), the winners by digest (a written table: digest, number of different
+    contents, id, size), and the content groups behind them where a digest has several contents, else None."""
     norm = normalised(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("_id"), norm.alias("_norm")).withColumn("_digest", digest(F.col("_norm")))
     groups = content_groups(rows, salts)
-    by_digest = (groups.groupBy("_digest")
-                 .agg(F.count(F.lit(1)).alias("_variants"), F.max("_keep").alias("_keep"), F.max("_n").alias("_n")))
-    return rows, by_digest, groups
+    by_digest = materialise(groups.groupBy("_digest").agg(
+        F.count(F.lit(1)).alias("_variants"), F.max("_keep").alias("_keep"), F.max("_n").alias("_n")), "copy-groups")
+    clash = by_digest.where("_variants > 1").select("_digest")
+    return rows, by_digest, groups.join(clash, "_digest") if clash.head(1) else None
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  digest: Callable[[Column], Column] = sha256_hex, salts: int = 64) -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256."""
-    rows, by_digest, groups = _winners(docs, id_col, text_col, digest, salts)
-    plain = rows.select("_id", "_digest", F.sha2("_norm", 256).alias("_sha")).join(
-        by_digest.where("_variants = 1").drop("_variants"), "_digest")
-    # digests shared by different contents: none with SHA-256, so this side is provably small
-    clash = F.broadcast(by_digest.where("_variants > 1").select("_digest"))
-    apart = rows.join(clash, "_digest").join(groups, ["_digest", "_norm"]).select(
-        "_digest", "_id", F.sha2("_norm", 256).alias("_sha"), "_keep", "_n")
-    return plain.unionByName(apart).select(
+    rows, by_digest, several = _winners(docs, id_col, text_col, digest, salts)
+    single = by_digest.where("_variants = 1").drop("_variants")
+    sha = F.col("_digest") if digest is sha256_hex else F.sha2("_norm", 256)
+    found = rows.select("_id", "_digest", sha.alias("_sha")).join(single, "_digest")
+    if several is not None:
+        found = found.unionByName(rows.join(several, ["_digest", "_norm"]).select(
+            "_digest", "_id", sha.alias("_sha"), "_keep", "_n"))
+    return found.select(
         F.col("_id").alias(id_col), F.col("_keep").alias("keep_id"), F.col("_n").alias("group_size"),
         F.col("_id").eqNullSafe(F.col("_keep")).alias("kept"), F.col("_sha").alias("text_sha256"))
 
@@ -77,7 +80,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """`docs` with one row of every group of equal texts: the one with the largest id.
 
     Joined on (digest, id), so the rows of a hot text spread over all tasks."""
-    rows, by_digest, groups = _winners(docs, id_col, text_col, digest, salts)
+    _, by_digest, several = _winners(docs, id_col, text_col, digest, salts)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                         F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_norm")
                         ).withColumn("_digest", digest(F.col("_norm")))
@@ -85,11 +88,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stays = whole.drop("_norm").join(
         single, (F.col("_digest") == F.col("_d")) & F.col("_id").eqNullSafe(F.col("_keep"))).select(
         "_digest", "_id", F.lit(None).cast("string").alias("_norm"), "_row")
-    clash = F.broadcast(by_digest.where("_variants > 1").select("_digest"))
-    many = groups.join(clash, "_digest").select(F.col("_digest").alias("_d"), F.col("_norm").alias("_m"), "_keep")
-    apart = whole.join(clash, "_digest").join(
-        many, (F.col("_digest") == F.col("_d")) & (F.col("_norm") == F.col("_m"))
-        & F.col("_id").eqNullSafe(F.col("_keep"))).select("_digest", "_id", "_norm", "_row")
+    if several is not None:
+        many = several.select(F.col("_digest").alias("_d"), F.col("_norm").alias("_m"), "_keep")
+        stays = stays.unionByName(whole.join(many, (F.col("_digest") == F.col("_d")) & (F.col("_norm") == F.col("_m"))
+                                             & F.col("_id").eqNullSafe(F.col("_keep"))).select(
+            "_digest", "_id", "_norm", "_row"))
     once = Window.partitionBy("_digest", "_id", "_norm").orderBy(F.xxhash64("_row"))
-    kept = stays.unionByName(apart).withColumn("_rn", F.row_number().over(once)).where("_rn = 1")
+    kept = stays.withColumn("_rn", F.row_number().over(once)).where("_rn = 1")
     return kept.select("_row.*")
