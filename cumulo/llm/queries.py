@@ -6,10 +6,11 @@ result columns from the operator's outputs.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulo.llm import chat_format, decontaminate, exact_dedup, kd_shards
-from cumulo.llm.common import prepare
+from cumulo.llm import (bpe_replay, chat_format, decontaminate, exact_dedup, kd_shards, token_counts, token_files)
+from cumulo.llm.common import prepare, shared_path
 from cumulo.sources.tables import load
 
 QUERIES: dict = {}
@@ -97,3 +98,38 @@ FROM d JOIN g USING (t)""")
 def op10_exact_dedup(spark, sf_dir):
     """Every document with the row of its group of equal texts that stays."""
     return exact_dedup.exact_groups(load(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark, sf_dir):
+    """Token counts of every text under the public byte-level vocabulary."""
+    return token_counts.count_tokens(load(spark, sf_dir, "documents", ["doc_id", "text"]),
+                                     public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+@query("op5_bpe_codec")
+def op5_bpe_codec(spark, sf_dir):
+    """Every text encoded by the public rank file and decoded again."""
+    return bpe_codec(load(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+def bpe_codec(docs: DataFrame) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    both = bpe_replay.decode(bpe_replay.encode(docs, ranks, pattern), ranks, pattern)
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op6_token_files")
+def op6_token_files(spark, sf_dir):
+    """Every text written as raw ids and read back through the minimal perfect hash index."""
+    docs = load(spark, sf_dir, "documents", ["doc_id", "text"])
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    out, dtype = shared_path(spark, "token-files"), token_files.id_dtype(path)
+    entries = token_files.scan(spark, token_files.write(docs, out, path), dtype)
+    index = token_files.build_index(entries, out)
+    back = token_files.read(token_files.lookup(docs, index, "doc_id"), dtype)
+    return back.select(F.col("key").alias("doc_id"), "start", "n_tokens",
+                       token_files.crc32_of_ids("ids", dtype).alias("ids_crc32"))
