@@ -9,7 +9,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulo.llm import (bpe_replay, chat_format, decontaminate, exact_dedup, kd_shards, token_counts, token_files)
+from cumulo.llm import (bpe_replay, chat_format, decontaminate, exact_dedup, kd_shards, language_id,
+                        token_counts, token_files)
 from cumulo.llm.common import prepare, shared_path
 from cumulo.sources.tables import load
 
@@ -133,3 +134,21 @@ def op6_token_files(spark, sf_dir):
     back = token_files.read(token_files.lookup(docs, index, "doc_id"), dtype)
     return back.select(F.col("key").alias("doc_id"), "start", "n_tokens",
                        token_files.crc32_of_ids("ids", dtype).alias("ids_crc32"))
+
+
+def _held_out(doc_id):
+    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2
+
+
+def language_model(docs: DataFrame) -> dict:
+    """Learned from all labelled documents outside the held-out fold."""
+    return language_id.learn(docs.where(~F.coalesce(_held_out("doc_id"), F.lit(False))))
+
+
+@query("op2_language_id")
+def op2_language_id(spark, sf_dir):
+    """Language of every whole text; a quarter of the ids is held out of the training."""
+    docs = load(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    got = language_id.identify(docs, language_model(docs))
+    return got.select("doc_id", F.coalesce(_held_out("doc_id"), F.lit(False)).alias("held_out"), "lang_pred", "score",
+                      "languages")
