@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulo.llm import (bpe_replay, chat_format, decontaminate, exact_dedup, kd_shards, language_id,
+from cumulo.llm import (bpe_replay, chat_format, decontaminate, exact_dedup, kd_shards, language_id, near_dedup,
                         token_counts, token_files)
 from cumulo.llm.common import prepare, shared_path
 from cumulo.sources.tables import load
@@ -152,3 +152,9 @@ def op2_language_id(spark, sf_dir):
     got = language_id.identify(docs, language_model(docs))
     return got.select("doc_id", F.coalesce(_held_out("doc_id"), F.lit(False)).alias("held_out"), "lang_pred", "score",
                       "languages")
+
+
+@query("op8_near_dedup")
+def op8_near_dedup(spark, sf_dir):
+    """Components of documents whose 4-word shingle sets have similarity 0.8 or more."""
+    return near_dedup.near_copies(load(spark, sf_dir, "documents", ["doc_id", "text"]), k=4, percent=80)
