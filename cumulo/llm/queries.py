@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cumulo.llm import (bpe_replay, chat_format, decontaminate, exact_dedup, kd_shards, language_id, near_dedup,
-                        token_counts, token_files)
+                        substring_dedup, token_counts, token_files)
 from cumulo.llm.common import prepare, shared_path
 from cumulo.sources.tables import load
 
@@ -158,3 +158,10 @@ def op2_language_id(spark, sf_dir):
 def op8_near_dedup(spark, sf_dir):
     """Components of documents whose 4-word shingle sets have similarity 0.8 or more."""
     return near_dedup.near_copies(load(spark, sf_dir, "documents", ["doc_id", "text"]), k=4, percent=80)
+
+
+@query("op4_substring_dedup")
+def op4_substring_dedup(spark, sf_dir):
+    """Every document without the words of 20-word windows that start earlier elsewhere."""
+    got = substring_dedup.remove_repeats(load(spark, sf_dir, "documents", ["doc_id", "text"]), length=20)
+    return got.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "spans")
