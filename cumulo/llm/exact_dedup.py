@@ -51,8 +51,8 @@ def content_groups(rows: DataFrame, salts: int) -> DataFrame:
 def _winners(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column], salts: int):
     """rows (_id, _digest, _norm), the winners by digest (a written table: digest, number of different
     contents, id, size), and the content groups behind them where a digest has several contents, else None."""
-    norm = normalised(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("_id"), norm.alias("_norm")).withColumn("_digest", digest(F.col("_norm")))
+    norm = normalised(F.col(f"`{text_col}`"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), norm.alias("_norm")).withColumn("_digest", digest(F.col("_norm")))
     groups = content_groups(rows, salts)
     by_digest = materialise(groups.groupBy("_digest").agg(
         F.count(F.lit(1)).alias("_variants"), F.max("_keep").alias("_keep"), F.max("_n").alias("_n")), "copy-groups")
@@ -81,18 +81,14 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Joined on (digest, id), so the rows of a hot text spread over all tasks."""
     _, by_digest, several = _winners(docs, id_col, text_col, digest, salts)
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                        F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_norm")
-                        ).withColumn("_digest", digest(F.col("_norm")))
-    single = by_digest.where("_variants = 1").select(F.col("_digest").alias("_d"), "_keep")
-    stays = whole.drop("_norm").join(
-        single, (F.col("_digest") == F.col("_d")) & F.col("_id").eqNullSafe(F.col("_keep"))).select(
-        "_digest", "_id", F.lit(None).cast("string").alias("_norm"), "_row")
+    # _o stands for the id in joins: NULL is a value of its own there
+    order = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-2**63))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), order(f"`{id_col}`").alias("_o"),
+                        normalised(F.col(f"`{text_col}`")).alias("_norm")).withColumn("_digest", digest(F.col("_norm")))
+    single = by_digest.where("_variants = 1").select("_digest", order("_keep").alias("_o"))
+    stays = whole.withColumn("_norm", F.lit(None).cast("string")).join(single, ["_digest", "_o"])
     if several is not None:
-        many = several.select(F.col("_digest").alias("_d"), F.col("_norm").alias("_m"), "_keep")
-        stays = stays.unionByName(whole.join(many, (F.col("_digest") == F.col("_d")) & (F.col("_norm") == F.col("_m"))
-                                             & F.col("_id").eqNullSafe(F.col("_keep"))).select(
-            "_digest", "_id", "_norm", "_row"))
-    once = Window.partitionBy("_digest", "_id", "_norm").orderBy(F.xxhash64("_row"))
-    kept = stays.withColumn("_rn", F.row_number().over(once)).where("_rn = 1")
-    return kept.select("_row.*")
+        stays = stays.unionByName(whole.join(several.select("_digest", "_norm", order("_keep").alias("_o")),
+                                             ["_digest", "_norm", "_o"]))
+    once = Window.partitionBy("_digest", "_o", "_norm").orderBy(F.xxhash64("_row"))
+    return stays.withColumn("_rn", F.row_number().over(once)).where("_rn = 1").select("_row.*")

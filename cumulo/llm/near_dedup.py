@@ -236,21 +236,32 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = MI
                 text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
     prints = materialise(fingerprint(docs, k, id_col, text_col), "fingerprints")
+    return _labelled(docs, prints, k, percent, miss, id_col, text_col).select(
+        F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+def _labelled(docs, prints, k, percent, miss, id_col, text_col) -> DataFrame:
+    """id, n_shingles, component (smallest id; NULL for a NULL id)."""
     comp = link_classes(docs, prints, k, percent, miss, id_col, text_col)
     classes = prints.where("id IS NOT NULL AND node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"))
     label = classes.join(comp, "node", "left").select("node", F.coalesce("comp", "least").alias("component"))
-    out = prints.drop("bands").join(label, "node", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
-                      F.col("id").eqNullSafe(component).alias("kept"))
+    return prints.drop("bands").join(label, "node", "left").withColumn(
+        "component", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")))
 
 
 def drop_near_copies(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = MISS, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """`docs` with one document of each component, the one with the smallest id."""
-    kept = near_copies(docs, k, percent, miss, id_col, text_col).where("kept").select(F.col(id_col).alias("_k")).distinct()
-    stays = docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("_k")), "left_semi")
-    same = Window.partitionBy(id_col, F.xxhash64(F.col(f"`{text_col}`"))).orderBy(
-        F.xxhash64(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
-    once = stays.withColumn("_rn", F.row_number().over(same))
-    return once.where(f"_rn = 1 OR `{id_col}` IS NULL").drop("_rn")
+    prints = materialise(fingerprint(docs, k, id_col, text_col), "fingerprints")
+    order = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-2**63))
+    kept = _labelled(docs, prints, k, percent, miss, id_col, text_col).where("id <=> component").select(
+        order("id").alias("_o")).distinct()
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), order(f"`{id_col}`").alias("_o"))
+    stays = whole.join(kept, "_o", "left_semi")
+    repeated = prints.where("id IS NOT NULL").groupBy("id", "node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.head(1):  # else no row can repeat id and text
+        same = Window.partitionBy("_o", F.xxhash64(F.col(f"_row.`{text_col}`"))).orderBy(F.xxhash64("_row"))
+        stays = stays.withColumn("_rn", F.row_number().over(same)).where(F.col("_rn").eqNullSafe(1)
+                                                                         | F.col(f"_row.`{id_col}`").isNull())
+    return stays.select("_row.*")
