@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from cumulo.llm.segments import SegmentCache
+from cumulo.llm.segments import SegmentTable
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -37,7 +37,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class MergeReplay:
-    def __init__(self, path: str, pattern: str, remembered: int = 400_000):
+    def __init__(self, path: str, pattern: str, remembered: int = 150_000):
         self.ranks = read_ranks(path)
         self.token = {r: t for t, r in self.ranks.items()}
         self.pattern = regex.compile(pattern)
@@ -136,13 +136,13 @@ class MergeReplay:
         return out
 
 
-_REPLAYS: dict[tuple, tuple[MergeReplay, SegmentCache]] = {}
+_REPLAYS: dict[tuple, tuple[MergeReplay, SegmentTable]] = {}
 
 
-def _replay(path: str, pattern: str) -> tuple[MergeReplay, SegmentCache]:
+def _replay(path: str, pattern: str) -> tuple[MergeReplay, SegmentTable]:
     if (path, pattern) not in _REPLAYS:
         m = MergeReplay(path, pattern)
-        _REPLAYS[path, pattern] = m, SegmentCache(m.segment_ids)
+        _REPLAYS[path, pattern] = m, SegmentTable(m.segment_ids, "<i4")
     return _REPLAYS[path, pattern]
 
 
@@ -153,9 +153,9 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, cache = _replay(path, pattern)
         for b in batches:
-            got = [b"".join(v) for v in cache.values(b.column("t").to_pylist())]
-            offsets = np.cumsum([0, *[len(x) // 4 for x in got]], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(got), "<i4")))
+            counts, flat = cache.encode(b.column("t").to_pylist())
+            offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32, copy=False)))
             yield pa.RecordBatch.from_arrays([b.column("id"), ids], ["id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()

@@ -4,66 +4,145 @@ A pre-token pattern of the form "optional space + run of one class | white-space
 matches across a change from a visible character to a space or line feed, and its look-ahead
 ends inside the white-space run. So a text may be cut before every space or line feed whose left
 neighbour is not white space, and the tokens of the text are the tokens of its segments in
-order. Segments repeat far more often than texts do: workers compute each new one once.
+order. (A text may always be cut less often: where the left neighbour is not plainly visible from its
+UTF-8 bytes there is no cut.) Segments repeat far more often than texts do: workers compute each new
+one once and keep the results in numpy arrays, found by the segment's 64-bit hash (two of a million
+segments share one with a probability of 3e-8).
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
-_UNSAFE = re.compile(r"\s[ \n]")
-_CUT = re.compile(r"(?<=\S)(?=[ \n])")
-
-
-class SegmentCache:
-    """Values of segments, kept between batches up to `limit` segments (long ones are not kept).
-
-    `compute` gets distinct new segments and returns their values in order."""
-
-    def __init__(self, compute: Callable[[list[str]], list], limit: int = 300_000, longest: int = 48):
-        self.compute, self.limit, self.longest = compute, limit, longest
-        self.bare: dict[str, object] = {}   # segments as they are
-        self.spaced: dict[str, object] = {}  # by what follows their space
-        self.broken: dict[str, object] = {}  # by what follows their line feed
-
-    def _fill(self, known: dict, wanted: set, prefix: str) -> None:
-        new = list(wanted - known.keys())
-        if new:
-            known.update(zip(new, self.compute([prefix + s for s in new])))
-
-    def values(self, texts: list[str]) -> list[list]:
-        """For each text the values of its segments, in order."""
-        cut = []
-        bare, spaced, broken = set(), set(), set()
-        for text in texts:
-            if _UNSAFE.search(text):
-                parts = _CUT.split(text)
-                bare.update(parts)
-                cut.append((parts, None))
-            else:
-                lines = [line.split(" ") for line in text.split("\n")]
-                bare.add(lines[0][0])
-                broken.update([line[0] for line in lines[1:]])
-                for line in lines:
-                    spaced.update(line[1:])
-                cut.append((None, lines))
-        for known, wanted, prefix in ((self.bare, bare, ""), (self.spaced, spaced, " "), (self.broken, broken, "\n")):
-            self._fill(known, wanted, prefix)
-        out = []
-        for parts, lines in cut:
-            if lines is None:
-                out.append([self.bare[p] for p in parts])
-                continue
-            got = [self.bare[lines[0][0]]]
-            for i, line in enumerate(lines):
-                if i:
-                    got.append(self.broken[line[0]])
-                got.extend(map(self.spaced.__getitem__, line[1:]))
-            out.append(got)
-        for known, wanted in ((self.bare, bare), (self.spaced, spaced), (self.broken, broken)):
-            for s in [s for s in wanted if len(s) > self.longest]:
-                del known[s]
-        if len(self.bare) + len(self.spaced) + len(self.broken) > self.limit:
-            self.bare, self.spaced, self.broken = {}, {}, {}
+import numpy as np
+
+from cumulo.llm.word_arrays import byte_sums, span_hashes
+
+PART = 1 << 19  # bytes of text cut and hashed at once (a longer text makes a longer part)
+_SPACE = np.zeros(256, bool)
+_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
+_ASCII = np.arange(256) < 0x80
+_TWO = (np.arange(256) >= 0xC3) & (np.arange(256) < 0xE0)  # leads of two-byte characters, without C2 (has white space)
+_THREE = (np.arange(256) == 0xE0) | (np.arange(256) >= 0xE4) & (np.arange(256) < 0xF0)  # without E1, E2, E3
+_FOUR = np.arange(256) >= 0xF0
+
+
+def cuts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where segments begin: at `starts` (of texts) and before breaks after a visible character."""
+    at = np.flatnonzero((raw == 0x20) | (raw == 0x0A))
+    left = [raw[np.maximum(at - j, 0)] for j in (1, 2, 3, 4)]
+    seen = _ASCII[left[0]] & ~_SPACE[left[0]]
+    tail = ~_ASCII[left[0]]
+    seen |= tail & (_TWO[left[1]] | ~_ASCII[left[1]] & (_THREE[left[2]] | ~_ASCII[left[2]] & _FOUR[left[3]]))
+    return np.union1d(at[seen & (at > 0)], starts)
+
+
+class SegmentTable:
+    """Token counts and ids of segments, kept between batches.
+
+    `compute` gets distinct new segments and returns for each its ids as bytes of `dtype`, or, with
+    `dtype` None, its token count. All is forgotten beyond `limit` segments or `room` ids."""
+
+    def __init__(self, compute: Callable[[list[str]], list], dtype: str | None, limit: int = 1_000_000,
+                 room: int = 16_000_000):
+        self.compute, self.dtype, self.limit, self.room = compute, dtype, limit, room
+        self._forget()
+
+    def _forget(self) -> None:
+        self.mask = (1 << (4 * self.limit - 1).bit_length() - 1) - 1
+        self.keys = np.zeros(self.mask + 1, np.uint64)  # 0: free
+        self.slot = np.zeros(self.mask + 1, np.int32)
+        self.n, self.used = 0, 0
+        self.lens = np.zeros(1 << 12, np.int64)
+        self.begin = np.zeros(1 << 12, np.int64)
+        self.ids = np.zeros(1 << 14, self.dtype or "u1")
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Slot of each hash, -1 if unknown."""
+        out = np.full(len(h), -1, np.int64)
+        left, at = np.arange(len(h)), (h & np.uint64(self.mask)).astype(np.int64)
+        while len(left):
+            key = self.keys[at]
+            hit = key == h[left]
+            out[left[hit]] = self.slot[at[hit]]
+            go = ~hit & (key != 0)
+            left, at = left[go], (at[go] + 1) & self.mask
         return out
+
+    def _insert(self, h: np.ndarray) -> None:
+        """Give the distinct new hashes the next slots, in order."""
+        slot = np.arange(self.n, self.n + len(h))
+        at = (h & np.uint64(self.mask)).astype(np.int64)
+        left = np.arange(len(h))
+        while len(left):
+            free = np.flatnonzero(self.keys[at] == 0)
+            first = free[np.unique(at[free], return_index=True)[1]]  # one of those that want the same place
+            self.keys[at[first]] = h[left[first]]
+            self.slot[at[first]] = slot[left[first]]
+            rest = np.ones(len(left), bool)
+            rest[first] = False
+            left, at = left[rest], (at[rest] + 1) & self.mask
+
+    @staticmethod
+    def _grown(a: np.ndarray, n: int) -> np.ndarray:
+        return a if len(a) >= n else np.concatenate((a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)))
+
+    def _learn(self, h: np.ndarray, segments: list[str]) -> None:
+        got = self.compute(segments)
+        if self.dtype is None:
+            lens, flat = np.array(got, np.int64), np.zeros(0, "u1")
+        else:
+            flat = np.frombuffer(b"".join(got), self.dtype)
+            lens = np.array([len(g) for g in got], np.int64) // np.dtype(self.dtype).itemsize
+        end = self.n + len(h)
+        self.lens, self.begin = self._grown(self.lens, end), self._grown(self.begin, end)
+        self.ids = self._grown(self.ids, self.used + len(flat))
+        self.lens[self.n:end] = lens
+        self.begin[self.n:end] = self.used + np.cumsum(lens) - lens
+        self.ids[self.used:self.used + len(flat)] = flat
+        self._insert(h)
+        self.n, self.used = end, self.used + len(flat)
+
+    def _part(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        whole = b"".join(texts)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        counts = np.zeros(len(texts), np.int64)
+        if not len(whole):
+            return counts, self.ids[:0]
+        raw = np.frombuffer(whole, np.uint8)
+        starts = np.cumsum(sizes) - sizes
+        begin = cuts(raw, starts[sizes > 0])
+        end = np.append(begin[1:], len(raw))
+        h = span_hashes(byte_sums(raw), begin, end)
+        h[h == 0] = 1
+        slot = self._find(h)
+        if (slot < 0).any():
+            new, first = np.unique(h[slot < 0], return_index=True)
+            first = np.flatnonzero(slot < 0)[first]
+            self._learn(new, [whole[a:b].decode("utf-8") for a, b in zip(begin[first].tolist(), end[first].tolist())])
+            slot = self._find(h)
+        lens = self.lens[slot]
+        total = np.concatenate(([0], np.cumsum(lens)))
+        edge = np.searchsorted(begin, np.append(starts, len(raw)))
+        counts = total[edge[1:]] - total[edge[:-1]]
+        if self.dtype is None:
+            return counts, self.ids[:0]
+        at = np.repeat(self.begin[slot] - total[:-1], lens) + np.arange(total[-1])
+        return counts, self.ids[at]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens of each text, ids of all texts one after the other; no ids if `dtype` is None)."""
+        counts, flat, part, size = [], [], [], 0
+        for i, text in enumerate(texts):
+            part.append(text.encode("utf-8"))
+            size += len(part[-1])
+            if size >= PART or i == len(texts) - 1:
+                if self.n > self.limit or self.used > self.room:
+                    self._forget()
+                c, f = self._part(part)
+                counts.append(c)
+                flat.append(f)
+                part, size = [], 0
+        if not counts:
+            return np.zeros(0, np.int64), self.ids[:0]
+        return np.concatenate(counts), np.concatenate(flat)

@@ -7,7 +7,7 @@ symbols they have left. Counting needs no ids.
 
 The tokeniser file is a byte-level BPE `.json`; its special strings inside texts count as one token
 each, as the tokenizers library does by default. Each worker counts a new segment of text once and
-keeps a bounded number of counts (`SegmentCache`).
+keeps a bounded number of counts (`SegmentTable`).
 
 Defined cases: NULL and empty texts have 0 bytes and 0 tokens; ids are passed through, so repeated
 and NULL ids give one row each; a text without any break is one segment of any length; an empty
@@ -25,7 +25,7 @@ import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from cumulo.llm.segments import SegmentCache
+from cumulo.llm.segments import SegmentTable
 
 NEVER = np.int32(2**31 - 1)
 
@@ -120,12 +120,12 @@ class MergeTable:
         return fixed.tolist()
 
 
-_TABLES: dict[tuple, SegmentCache] = {}
+_TABLES: dict[tuple, SegmentTable] = {}
 
 
-def _cache(path: str, pattern: str) -> SegmentCache:
+def _cache(path: str, pattern: str) -> SegmentTable:
     if (path, pattern) not in _TABLES:
-        _TABLES[path, pattern] = SegmentCache(MergeTable(path, pattern).segment_counts)
+        _TABLES[path, pattern] = SegmentTable(MergeTable(path, pattern).segment_counts, None)
     return _TABLES[path, pattern]
 
 
@@ -137,7 +137,7 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 1024, id
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _cache(path, pattern)
         for b in batches:
-            n = [sum(v) for v in cache.values(b.column("t").to_pylist())]
+            n, _ = cache.encode(b.column("t").to_pylist())
             size = pa.compute.binary_length(b.column("t")).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("id"), size, pa.array(n, pa.int64())], ["id", "n_bytes", "n_tokens"])
 

@@ -29,6 +29,7 @@ empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -38,7 +39,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from cumulo.llm.segments import SegmentCache
+from cumulo.llm.segments import SegmentTable
 
 BUCKET, GROUP, MAGIC = 4096, 4, 0x6D756C756375
 RECORDS = "key long, start long, n_tokens long, ids binary"
@@ -51,6 +52,7 @@ class LibraryEncoder:
     """Ids of segments by the tokenizers library, as bytes of `dtype`."""
 
     def __init__(self, path: str, dtype: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         from tokenizers import Tokenizer
         self.tok, self.dtype = Tokenizer.from_file(path), dtype
         # segments are strung together by a special string, which the library cuts out before anything else
@@ -61,10 +63,10 @@ class LibraryEncoder:
     def segment_ids(self, segments: list[str], at_once: int = 512) -> list[bytes]:
         if self.mark is None or any(self.mark in s for s in segments):
             return [np.array(self.tok.encode(s, add_special_tokens=False).ids, self.dtype).tobytes() for s in segments]
-        strings = [self.mark.join(segments[i:i + at_once]) for i in range(0, len(segments), at_once)]
         out: list[bytes] = []
-        for e, i in zip(self.tok.encode_batch_fast(strings, add_special_tokens=False), range(0, len(segments), at_once)):
-            ids = np.array(e.ids, np.int64)
+        for i in range(0, len(segments), at_once):
+            string = self.mark.join(segments[i:i + at_once])
+            ids = np.array(self.tok.encode_batch_fast([string], add_special_tokens=False)[0].ids, np.int64)
             cuts = np.flatnonzero(ids == self.mark_id)
             raw, width = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
             begins = [0, *((cuts + 1) * width).tolist()]
@@ -73,12 +75,12 @@ class LibraryEncoder:
         return out
 
 
-_ENCODERS: dict[tuple, SegmentCache] = {}
+_ENCODERS: dict[tuple, SegmentTable] = {}
 
 
-def _encoder(path: str, dtype: str) -> SegmentCache:
+def _encoder(path: str, dtype: str) -> SegmentTable:
     if (path, dtype) not in _ENCODERS:
-        _ENCODERS[path, dtype] = SegmentCache(LibraryEncoder(path, dtype).segment_ids, limit=500_000)
+        _ENCODERS[path, dtype] = SegmentTable(LibraryEncoder(path, dtype).segment_ids, dtype, limit=1_500_000)
     return _ENCODERS[path, dtype]
 
 
@@ -100,10 +102,12 @@ def write(docs: DataFrame, out: str, path: str, end_id: int = 2, id_col: str = "
         cache = _encoder(path, dtype)
         keys, counts = [], []
         for b in batches:
-            payload = [b"".join(v) for v in cache.values(b.column("t").to_pylist())]
+            n, flat = cache.encode(b.column("t").to_pylist())
+            ends = np.concatenate(([0], np.cumsum(n) * len(close))).astype(np.int32)
             keys += b.column("id").to_pylist()
-            counts += [len(p) // len(close) + 1 for p in payload]
-            yield pa.RecordBatch.from_arrays([pa.array(payload, pa.binary())], ["ids"])
+            counts += (n + 1).tolist()
+            yield pa.RecordBatch.from_arrays([pa.BinaryArray.from_buffers(
+                pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(flat.tobytes())])], ["ids"])
         if keys:
             null = np.array([k is None for k in keys], np.uint8)
             whole = np.array([0 if k is None else k for k in keys], "<i8")
@@ -147,8 +151,7 @@ def scan(spark: SparkSession, shards: str, dtype: str) -> DataFrame:
                 with _open(name) as f:
                     keys, null, counts = _directory(f, width)
                 yield pd.DataFrame({"shard": int(_SHARD.search(name).group(1)), "file": name,
-                                    "key": pd.array(np.where(null, 0, keys), "Int64").copy(),
-                                    "null": null, "row": np.arange(len(keys)),
+                                    "key": np.where(null, 0, keys), "null": null, "row": np.arange(len(keys)),
                                     "at": np.cumsum(counts) - counts, "n_tokens": counts})
 
     # lists files only: the content column is not asked for

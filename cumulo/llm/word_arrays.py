@@ -47,15 +47,25 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
+def byte_sums(raw: np.ndarray) -> np.ndarray:
+    """Prefix sums of the bytes' polynomial."""
+    up, _ = _power_tables(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_TABLE[raw] * up[:len(raw)], out=sums[1:])
+    return sums
+
+
+def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes in each span; equal bytes have equal hashes wherever they stand."""
+    _, down = _power_tables(len(sums))
+    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 def _slice_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     word = ~_IS_BREAK[raw]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).astype(np.int8)))
     start, end = edge[::2], edge[1::2]
-    up, down = _power_tables(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_TABLE[raw] * up[:len(raw)], out=sums[1:])
-    h = (sums[end] - sums[start]) * down[start]
-    return mix(h + (end - start).astype(np.uint64)), start, end
+    return span_hashes(byte_sums(raw), start, end), start, end
 
 
 def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
