@@ -9,7 +9,7 @@ the Jaccard similarity of their sets reaches `percent` / 100; components are wha
 3. Pivots instead of pairs: in each band every member is paired with a pivot, the most central
    member (the one whose bands hold most members), if their components differ. After verification
    components are merged, pivots are done with, and bands whose members are not yet all in one
-   component go on with twice as many pivots. So every candidate pair is compared unless its two
+   component go on with four times as many pivots. So every candidate pair is compared unless its two
    sides have been connected otherwise, and no band emits all pairs when one component fills it.
 4. Sequential Bayesian verification: signatures are compared in batches of `BATCH` hashes; with m of
    n equal, the posterior of the similarity s under a uniform prior is Beta(m + 1, n - m + 1), and
@@ -176,7 +176,6 @@ def merge_components(comp: DataFrame, links: DataFrame) -> DataFrame:
     while edges.head(1):
         # every component points to its smallest neighbour if that is smaller; then follow the pointers
         to = edges.groupBy("ca").agg(F.min("cb").alias("p")).where("p < ca")
-        to = materialise(to, "component-pointers")
         while True:
             hop = to.select(F.col("ca").alias("p"), F.col("p").alias("q"))
             far = materialise(to.join(hop, "p", "left").select(
@@ -203,11 +202,13 @@ def link_classes(docs: DataFrame, prints: DataFrame, k: int, percent: int, miss:
     first = prints.where("id IS NOT NULL").groupBy("node").agg(F.min("id").alias("comp"))
     comp = materialise(central.select("node").join(first, "node"), "components")
     open_ = bands.select("band", "node").join(central, "node")
-    pending, pivots_per_band = None, 1
+    pivots_per_band = 1
     while True:
         here = open_.join(comp, "node")
         split = here.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
         here = materialise(here.join(split, "band"), "open-bands")
+        if not here.head(1):
+            return comp
         order = Window.partitionBy("band").orderBy(F.desc("weight"), "node")
         pivots = here.withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots_per_band).select(
             "band", F.col("node").alias("b"), F.col("comp").alias("cb"))
@@ -215,21 +216,17 @@ def link_classes(docs: DataFrame, prints: DataFrame, k: int, percent: int, miss:
         # of two pivots of a band the pair comes twice: keep one direction of each
         pairs = pairs.withColumn("lo", F.least("a", "b")).withColumn("hi", F.greatest("a", "b")) \
             .groupBy("lo", "hi").agg(F.max_by("a", F.col("b")).alias("a"), F.max("b").alias("b")).select("a", "b")
-        found = posterior_survivors(pairs, texts.select("node", "sig"), percent / 100, miss)
-        found = materialise(found if pending is None else found.unionByName(pending).dropDuplicates(["a", "b"]), "survivors")
+        found = materialise(posterior_survivors(pairs, texts.select("node", "sig"), percent / 100, miss), "survivors")
+        best = found.groupBy("a").agg(F.max(F.struct("equal", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+        rest = found.join(best, ["a", "b"], "left_anti").select("a", "b")
+        for some in (best, rest):  # the rest only where it would still connect
+            apart = some.join(comp.withColumnsRenamed({"node": "a", "comp": "ca"}), "a") \
+                .join(comp.withColumnsRenamed({"node": "b", "comp": "cb"}), "b").where("ca <> cb").select("a", "b")
+            links = materialise(verified_links(apart, texts, k, percent), "links")
+            if links.head(1):
+                comp = merge_components(comp, links)
         open_ = here.join(pivots.select("band", F.col("b").alias("node")), ["band", "node"], "left_anti").drop("comp")
-        while found.head(1):
-            best = found.groupBy("a").agg(F.max(F.struct("equal", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-            best = materialise(best, "pairs")
-            links = materialise(verified_links(best, texts, k, percent), "links")
-            comp = merge_components(comp, links)
-            rest = found.join(best, ["a", "b"], "left_anti")
-            rest = rest.join(comp.withColumnsRenamed({"node": "a", "comp": "ca"}), "a") \
-                .join(comp.withColumnsRenamed({"node": "b", "comp": "cb"}), "b").where("ca <> cb")
-            found = materialise(rest.select("a", "b", "equal"), "survivors")
-        if not here.head(1):
-            return comp
-        pivots_per_band *= 2
+        pivots_per_band *= 4
 
 
 def near_copies(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = MISS, id_col: str = "doc_id",
