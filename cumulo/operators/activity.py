@@ -19,10 +19,21 @@ def _lit_date(d) -> Column:
     return d if isinstance(d, Column) else F.lit(d).cast("date")
 
 
-def run_date(df: DataFrame, date_col: str = "event_date"):
-    """Latest date present: the run parameter for a daily step when the
-    caller does not pass one (a one-row aggregate, not a data pull)."""
-    return df.agg(F.max(date_col)).first()[0]
+def run_date(df: DataFrame, date_col: str = "event_date") -> Column:
+    """Latest date present, as a scalar subquery: the run parameter for a
+    daily step when the caller does not pass one. NULL on an empty table."""
+    return df.agg(F.max(date_col)).scalar()
+
+
+def _full_join(prev: DataFrame, today: DataFrame, keys: Sequence[str], null_keys: bool) -> DataFrame:
+    """Full outer join, one row per key on each side. With `null_keys` the
+    keys are compared as one struct, in which NULL equals NULL; without, a
+    bucketed table is read in its buckets."""
+    if not null_keys:
+        return prev.join(today, on=list(keys), how="full")
+    def as_struct(df):
+        return df.select(F.struct(*keys).alias("_k"), *[c for c in df.columns if c not in keys])
+    return as_struct(prev).join(as_struct(today), on="_k", how="full").select("_k.*", "*").drop("_k")
 
 
 def active_days(events: DataFrame, keys: Sequence[str], date_col: str = "event_date",
@@ -43,7 +54,7 @@ def active_days(events: DataFrame, keys: Sequence[str], date_col: str = "event_d
 
 def datelist_step(prev: DataFrame | None, today: DataFrame, keys: Sequence[str], date,
                   *, list_col: str = "dates_active", snap_col: str = "date",
-                  date_col: str = "event_date") -> DataFrame:
+                  date_col: str = "event_date", null_keys: bool = True) -> DataFrame:
     """P10: yesterday's date lists + the keys active on `date`.
 
     Today's date is appended (lists stay ascending); keys not seen today
@@ -59,7 +70,7 @@ def datelist_step(prev: DataFrame | None, today: DataFrame, keys: Sequence[str],
         j = t.withColumn("_prev", F.lit(None).cast(ArrayType(DateType())))
     else:
         p = prev.select(*keys, F.col(list_col).alias("_prev"))
-        j = p.join(t, on=keys, how="full")
+        j = _full_join(p, t, keys, null_keys)
     return j.select(*keys,
                     F.concat(F.coalesce(F.col("_prev"), empty),
                              F.when(F.col("_seen"), F.array(d)).otherwise(empty)).alias(list_col),
@@ -101,13 +112,13 @@ def datelist_metrics(df: DataFrame, keys: Sequence[str], word: str = "datelist_i
 def month_array_step(prev: DataFrame | None, today: DataFrame, keys: Sequence[str], date,
                      measures: Sequence[tuple[str, str]], *, pad=None, month_col: str = "month_start",
                      first_found_col: str | None = "first_found_date", snap_col: str = "date_partition",
-                     date_col: str = "event_date") -> DataFrame:
+                     date_col: str = "event_date", null_keys: bool = True) -> DataFrame:
     """Append today's value to each month array.
 
     `measures` pairs (array column, today's value column). Slot i is day i+1
     of the month: a key first seen on day k gets k-1 leading `pad` slots
-    (NULL for P13, 0 for P14/P15); a known key unseen today appends `pad`.
-    A key whose array already covers the day is left as is, so a re-run of
+    (NULL for P13, 0 for P14/P15); a known key unseen today appends `pad`, and
+    days that no step ran for are padded first. A key whose array already covers the day is left as is, so a re-run of
     one day does not append twice (T5).
     """
     keys = list(keys)
@@ -123,12 +134,13 @@ def month_array_step(prev: DataFrame | None, today: DataFrame, keys: Sequence[st
         p = prev.filter(F.col(month_col) == month).select(
             *keys, *[F.col(a).alias(f"_p_{a}") for a, _ in measures],
             (F.col(first_found_col) if first_found_col else F.lit(None).cast("date")).alias("_p_first"))
-        j = p.join(t, on=keys, how="full")
+        j = _full_join(p, t, keys, null_keys)
     out = [*keys]
     for a, _ in measures:
         et = j.schema[f"_t_{a}"].dataType
         padv = F.lit(pad).cast(et)
-        prev_arr = F.coalesce(F.col(f"_p_{a}"), F.array_repeat(padv, idx))
+        held = F.coalesce(F.col(f"_p_{a}"), F.array().cast(ArrayType(et)))
+        prev_arr = F.concat(held, F.array_repeat(padv, F.greatest(idx - F.size(held), F.lit(0))))
         today_v = F.when(F.col("_seen"), F.col(f"_t_{a}")).otherwise(padv)
         arr = F.when(F.size(F.col(f"_p_{a}")) > idx, F.col(f"_p_{a}")).otherwise(
             F.concat(prev_arr, F.array(today_v)))
@@ -145,25 +157,27 @@ def month_array_backfill(daily: DataFrame, keys: Sequence[str], as_of, measures:
                          *, pad=None, month_col: str = "month_start",
                          first_found_col: str | None = "first_found_date", snap_col: str = "date_partition",
                          date_col: str = "event_date") -> DataFrame:
-    """Month arrays for the as-of month in one pass (twin of `month_array_step`).
+    """Month arrays of every month up to `as_of` in one pass (twin of `month_array_step`).
 
-    Per key, the month's daily values are collected into a map (at most 31
-    entries) and laid out by day, `pad` where a day has no value.
+    Per key and month, the month's daily values are collected into a map (at
+    most 31 entries) and laid out by day, `pad` where a day has no value. A
+    month before that of `as_of` has its full length.
     """
     keys = list(keys)
     d = _lit_date(as_of)
-    month = F.trunc(d, "month")
-    n = F.datediff(d, month) + 1
-    m = (daily.filter((F.col(date_col) >= month) & (F.col(date_col) <= d))
-         .groupBy(*keys).agg(
+    m = (daily.filter(F.col(date_col) <= d)
+         .groupBy(*keys, F.trunc(F.col(date_col), "month").alias("_month")).agg(
              *[F.map_from_entries(F.collect_list(F.struct(F.col(date_col), F.col(v)))).alias(f"_m_{a}")
                for a, v in measures],
              F.min(date_col).alias("_first")))
+    month = F.col("_month")
+    # a scalar subquery may not stand inside transform(): the length is a column of its own
+    m = m.withColumn("_n", F.datediff(F.least(F.last_day(month), d), month) + 1)
     out = [*keys]
     for a, v in measures:
         vt = daily.schema[v].dataType
         padv = F.lit(pad).cast(vt)
-        out.append(F.transform(F.sequence(F.lit(0), n - 1), _slot_value(f"_m_{a}", month, padv)).alias(a))
+        out.append(F.transform(F.sequence(F.lit(0), F.col("_n") - 1), _slot_value(f"_m_{a}", month, padv)).alias(a))
     out.append(month.alias(month_col))
     if first_found_col:
         out.append(F.col("_first").alias(first_found_col))

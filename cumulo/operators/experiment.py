@@ -38,28 +38,27 @@ def exposures(events: DataFrame, cells: DataFrame, id_col: str, cell: str = "cel
 def per_user_outcomes(events: DataFrame, user: str, convert_when: Column, value_cents: Column) -> DataFrame:
     """One row per user: converted flag and total value (in cents, exact)."""
     return events.groupBy(user).agg(F.max(F.when(convert_when, 1).otherwise(0)).alias("converted"),
-                                    F.sum(value_cents).cast("bigint").alias("value_cents"))
+                                    F.sum(value_cents.cast("decimal(28,0)")).cast("bigint").alias("value_cents"))
 
 
 def experiment_readout(users: DataFrame, cell: str = "cell", control: str = "control") -> DataFrame:
     """Per cell users, conversions, rate, mean and sample variance of the
     value, lift over control and the two-proportion z statistic.
 
-    Aggregates are integer sums (exact in any combine order); the cross-cell
+    The sum is exact (decimals), the variance is Spark's `var_samp`, which
+    merges partial moments without cancellation; the cross-cell
     step is a window over the per-cell table, whose size is the number of
     cells.
     """
     g = users.groupBy(cell).agg(
         F.count(F.lit(1)).alias("users"), F.sum("converted").cast("bigint").alias("conversions"),
-        F.sum("value_cents").cast("bigint").alias("_s"),
-        F.sum(F.col("value_cents") * F.col("value_cents")).cast("bigint").alias("_ss"))
+        F.sum(F.col("value_cents").cast("decimal(28,0)")).alias("_s"),
+        F.var_samp(F.col("value_cents") / 100.0).alias("_var"))
     n = F.col("users").cast("double")
     rate = F.col("conversions").cast("double") / n
     mean = F.col("_s").cast("double") / n / 100.0
-    var = ((F.col("_ss").cast("double") - F.col("_s").cast("double") * F.col("_s").cast("double") / n)
-           / (n - 1.0) / 10000.0)
     g = g.select(cell, "users", "conversions", rate.alias("conversion_rate"), mean.alias("mean_value"),
-                 F.when(F.col("users") > 1, var).alias("var_value"))
+                 F.col("_var").alias("var_value"))
     w = Window.partitionBy()
     c_n = F.max(F.when(F.col(cell) == control, F.col("users"))).over(w).cast("double")
     c_k = F.max(F.when(F.col(cell) == control, F.col("conversions"))).over(w).cast("double")

@@ -63,6 +63,22 @@ def growth_accounting_step(prev: DataFrame | None, active: DataFrame, key: str,
         F.coalesce(today, F.date_add(F.col("_pd"), 1)).alias("date"))
 
 
+def growth_accounting_as_of(active: DataFrame, key: str, day, date_col: str = "event_date") -> DataFrame:
+    """The backfilled table's rows of one day, from one aggregate per key (no grid of days)."""
+    d = _d(day)
+    g = (active.filter(F.col(date_col) <= d).groupBy(key)
+         .agg(F.array_sort(F.collect_set(date_col)).alias("dates_active")))
+    last = F.element_at("dates_active", -1)
+    before = F.when(last == d, F.try_element_at("dates_active", F.lit(-2))).otherwise(last)
+    first = F.element_at("dates_active", 1)
+    exists, today = d > first, F.when(last == d, d)
+    prev_date = F.date_sub(d, 1)
+    return g.select(key, first.alias("first_active_date"), last.alias("last_active_date"),
+                    _daily_state(exists, before, prev_date, today).alias("daily_active_state"),
+                    _weekly_state(exists, before, prev_date, today).alias("weekly_active_state"),
+                    "dates_active", d.alias("date"))
+
+
 def growth_accounting_backfill(active: DataFrame, key: str, last_date, date_col: str = "event_date",
                                with_dates: bool = True) -> DataFrame:
     """P18 backfill: every (user, day) from the first active day to `last_date`.

@@ -79,7 +79,7 @@ def top_filtered_group(facts: DataFrame, dim: DataFrame, dim_key: str, dim_filte
     """K4: filter a dimension, join the facts to it (broadcast when its
     checked size allows), total by `group`, keep the top group, *then* look
     up its name (T12: limit before the lookup, so the order survives)."""
-    d = broadcast_if_small(dim.filter(dim_filter).select(dim_key))
+    d = dim.filter(dim_filter).select(dim_key)
     totals = facts.join(d, on=dim_key, how="inner").groupBy(group).agg(F.sum(measure).alias("total"))
     top = top_one(totals, [F.col("total").desc(), F.col(group)])
     return top.join(names.select(F.col(name_key).alias(group), name_col), on=group, how="left")

@@ -14,5 +14,5 @@ def geo_enrich(events: DataFrame, locations: DataFrame, key: str, out: str = "ge
     when the lookup fails). The table is broadcast when its checked size
     allows, else the join shuffles; no per-row remote calls."""
     loc = locations.select(key, F.to_json(F.struct("country", "state", "city")).alias("_geo"))
-    j = events.join(broadcast_if_small(loc), on=key, how="left")
+    j = events.join(loc, on=key, how="left")
     return j.withColumn(out, F.coalesce(F.col("_geo"), F.lit("{}"))).drop("_geo")

@@ -2,10 +2,12 @@
 
 A plain window partitioned by a low-cardinality key (a team, a player, a
 user) runs each group in one task; one key holding a third of the rows
-would serialise a third of the job. These helpers range-partition on
-(key, order) instead, so a large group spans many slices, compute local
-running values per slice and add per-slice offsets from a small table of
-slice totals (one row per slice and key).
+would serialise a third of the job. These helpers cut each key's rows into
+slices of the order column's value (`floor(value / width)`), so a large
+group spans many slices, compute local running values per slice and add
+per-slice offsets from a small table of slice totals (one row per slice
+and key). A row's slice depends on the row alone: nothing is sampled or
+checkpointed, and NULL keys are a key like any other.
 """
 
 from __future__ import annotations
@@ -14,50 +16,49 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from cumulo.session import ensure_checkpoint_dir
+# Width of a slice: days of a date, seconds of a timestamp, units of a number.
+WIDTHS = {"date": 30, "timestamp": 6 * 3600, "number": 100_000}
 
 
-def _slices(df: DataFrame, slices: int | None) -> int:
-    if slices:
-        return slices
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _slice(df: DataFrame, col: str, width: int | None) -> Column:
+    kind = df.schema[col].dataType
+    if isinstance(kind, DateType):
+        return F.floor(F.unix_date(F.col(col)) / (width or WIDTHS["date"]))
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.floor(F.unix_timestamp(F.col(col).cast("timestamp")) / (width or WIDTHS["timestamp"]))
+    return F.floor(F.col(col) / (width or WIDTHS["number"]))
 
 
 def ordinal_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     sums: Mapping[str, Column] | None = None, *, idx_col: str = "idx",
-                    slices: int | None = None, keep_slice: bool = False) -> DataFrame:
+                    width: int | None = None, keep_slice: bool = False) -> DataFrame:
     """Add the 1-based position of each row inside `keys` ordered by `order`
     (which must be a total order within a key) and running sums of `sums`.
 
-    Shuffles: one range exchange on (keys, order) (checkpointed), one hash
-    exchange on (slice, keys) for the local windows; slice totals are small.
+    The first column of `order` is a date, a timestamp or a number; its value
+    gives the slice. One exchange of the rows on (slice, keys), used by the
+    local windows and by the join with the small table of slice offsets. The
+    join key is a struct, in which NULL equals NULL.
     """
     keys, order, sums = list(keys), list(order), dict(sums or {})
     base = df.select("*", *[c.alias(f"_v_{n}") for n, c in sums.items()])
-    r = (base.repartitionByRange(_slices(df, slices), *[F.col(c) for c in keys + order])
-         .withColumn("_slice", F.spark_partition_id()))
-    # The slice id depends on the range bounds, which are sampled from the
-    # input partitions; two consumers planned separately (and re-coalesced by
-    # AQE) could disagree. A reliable checkpoint fixes the slices once and
-    # also cuts the lineage at this stage boundary.
-    ensure_checkpoint_dir(df.sparkSession)
-    r = r.checkpoint(eager=True)
-    wl = (Window.partitionBy("_slice", *keys).orderBy(*order)
+    r = base.withColumn("_k", F.struct(_slice(df, order[0], width).alias("_slice"), *keys))
+    wl = (Window.partitionBy("_k").orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = r.select("*", F.count(F.lit(1)).over(wl).alias("_l_n"),
                      *[F.sum(f"_v_{n}").over(wl).alias(f"_l_{n}") for n in sums])
-    tot = r.groupBy("_slice", *keys).agg(F.count(F.lit(1)).alias("_t_n"),
-                                         *[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
-    wo = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select("_slice", *keys,
-                     F.coalesce(F.sum("_t_n").over(wo), F.lit(0)).alias("_o_n"),
+    tot = r.groupBy("_k").agg(F.count(F.lit(1)).alias("_t_n"),
+                              *[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
+    wo = (Window.partitionBy(*[F.col(f"_k.{k}") for k in keys]).orderBy("_k._slice")
+          .rowsBetween(Window.unboundedPreceding, -1))
+    off = tot.select("_k", F.coalesce(F.sum("_t_n").over(wo), F.lit(0)).alias("_o_n"),
                      *[F.coalesce(F.sum(f"_t_{n}").over(wo), F.lit(0)).alias(f"_o_{n}") for n in sums])
-    j = local.join(off, on=["_slice", *keys], how="inner")
-    out = j.select(*df.columns, (F.col("_l_n") + F.col("_o_n")).alias(idx_col),
-                   *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums],
-                   *(["_slice"] if keep_slice else []))
-    return out
+    j = local.join(off, on="_k", how="inner")
+    return j.select(*[F.col(c) for c in df.columns], (F.col("_l_n") + F.col("_o_n")).alias(idx_col),
+                    *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums],
+                    *([F.col("_k._slice").alias("_slice")] if keep_slice else []))
 
 
 def shifted(df: DataFrame, keys: Sequence[str], idx_col: str, by: int,
@@ -68,52 +69,48 @@ def shifted(df: DataFrame, keys: Sequence[str], idx_col: str, by: int,
     so a large group is spread over all partitions.
     """
     keys = list(keys)
-    other = df.select(*keys, (F.col(idx_col) + by).alias(idx_col),
+    here = df.withColumn("_k", F.struct(*keys, F.col(idx_col).alias("_i")))
+    other = df.select(F.struct(*keys, (F.col(idx_col) + by).alias("_i")).alias("_k"),
                       *[F.col(c).alias(prefix + c) for c in cols])
-    return df.join(other, on=[*keys, idx_col], how="left")
+    return here.join(other, on="_k", how="left").drop("_k")
 
 
 def sessionize(df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int, order: Sequence[str] = (),
-               count_col: str = "num_hits", slices: int | None = None) -> DataFrame:
+               count_col: str = "num_hits", width: int | None = None) -> DataFrame:
     """Batch sessions per key: a new session starts when the time since the
     key's previous event exceeds `gap_seconds` (exactly one gap still
     merges, as Spark's session windows do); a session ends `gap_seconds`
-    after its last event.
-
-    Skew-safe, one pass: rows are range-sliced on (key, time) and
-    checkpointed; inside each (slice, key) a local window flags starts,
-    counting the slice's first row as a start provisionally; a small table
-    with one row per (slice, key) fixes that first row from the previous
-    slice's last event and turns the flags into global session numbers.
-    Sessions are then a partial aggregate on (key, session number).
+    after its last event. NULL keys have sessions too.
+
+    Skew-safe, one pass: rows are cut into time slices of `width` seconds;
+    inside each (slice, key) a local window flags starts, counting the
+    slice's first row as a start provisionally; a small table with one row
+    per (slice, key) fixes that first row from the previous slice's last
+    event and turns the flags into global session numbers. Sessions are
+    then a partial aggregate on (key, session number).
     """
     keys = list(keys)
     order = [ts, *order]
     secs = F.col(ts).cast("timestamp").cast("double")   # seconds; timestamp_ntz read in the session time zone
-    base = df.select(*keys, *[c for c in order], secs.alias("_t"))
-    r = (base.repartitionByRange(_slices(df, slices), *[F.col(c) for c in keys + order])
-         .withColumn("_slice", F.spark_partition_id()))
-    ensure_checkpoint_dir(df.sparkSession)
-    r = r.checkpoint(eager=True)
-    wl = Window.partitionBy("_slice", *keys).orderBy(*order)
+    r = df.select(*[c for c in order], secs.alias("_t"),
+                  F.struct(_slice(df, ts, width).alias("_slice"), *keys).alias("_k"))
+    wl = Window.partitionBy("_k").orderBy(*order)
     prev_t = F.lag("_t").over(wl)
     start = F.when(prev_t.isNull() | (F.col("_t") - prev_t > gap_seconds), 1).otherwise(0)
     local = r.select("*", start.alias("_start"))
     local = local.select("*", F.sum("_start").over(wl.rowsBetween(Window.unboundedPreceding, 0)).alias("_l_sid"))
-    per = local.groupBy("_slice", *keys).agg(F.min("_t").alias("_first_t"), F.max("_t").alias("_last_t"),
-                                            F.sum("_start").alias("_prov"))
-    wo = Window.partitionBy(*keys).orderBy("_slice")
+    per = local.groupBy("_k").agg(F.min("_t").alias("_first_t"), F.max("_t").alias("_last_t"),
+                                  F.sum("_start").alias("_prov"))
+    wo = Window.partitionBy(*[F.col(f"_k.{k}") for k in keys]).orderBy("_k._slice")
     prev_last = F.lag("_last_t").over(wo)
     # the slice's first row is a true start unless the previous slice's last event is within the gap
     first_true = F.when(prev_last.isNotNull() & (F.col("_first_t") - prev_last <= gap_seconds), 0).otherwise(1)
-    fixed = per.select("_slice", *keys, (first_true - 1).alias("_fix"),
-                       (F.col("_prov") + first_true - 1).alias("_true"))
-    off = fixed.select("_slice", *keys, "_fix",
-                       F.coalesce(F.sum("_true").over(wo.rowsBetween(Window.unboundedPreceding, -1)),
-                                  F.lit(0)).alias("_off"))
-    j = local.join(off, on=["_slice", *keys], how="inner")
+    fixed = per.select("_k", (first_true - 1).alias("_fix"), (F.col("_prov") + first_true - 1).alias("_true"))
+    off = fixed.select("_k", "_fix", F.coalesce(F.sum("_true").over(wo.rowsBetween(Window.unboundedPreceding, -1)),
+                                                F.lit(0)).alias("_off"))
+    j = local.join(off, on="_k", how="inner")
     sid = F.col("_off") + F.col("_l_sid") + F.col("_fix")
-    rows = j.select(*keys, ts, sid.alias("_sid"))
+    rows = j.select(*[F.col(f"_k.{k}").alias(k) for k in keys], ts, sid.alias("_sid"))
     g = rows.groupBy(*keys, "_sid").agg(F.min(ts).alias("session_start"), F.max(ts).alias("_last"),
                                         F.count(F.lit(1)).alias(count_col))
     return g.select(*keys, "session_start",

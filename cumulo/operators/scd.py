@@ -58,11 +58,15 @@ def scd2_step(scd: DataFrame, today: DataFrame, key: Sequence[str], attrs: Seque
       changed attributes  -> open row as is + new row [period, period]
       key only today      -> new row [period, period]
       key only in history -> open row kept (T10: it is closed, not dropped)
-    Rows that are not open pass through. Every row gets `current_col`.
+    Rows that are not open pass through. Every row gets `current_col`. Running
+    a period again gives the same table: rows that began with it are dropped
+    and rows that it extended end a period earlier before the step.
     """
     key, attrs = list(key), list(attrs)
     p = F.lit(period)
-    base = scd.select(*key, *attrs, start_col, end_col)
+    # a re-run of `period` starts from the table as it was after period - 1
+    base = (scd.filter(F.col(start_col) < p)
+            .select(*key, *attrs, start_col, F.least(F.col(end_col), p - 1).alias(end_col)))
     if open_by == "end":
         marked = base.withColumn("_open", F.col(end_col) == p - 1)
     elif open_by == "latest":
@@ -75,7 +79,7 @@ def scd2_step(scd: DataFrame, today: DataFrame, key: Sequence[str], attrs: Seque
     t = today.select(*key, F.struct(*attrs).alias("_t_a"))
     # One full outer join: today's row can only match the key's open row;
     # closed rows come out unmatched and pass through unchanged.
-    cond = [F.col(f"_h_{k}") == F.col(k) for k in key] + [F.col("_open")]
+    cond = [F.col(f"_h_{k}").eqNullSafe(F.col(k)) for k in key] + [F.col("_open")]
     j = hist.join(t, on=cond, how="full")
 
     def row(a, s, e):
@@ -88,10 +92,7 @@ def scd2_step(scd: DataFrame, today: DataFrame, key: Sequence[str], attrs: Seque
     old = row(F.col("_o_a"), F.col("_o_s"), F.col("_o_e"))
     extended = row(F.col("_o_a"), F.col("_o_s"), p)
     new = row(F.col("_t_a"), p, p)
-    # A key whose open row already covers `period` (re-run) is left unchanged.
-    covered = has_o & (F.col("_o_e") >= p)
     rows = (F.when(~has_t, F.array(old))
-            .when(covered, F.array(old))
             .when(has_o & same, F.array(extended))
             .when(has_o, F.array(old, new))
             .otherwise(F.array(new)))

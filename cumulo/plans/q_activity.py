@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import functions as F
 
 from cumulo.functions.columns import distinct_count
@@ -16,7 +14,10 @@ from cumulo.plans.sqlparts import DEVICES, WEB, with_
 
 W20 = WEB.format(mod=20)
 ASOF = "lastday AS (SELECT MAX(event_date) AS d FROM web)"
-ONE_DAY = datetime.timedelta(days=1)
+
+
+def _before(day):
+    return F.date_sub(day, 1)
 
 
 def _web(spark, sf):
@@ -34,8 +35,8 @@ def _dates_str(c="dates_active"):
 def _datelist(web, keys, drop_null=True):
     last = _last_day(web)
     days = AC.active_days(web, keys, drop_null_keys=drop_null)
-    prev = AC.datelist_backfill(days, keys, last - ONE_DAY)
-    return AC.datelist_step(prev, days, keys, last)
+    prev = AC.datelist_backfill(days, keys, _before(last))
+    return AC.datelist_step(prev, days, keys, last, null_keys=not drop_null)
 
 
 DATELIST_SQL = with_(W20, DEVICES, ASOF) + """SELECT {keys}, array_to_string(list_sort(list(DISTINCT event_date)), ',') AS dates_active,
@@ -76,10 +77,7 @@ words AS (SELECT user_id, CAST(SUM(CASE WHEN datediff('day', event_date, (SELECT
 
 
 def _words(spark, sf):
-    web = _web(spark, sf)
-    last = _last_day(web)
-    d = _datelist(web, ["user_id"])
-    return AC.datelist_int(d, ["user_id"], last)
+    return AC.datelist_int(_datelist(_web(spark, sf), ["user_id"]), ["user_id"], "date")
 
 
 @query("datelist_int", WORD_SQL + "SELECT user_id, datelist_int FROM words")
@@ -102,84 +100,86 @@ def _daily_hits(web):
     return AC.active_days(web, ["user_id"])
 
 
+def _months(daily, keys, last, measures, null_keys=True, **kw):
+    """The table after the last day's step: earlier months as stored, the last one a day longer."""
+    month_col = kw.get("month_col", "month_start")
+    stored = AC.month_array_backfill(daily, keys, _before(last), measures, **kw)
+    step = AC.month_array_step(stored, daily, keys, last, measures, null_keys=null_keys, **kw)
+    earlier = stored.filter(F.col(month_col) < F.trunc(last, "month"))
+    return earlier.withColumn("date_partition", last).unionByName(step)
+
+
 def _month_hits(spark, sf):
     web = _web(spark, sf)
-    last = _last_day(web)
-    daily = _daily_hits(web)
-    prev = AC.month_array_backfill(daily, ["user_id"], last - ONE_DAY, [("hit_array", "num_hits")])
-    return AC.month_array_step(prev, daily, ["user_id"], last, [("hit_array", "num_hits")])
+    return _months(_daily_hits(web), ["user_id"], _last_day(web), [("hit_array", "num_hits")], null_keys=False)
 
 
-MONTH_SQL = with_(W20, ASOF, """mon AS (SELECT CAST(date_trunc('month', d) AS DATE) AS m, d FROM lastday),
-daily AS (SELECT {keys}, event_date, {vals} FROM web
-  WHERE {notnull} event_date BETWEEN (SELECT m FROM mon) AND (SELECT d FROM mon) GROUP BY {keys}, event_date),
-ks AS (SELECT {keys}, MIN(event_date) AS first_found_date FROM daily GROUP BY {keys}),
-grid AS (SELECT ks.*, CAST(UNNEST(range((SELECT m FROM mon), (SELECT d FROM mon) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS day FROM ks),
-filled AS (SELECT grid.*, {filled} FROM grid LEFT JOIN daily ON {joinon} AND daily.event_date = grid.day)""")
+# Every (key, month) with activity crossed with the month's days up to the last day of the data.
+MONTH_SQL = with_(W20, ASOF, """daily AS (SELECT {keys}, event_date, date_trunc('month', event_date)::DATE AS m, {vals}
+  FROM web {where} GROUP BY ALL),
+active AS (SELECT {keys}, m, MIN(event_date) AS first_found_date FROM daily GROUP BY ALL),
+filled AS (SELECT active.*, days.day, {filled} FROM active
+  CROSS JOIN LATERAL (SELECT UNNEST(range(active.m, least(active.m + INTERVAL 1 MONTH, (SELECT d FROM lastday) + INTERVAL 1 DAY),
+                                          INTERVAL 1 DAY))::DATE AS day) days
+  LEFT JOIN daily ON daily.event_date = days.day AND {joinon})""")
+USER_MONTHS = MONTH_SQL.format(keys="user_id", vals="COUNT(*) AS num_hits", where="WHERE user_id IS NOT NULL",
+                               filled="daily.num_hits", joinon="daily.user_id = active.user_id")
 
 
-@query("month_hits", MONTH_SQL.format(keys="user_id", vals="COUNT(*) AS num_hits", notnull="user_id IS NOT NULL AND",
-                                      filled="daily.num_hits", joinon="daily.user_id = grid.user_id")
-       + """SELECT user_id, CAST((SELECT m FROM mon) AS DATE) AS month_start, first_found_date,
+@query("month_hits", USER_MONTHS + """SELECT user_id, m AS month_start, first_found_date,
   array_to_string(list(COALESCE(CAST(num_hits AS VARCHAR), 'null') ORDER BY day), ',') AS hit_array,
-  (SELECT d FROM mon) AS date_partition FROM filled GROUP BY user_id, first_found_date""")
+  (SELECT d FROM lastday) AS date_partition FROM filled GROUP BY user_id, m, first_found_date""")
 def q_month_hits(spark, sf):
-    """NULL-padded month arrays of daily hits; one step on top of the backfill."""
+    """NULL-padded arrays of daily hits for every month; one step on top of the backfill."""
     m = _month_hits(spark, sf)
     return m.select("user_id", "month_start", "first_found_date",
                     F.array_join(F.col("hit_array").cast("array<string>"), ",", "null").alias("hit_array"),
                     "date_partition")
 
 
-@query("day_slot_totals", MONTH_SQL.format(keys="user_id", vals="COUNT(*) AS num_hits", notnull="user_id IS NOT NULL AND",
-                                           filled="daily.num_hits", joinon="daily.user_id = grid.user_id")
-       + """SELECT CAST((SELECT m FROM mon) AS DATE) AS month_start,
-  CAST(SUM(CASE WHEN day = (SELECT m FROM mon) THEN COALESCE(num_hits, 0) ELSE 0 END) AS BIGINT) AS num_hits_first_day,
-  CAST(SUM(CASE WHEN day = (SELECT m FROM mon) + 1 THEN COALESCE(num_hits, 0) ELSE 0 END) AS BIGINT) AS num_hits_second_day,
-  CAST(SUM(CASE WHEN day = (SELECT m FROM mon) + 2 THEN COALESCE(num_hits, 0) ELSE 0 END) AS BIGINT) AS num_hits_third_day
-FROM filled""")
+@query("day_slot_totals", USER_MONTHS + """SELECT m AS month_start,
+  CAST(COALESCE(SUM(num_hits) FILTER (day = m), 0) AS BIGINT) AS num_hits_first_day,
+  CAST(COALESCE(SUM(num_hits) FILTER (day = m + 1), 0) AS BIGINT) AS num_hits_second_day,
+  CAST(COALESCE(SUM(num_hits) FILTER (day = m + 2), 0) AS BIGINT) AS num_hits_third_day
+FROM filled GROUP BY m""")
 def q_day_slot_totals(spark, sf):
-    """Totals of the first three day slots across users (out-of-range slots count 0)."""
+    """Totals of the first three day slots across users, per month (out-of-range slots count 0)."""
     m = _month_hits(spark, sf)
     return AC.slot_totals(m, "hit_array", ["month_start"], [0, 1, 2],
                           ["num_hits_first_day", "num_hits_second_day", "num_hits_third_day"])
 
 
-@query("metric_array_daily", with_(W20, ASOF) + """SELECT 'site_hits' AS metric_name, event_date, COUNT(*) AS value
-FROM web WHERE user_id IS NOT NULL AND event_date BETWEEN date_trunc('month', (SELECT d FROM lastday)) AND (SELECT d FROM lastday)
-GROUP BY event_date""")
+@query("metric_array_daily", USER_MONTHS + """SELECT 'site_hits' AS metric_name, day AS event_date,
+  CAST(SUM(COALESCE(num_hits, 0)) AS BIGINT) AS value FROM filled GROUP BY day""")
 def q_metric_array_daily(spark, sf):
     """P14 + A8 + P17: zero-padded metric arrays, upserted on (user, month, metric), then summed back to days."""
     web = _web(spark, sf)
     last = _last_day(web)
     daily = _daily_hits(web)
-    prev = AC.month_array_backfill(daily, ["user_id"], last - ONE_DAY, [("metric_array", "num_hits")],
-                                   pad=0, first_found_col=None).withColumn("metric_name", F.lit("site_hits"))
-    step = AC.month_array_step(prev, daily, ["user_id"], last, [("metric_array", "num_hits")], pad=0,
-                               first_found_col=None).withColumn("metric_name", F.lit("site_hits"))
+    ms = [("metric_array", "num_hits")]
+    prev = AC.month_array_backfill(daily, ["user_id"], _before(last), ms, pad=0,
+                                   first_found_col=None).withColumn("metric_name", F.lit("site_hits"))
+    step = AC.month_array_step(prev, daily, ["user_id"], last, ms, pad=0, first_found_col=None,
+                               null_keys=False).withColumn("metric_name", F.lit("site_hits"))
     table = upsert(prev, step, ["user_id", "month_start", "metric_name"])
     return AC.metric_array_to_daily(table, ["metric_name"])
 
 
 @query("host_month_reduced", MONTH_SQL.format(
-    keys="host", vals="COUNT(*) AS hits, COUNT(DISTINCT user_id) AS visitors", notnull="",
-    filled="daily.hits, daily.visitors", joinon="daily.host IS NOT DISTINCT FROM grid.host")
-       + """SELECT host, CAST((SELECT m FROM mon) AS DATE) AS month,
+    keys="host", vals="COUNT(*) AS hits, COUNT(DISTINCT user_id) AS visitors", where="",
+    filled="daily.hits, daily.visitors", joinon="daily.host IS NOT DISTINCT FROM active.host")
+       + """SELECT host, m AS month,
   array_to_string(list(COALESCE(hits, 0) ORDER BY day), ',') AS hit_array,
   array_to_string(list(COALESCE(visitors, 0) ORDER BY day), ',') AS unique_visitors_array
-FROM filled GROUP BY host""")
+FROM filled GROUP BY host, m""")
 def q_host_month_reduced(spark, sf):
-    """Parallel hit and unique-visitor month arrays per host, zero padded."""
+    """Parallel hit and unique-visitor month arrays per host, zero padded; both counts from one aggregate."""
     web = _web(spark, sf)
-    last = _last_day(web)
-    daily = AC.active_days(web, ["host"], drop_null_keys=False).join(
-        web.groupBy("host", "event_date").agg(distinct_count("user_id").alias("visitors")),
-        on=["host", "event_date"], how="inner")
-    ms = [("hit_array", "num_hits"), ("unique_visitors_array", "visitors")]
-    prev = AC.month_array_backfill(daily, ["host"], last - ONE_DAY, ms, pad=0, first_found_col=None,
-                                   month_col="month")
-    step = AC.month_array_step(prev, daily, ["host"], last, ms, pad=0, first_found_col=None, month_col="month")
-    return step.select("host", "month",
-                       F.array_join(F.col("hit_array").cast("array<string>"), ",").alias("hit_array"),
-                       F.array_join(F.col("unique_visitors_array").cast("array<string>"), ",")
-                       .alias("unique_visitors_array"))
+    daily = web.groupBy("host", "event_date").agg(F.count(F.lit(1)).alias("num_hits"),
+                                                  distinct_count("user_id").alias("visitors"))
+    table = _months(daily, ["host"], _last_day(web), [("hit_array", "num_hits"), ("unique_visitors_array", "visitors")],
+                    pad=0, first_found_col=None, month_col="month")
+    return table.select("host", "month",
+                        F.array_join(F.col("hit_array").cast("array<string>"), ",").alias("hit_array"),
+                        F.array_join(F.col("unique_visitors_array").cast("array<string>"), ",")
+                        .alias("unique_visitors_array"))

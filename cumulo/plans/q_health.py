@@ -59,17 +59,19 @@ def q_profit_kpi(spark, sf):
     return H.profit_kpi(li, ["l_returnflag", "l_linestatus"])
 
 
-@query("late_arrival", """SELECT o_orderpriority, COUNT(*) AS num_rows,
-  COUNT(*) FILTER (WHERE datediff('day', o_orderdate, l_shipdate) > 60) AS num_late,
-  CAST(MAX(datediff('day', o_orderdate, l_shipdate)) AS INTEGER) AS max_lag_days,
-  CAST(SUM(datediff('day', o_orderdate, l_shipdate)) AS DOUBLE) / COUNT(*) AS mean_lag_days
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
+@query("late_arrival", """WITH lags AS (SELECT o_orderpriority, datediff('day', o_orderdate, l_shipdate) AS lag
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+ranked AS (SELECT *, cume_dist() OVER (PARTITION BY o_orderpriority ORDER BY lag) AS share FROM lags)
+SELECT o_orderpriority, COUNT(*) AS num_rows, COUNT(*) FILTER (WHERE lag > 60) AS num_late,
+  CAST(MAX(lag) AS INTEGER) AS max_lag_days, CAST(SUM(lag) AS DOUBLE) / COUNT(*) AS mean_lag_days,
+  CAST(MIN(lag) FILTER (WHERE share >= 0.9) AS INTEGER) AS p90_lag_days
+FROM ranked GROUP BY 1""")
 def q_late_arrival(spark, sf):
-    """Delay from order to shipment per priority (p90 is approximate, so not compared)."""
+    """Delay from order to shipment per priority, with its exact 90th percentile."""
     li = load(spark, sf, "lineitem", ["l_orderkey", "l_shipdate"])
     o = load(spark, sf, "orders", ["o_orderkey", "o_orderdate", "o_orderpriority"])
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-    return H.late_arrival(j, "o_orderdate", "l_shipdate", ["o_orderpriority"]).drop("p90_lag_days")
+    return H.late_arrival(j, "o_orderdate", "l_shipdate", ["o_orderpriority"])
 
 
 @query("growth_kpi", GROWTH_SQL + "SELECT date, daily_active_state, COUNT(*) AS num_users FROM g GROUP BY 1, 2")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cumulo.operators import cumulative as C
 from cumulo.operators import scd as S
-from cumulo.operators.analytics import state_changes
+from cumulo.operators.analytics import STATE_LABELS, state_changes
 from cumulo.plans import adapters as A
 from cumulo.plans.registry import query
 from cumulo.plans.sqlparts import CLASS_SQL, PS, SNAP, SPINE, STATES, with_
@@ -54,29 +54,23 @@ RENDER_SQL = """SELECT snap.player_id, c_name AS player_name, c_nationkey AS cou
 FROM snap LEFT JOIN customer ON c_custkey = snap.player_id"""
 
 
-@query("scd2_backfill", with_(PS, SPINE, SNAP, STATES, """flag AS (
-  SELECT *, CASE WHEN LAG(scoring_class) OVER w IS NULL OR LAG(scoring_class) OVER w <> scoring_class
-            THEN 1 ELSE 0 END AS chg
-  FROM states WINDOW w AS (PARTITION BY player_id ORDER BY season)),
-streaks AS (SELECT *, SUM(chg) OVER (PARTITION BY player_id ORDER BY season
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS streak FROM flag)""")
+@query("scd2_backfill", with_(PS, SPINE, SNAP, STATES, """islands AS (
+  SELECT player_id, scoring_class, season,
+         season - ROW_NUMBER() OVER (PARTITION BY player_id, scoring_class ORDER BY season) AS island FROM states)""")
        + """SELECT player_id, scoring_class, MIN(season) AS start_period, MAX(season) AS end_period
-FROM streaks GROUP BY player_id, streak, scoring_class""")
+FROM islands GROUP BY player_id, scoring_class, island""")
 def q_scd2_backfill(spark, sf):
     """One tracked attribute over the dense snapshot table."""
     return S.scd2_backfill(_states(_ps(spark, sf)), KEY, "season", ["scoring_class"])
 
 
-SCD_MULTI_SQL = with_(PS, SPINE, SNAP, STATES, """flag AS (
-  SELECT *, CASE WHEN LAG(scoring_class) OVER w IS NULL
-                   OR LAG(scoring_class) OVER w IS DISTINCT FROM scoring_class
-                   OR LAG(is_active) OVER w IS DISTINCT FROM is_active THEN 1 ELSE 0 END AS chg
-  FROM states WHERE season <= {cut} WINDOW w AS (PARTITION BY player_id ORDER BY season)),
-streaks AS (SELECT *, SUM(chg) OVER (PARTITION BY player_id ORDER BY season
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS streak FROM flag)""") + \
+SCD_MULTI_SQL = with_(PS, SPINE, SNAP, STATES, """islands AS (
+  SELECT player_id, scoring_class, is_active, season, season - ROW_NUMBER() OVER (
+         PARTITION BY player_id, scoring_class, is_active ORDER BY season) AS island
+  FROM states WHERE season <= {cut})""") + \
     """SELECT player_id, scoring_class, is_active, MIN(season) AS start_period, MAX(season) AS end_period,
        CAST({cut} AS INTEGER) AS current_period
-FROM streaks GROUP BY player_id, streak, scoring_class, is_active"""
+FROM islands GROUP BY player_id, scoring_class, is_active, island"""
 
 
 @query("scd2_multi", SCD_MULTI_SQL.format(cut="(SELECT MAX(season) - 1 FROM ps)"))
@@ -193,18 +187,20 @@ def q_cumulate_group_step(spark, sf):
                        "current_year")
 
 
-@query("state_changes", with_(PS, """seasons AS (SELECT DISTINCT season FROM ps),
-firsts AS (SELECT player_id, MIN(season) AS first_season FROM ps GROUP BY 1),
-grid AS (SELECT f.player_id, s.season FROM firsts f JOIN seasons s ON s.season >= f.first_season),
-flags AS (SELECT g.player_id, g.season, CASE WHEN ps.player_id IS NOT NULL THEN 1 ELSE 0 END AS played
-  FROM grid g LEFT JOIN ps ON ps.player_id = g.player_id AND ps.season = g.season),
-lagged AS (SELECT *, LAG(played) OVER (PARTITION BY player_id ORDER BY season) AS prev_played FROM flags)""")
-       + """SELECT player_id, season, CASE
-   WHEN played = 1 AND prev_played IS NULL THEN 'New'
-   WHEN played = 0 AND prev_played = 1 THEN 'Retired'
-   WHEN played = 1 AND prev_played = 1 THEN 'Continued Playing'
-   WHEN played = 1 AND prev_played = 0 THEN 'Returned from Retirement'
-   ELSE 'Stayed Retired' END AS state FROM lagged""")
+# Two left joins with the seasons a player played: this one and the one before in the data.
+_L = {k: v.replace("'", "''") for k, v in STATE_LABELS.items()}
+STATE_SQL = with_(PS, """seasons AS (SELECT season, DENSE_RANK() OVER (ORDER BY season) AS i FROM ps GROUP BY season),
+played AS (SELECT player_id, i FROM ps JOIN seasons USING (season)),
+debut AS (SELECT player_id, MIN(i) AS i FROM played GROUP BY player_id)""") + f"""
+SELECT debut.player_id, seasons.season, CASE WHEN seasons.i = debut.i THEN '{_L["new"]}'
+    WHEN cur.i IS NULL THEN CASE WHEN old.i IS NULL THEN '{_L["stayed_retired"]}' ELSE '{_L["retired"]}' END
+    WHEN old.i IS NULL THEN '{_L["returned"]}' ELSE '{_L["continued"]}' END AS state
+FROM debut JOIN seasons ON seasons.i >= debut.i
+LEFT JOIN played cur ON cur.player_id = debut.player_id AND cur.i = seasons.i
+LEFT JOIN played old ON old.player_id = debut.player_id AND old.i = seasons.i - 1"""
+
+
+@query("state_changes", STATE_SQL)
 def q_state_changes(spark, sf):
     """Lifecycle label per player and season."""
     return state_changes(_ps(spark, sf), KEY, "season")

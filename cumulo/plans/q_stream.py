@@ -45,7 +45,7 @@ def q_sessions(spark, sf):
 
 
 @query("session_report", SESSIONS_SQL + """SELECT host, COUNT(*) AS num_sessions, CAST(SUM(num_hits) AS BIGINT) AS num_events,
-  CAST(SUM(num_hits) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_events_per_session FROM sess GROUP BY host""")
+  round(CAST(SUM(num_hits) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE), 2) AS avg_events_per_session FROM sess GROUP BY host""")
 def q_session_report(spark, sf):
     """Sessions, events and mean events per session per host."""
     return SW.session_report(sessionize(_web(spark, sf), ["user_id", "host"], "event_time", 300))

@@ -44,15 +44,16 @@ def build_session(master: str | None = None, app: str = "cumulo",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local"):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the checkpoint directory, setting a scratch one only when unset.
 
-    On a cluster `spark.checkpoint.dir` names shared storage and is left alone;
-    the fallback exists for local runs and tests. Sessions without a local
+    On a cluster `spark.checkpoint.dir` must name shared storage and is left alone;
+    the fallback exists for local runs and tests only. Sessions without a local
     SparkContext (Spark Connect) keep whatever the server is configured with.
     """
     try:
@@ -70,23 +71,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     jdir = sc._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         return jdir.get()
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="cumulo-ckpt-", dir=os.environ.get("CUMULO_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return path
 
 
-def scale_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
-                   max_initial_partitions: int = 200_000) -> dict:
+def scale_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
     """Shuffle and scan sizing for a given input volume.
 
     With AQE the initial shuffle width only has to be large enough that no
     reducer gets more than about `target_partition_bytes`; AQE then
     coalesces small partitions and splits skewed ones at run time. Scan
     splits use the same size. At 100 TB this gives about 400k initial
-    partitions, capped at `max_initial_partitions` (large shuffles beyond
-    the cap still spill; the skew split handles hot keys).
+    partitions.
     """
-    n = max(1, min(max_initial_partitions, -(-input_bytes // target_partition_bytes)))
+    n = max(1, -(-input_bytes // target_partition_bytes))
     t = str(target_partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(n),

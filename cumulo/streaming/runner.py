@@ -89,8 +89,6 @@ def start(df: DataFrame, name: str, *, mode: str = "append", trigger_seconds: fl
     a new query (the reference runs aggregations at parallelism 3).
     """
     spark = df.sparkSession
-    if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     w = (df.writeStream.queryName(name).outputMode(mode)
          .option("checkpointLocation", checkpoint or checkpoint_path(spark, name)))
     if trigger_seconds:
@@ -99,4 +97,11 @@ def start(df: DataFrame, name: str, *, mode: str = "append", trigger_seconds: fl
         w = w.foreachBatch(batch_writer)
     elif fmt:
         w = w.format(fmt)
-    return w.start(path) if path else w.start()
+    width = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(width)
+    if state_partitions:
+        spark.conf.set(width, str(state_partitions))  # the query takes its own copy of the session's settings
+    try:
+        return w.start(path) if path else w.start()
+    finally:
+        spark.conf.set(width, before)

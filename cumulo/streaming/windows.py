@@ -50,13 +50,13 @@ def sessions(df: DataFrame, ts: str, by: Sequence[str], gap: str = "5 minutes",
 
 
 def session_report(sess: DataFrame, host: str = "host", domain: str | None = None,
-                   count_col: str = "num_hits") -> DataFrame:
-    """Mean events per session, sessions and events per host; with `domain`
-    only that domain and its subdomains."""
+                   count_col: str = "num_hits", digits: int = 2) -> DataFrame:
+    """Mean events per session (D9: rounded), sessions and events per host; with
+    `domain` only that domain and its subdomains."""
     s = sess.filter(domain_match(host, domain)) if domain else sess
     return s.groupBy(host).agg(
         F.count(F.lit(1)).alias("num_sessions"), F.sum(count_col).cast("bigint").alias("num_events"),
-        safe_ratio(F.sum(count_col), F.count(F.lit(1))).alias("avg_events_per_session"))
+        F.round(safe_ratio(F.sum(count_col), F.count(F.lit(1))), digits).alias("avg_events_per_session"))
 
 
 def enrich_landing(df: DataFrame, locations: DataFrame | None = None, key: str = "ip") -> DataFrame:

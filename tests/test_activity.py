@@ -95,3 +95,32 @@ def test_activity_word_accepts_iso_string_and_column(spark):
     a = AC.datelist_int(df, ["user_id"], "2023-01-31").first().datelist_int
     b = AC.datelist_int(df, ["user_id"], "as_of").first().datelist_int
     assert a == b == (1 << 31) + (1 << 30)
+
+
+def test_null_host_is_one_key(spark):
+    rows = [(None, D(2023, 1, 1)), (None, D(2023, 1, 2)), ("a", D(2023, 1, 1))]
+    days = spark.createDataFrame(rows, "host string, event_date date")
+    prev = AC.datelist_backfill(days, ["host"], D(2023, 1, 1))
+    assertDataFrameEqual(AC.datelist_step(prev, days, ["host"], D(2023, 1, 2)),
+                         AC.datelist_backfill(days, ["host"], D(2023, 1, 2)))
+    daily = days.groupBy("host", "event_date").agg(F.count(F.lit(1)).alias("n"))
+    prev = AC.month_array_backfill(daily, ["host"], D(2023, 1, 1), [("a", "n")], pad=0)
+    assertDataFrameEqual(AC.month_array_step(prev, daily, ["host"], D(2023, 1, 2), [("a", "n")], pad=0),
+                         AC.month_array_backfill(daily, ["host"], D(2023, 1, 2), [("a", "n")], pad=0))
+
+
+def test_month_array_pads_skipped_days_and_keeps_earlier_months(spark):
+    rows = [(1, D(2023, 1, 30), 3), (1, D(2023, 2, 1), 5), (1, D(2023, 2, 3), 7), (2, D(2023, 1, 2), 9)]
+    daily = spark.createDataFrame(rows, "k int, event_date date, n long")
+    ms = [("a", "n")]
+    one = AC.month_array_backfill(daily, ["k"], D(2023, 2, 1), ms, pad=0)
+    third = AC.month_array_step(one, daily, ["k"], D(2023, 2, 3), ms, pad=0)
+    assert [r.a for r in third.filter("k = 1").collect()] == [[5, 0, 7]]
+    full = {(r.k, r.month_start): r.a for r in AC.month_array_backfill(daily, ["k"], D(2023, 2, 3), ms, pad=0).collect()}
+    assert full[1, D(2023, 2, 1)] == [5, 0, 7] and len(full[1, D(2023, 1, 1)]) == 31 and sum(full[1, D(2023, 1, 1)]) == 3
+    assert full[2, D(2023, 1, 1)][1] == 9 and set(full) == {(1, D(2023, 1, 1)), (1, D(2023, 2, 1)), (2, D(2023, 1, 1))}
+
+
+def test_run_date_of_empty_table(spark):
+    empty = spark.createDataFrame([], "user_id long, event_date date")
+    assert AC.datelist_backfill(empty, ["user_id"], AC.run_date(empty)).count() == 0

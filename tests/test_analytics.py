@@ -22,7 +22,7 @@ def _skewed(spark, n_hot=3000):
 
 def test_ordinal_running_matches_window_on_skewed_key(spark):
     df = _skewed(spark)
-    got = ordinal_running(df, ["k"], ["t"], {"cum": F.col("v")}, slices=7)
+    got = ordinal_running(df, ["k"], ["t"], {"cum": F.col("v")}, width=60)
     w = Window.partitionBy("k").orderBy("t")
     want = df.select("*", F.row_number().over(w).cast("long").alias("idx"),
                      F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long").alias("cum"))
@@ -103,7 +103,7 @@ def test_sessionize_matches_session_window_on_hot_key(spark):
             t += dt.timedelta(seconds=rnd.choice([60, 300, 1000]))
             rows.append((f"u{k}", "h", t))
     df = spark.createDataFrame(rows, "user string, host string, ts timestamp_ntz")
-    got = sessionize(df, ["user", "host"], "ts", 300, slices=9)
+    got = sessionize(df, ["user", "host"], "ts", 300, width=7 * 3600)
     want = sessions(df, "ts", ["user", "host"], "300 seconds")
     assertDataFrameEqual(got, want)
 
@@ -125,7 +125,24 @@ def test_traffic_windows_host_matching(spark):
 def test_hot_key_spans_many_slices(spark):
     """The point of the range slicing: one key with most rows is processed by many tasks."""
     df = _skewed(spark, n_hot=20000)
-    out = ordinal_running(df, ["k"], ["t"], slices=8, keep_slice=True)
+    out = ordinal_running(df, ["k"], ["t"], width=2500, keep_slice=True)
     per_slice = {r["_slice"]: r["count"] for r in out.filter("k = 0").groupBy("_slice").count().collect()}
     assert len(per_slice) >= 6 and max(per_slice.values()) < 0.3 * 20000
     assert out.filter("k = 0").agg(F.max("idx")).first()[0] == 20000
+
+
+def test_null_keys_keep_their_rows(spark):
+    import datetime as dt
+
+    from cumulo.operators.ordered import sessionize
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(None, "h", t0), (None, "h", t0 + dt.timedelta(seconds=60)), ("u", None, t0), ("u", "h", t0)]
+    df = spark.createDataFrame(rows, "user string, host string, ts timestamp_ntz")
+    got = {(r.user, r.host): r.num_hits for r in sessionize(df, ["user", "host"], "ts", 300).collect()}
+    assert got == {(None, "h"): 2, ("u", None): 1, ("u", "h"): 1}
+    k = spark.createDataFrame([(None, 1, 5), (None, 2, 6), (1, 1, 7), (1, 200_001, 8)], "k long, t long, v int")
+    out = {(r.k, r.t): (r.idx, r.cum) for r in ordinal_running(k, ["k"], ["t"], {"cum": F.col("v")}).collect()}
+    assert out == {(None, 1): (1, 5), (None, 2): (2, 11), (1, 1): (1, 7), (1, 200_001): (2, 15)}
+    best = AN.best_rolling(k, "k", ["t"], "v", 1)
+    assert {(r.k, r.max_in_window) for r in best.collect()} == {(1, 8)}
+    assert {(r.k, r.longest_streak) for r in AN.longest_streak(k, "k", ["t"], F.col("v") > 4).collect()} == {(None, 2), (1, 2)}

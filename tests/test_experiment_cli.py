@@ -26,3 +26,19 @@ def test_cli_lists_queries(capsys):
     assert main(["list"]) == 0
     out = capsys.readouterr().out
     assert "scd2_backfill" in out and len(out.strip().splitlines()) >= 60
+
+
+def test_large_amounts_neither_overflow_nor_cancel(spark):
+    from pyspark.sql import functions as F
+
+    from cumulo.operators import health as H
+    from cumulo.operators.experiment import experiment_readout
+    li = spark.range(50).selectExpr("'A' AS g", "1e15 AS l_extendedprice", "0.0D AS l_discount", "1.0D AS l_quantity")
+    r = H.profit_kpi(li, ["g"]).first()
+    assert abs(r.revenue / 5e16 - 1) < 1e-12
+    users = spark.range(100).selectExpr("'control' AS cell", "0 AS converted", "10000000000 + (id % 2) AS value_cents")
+    assert math.isclose(experiment_readout(users).first().var_value, 0.25 * 100 / 99 / 10_000, rel_tol=1e-6)
+    lags = spark.createDataFrame([(d,) for d in [1] * 8 + [5, 9]] + [(None,)], "d int").select(
+        F.lit("2024-01-01").cast("date").alias("e"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("d")).alias("l"))
+    got = H.late_arrival(lags, "e", "l", late_days=4).first()
+    assert (got.num_rows, got.num_late, got.max_lag_days, got.mean_lag_days, got.p90_lag_days) == (11, 2, 9, 2.2, 5)

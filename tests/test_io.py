@@ -69,7 +69,7 @@ def test_layout_and_catalog_helpers(spark, scratch):
 def test_scale_settings():
     from cumulo.session import scale_settings
     s = scale_settings(100 * 1024 ** 4)
-    assert int(s["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(s["spark.sql.shuffle.partitions"]) == 409_600
     assert int(scale_settings(10 * 1024 ** 3)["spark.sql.shuffle.partitions"]) == 40
 
 

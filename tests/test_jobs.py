@@ -68,3 +68,20 @@ def test_bucketed_snapshot_table_step(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.sql("DROP TABLE IF EXISTS t_growth")
+
+
+def test_a_missing_day_is_refused(spark, scratch):
+    import pytest
+    path = os.path.join(scratch, "gap")
+    day = dt.date(2023, 1, 1)
+
+    def step(prev, d):
+        mine = spark.createDataFrame([(f"k{d.day}",)], "k string")
+        return mine if prev is None else prev.select("k").union(mine).distinct()
+
+    run_step(spark, path, "d", day, step)
+    with pytest.raises(ValueError):
+        run_step(spark, path, "d", day + dt.timedelta(days=2), step)
+    out = run_step(spark, path, "d", day + dt.timedelta(days=2), step, allow_gap=True)
+    assert {r.k for r in out.collect()} == {"k1", "k3"}
+    run_step(spark, path, "d", day, step)   # nothing earlier is stored: a first run

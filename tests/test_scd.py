@@ -77,3 +77,21 @@ def test_step_keeps_missing_keys_and_is_rerunnable(spark):
     assertDataFrameEqual(out, expected)
     again = S.scd2_step(out, today, ["k"], ["a"], 2002, open_by="latest").drop("current_period")
     assertDataFrameEqual(again, expected)
+
+
+def test_step_again_gives_the_same_table(spark):
+    """Both ways to find open rows; a key that stays, one that changes, one that leaves, a new and a NULL key."""
+    key, at = ["k"], ["c"]
+    old = spark.createDataFrame([("a", "x", 1, 1), ("b", "x", 1, 1), ("d", "x", 1, 1), (None, "x", 1, 1)],
+                                "k string, c string, start_period int, end_period int")
+    today = spark.createDataFrame([("a", "x"), ("b", "y"), ("e", "z"), (None, "x")], "k string, c string")
+    for mode in ("end", "latest"):
+        one = S.scd2_step(old, today, key, at, 2, open_by=mode)
+        rows = {(r.k, r.c, r.start_period, r.end_period) for r in one.collect()}
+        assert rows == {("a", "x", 1, 2), ("b", "x", 1, 1), ("b", "y", 2, 2), ("d", "x", 1, 1), ("e", "z", 2, 2), (None, "x", 1, 2)}
+        assert one.count() == 6
+        again = S.scd2_step(one, today, key, at, 2, open_by=mode)
+        assert sorted(map(repr, again.collect())) == sorted(map(repr, one.collect()))
+        other = S.scd2_step(one, today.replace("y", "w", "c"), key, at, 2, open_by=mode)
+        assert {(r.k, r.c, r.start_period, r.end_period) for r in other.filter("k = 'b'").collect()} == {
+            ("b", "x", 1, 1), ("b", "w", 2, 2)}
