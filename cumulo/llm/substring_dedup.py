@@ -31,12 +31,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from cumulo.llm.common import materialise
 from cumulo.llm.word_arrays import mix, sequence_hashes, word_hashes
 
 SEED, EDGE, GROUP = 6, 4, 20_000
+INDEX_BITS = 20
 
 
 def elected(h: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -45,17 +47,43 @@ def elected(h: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, np.ndarr
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, none
     g = sequence_hashes(h, seed)
-    at = np.lib.stride_tricks.sliding_window_view(g, length - seed + 1).argmin(axis=1)
-    at = at + np.arange(len(at))  # never decreases
+    wide = length - seed + 1
+    if len(g) < 1 << INDEX_BITS:
+        # the leftmost minimum: positions in the low bits of the hashes, windows doubled up to `wide`
+        low = np.uint64((1 << INDEX_BITS) - 1)
+        m, step = (g & ~low) | np.arange(len(g), dtype=np.uint64), 1
+        while 2 * step <= wide:
+            m, step = np.minimum(m[:-step], m[step:]), 2 * step
+        n = len(g) - wide + 1
+        at = (np.minimum(m[:n], m[wide - step:wide - step + n]) & low).astype(np.int64)
+    else:
+        g = g >> np.uint64(INDEX_BITS) << np.uint64(INDEX_BITS)
+        at = np.lib.stride_tricks.sliding_window_view(g, wide).argmin(axis=1)
+        at = at + np.arange(len(at))
+    # `at` never decreases
     first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    return g[at[first]], at[first], first, np.append(first[1:], len(at))
+    return sequence_hashes(h, seed)[at[first]], at[first], first, np.append(first[1:], len(at))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, text, and the key of a document: o (orders like the id), t (hash of the text)."""
-    text = F.col(f"`{text_col}`")
-    return docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"),
-                       F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-2**63)).alias("o"), F.xxhash64(text).alias("t"))
+    """id, text, and the key of a document: o (orders like the id), t (hash of the text where ids repeat, else 0)."""
+    text, o = F.col(f"`{text_col}`"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-2**63))
+    repeated = docs.groupBy(o.alias("o")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").head(1)
+    t = F.xxhash64(text) if repeated else F.lit(0).cast("long")
+    return docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), o.alias("o"), t.alias("t"))
+
+
+def packed(keyed: DataFrame) -> DataFrame:
+    """id, o, t, z: the text's UTF-8 bytes under zstd, for the way through a shuffle; NULL stays NULL."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            small = [None if t is None else z.compress(t.encode("utf-8")) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("o"), b.column("t"), pa.array(small, pa.binary())],
+                                             ["id", "o", "t", "z"])
+
+    kind = keyed.schema["id"].dataType.simpleString()
+    return keyed.mapInArrow(run, f"id {kind}, o long, t long, z binary")
 
 
 def seeds(keyed: DataFrame, length: int, seed: int) -> DataFrame:
@@ -76,38 +104,42 @@ def seeds(keyed: DataFrame, length: int, seed: int) -> DataFrame:
 def contexts(marked: DataFrame, length: int, seed: int, group: int, buckets: int) -> DataFrame:
     """The words around each marked seed, under the group they are dealt to.
 
-    prefix: what the suffixes of a group share; split: whether equal windows may be in other groups;
-    lead: the seed's offset in the words; windows: how many start in them (the first one at `start`)."""
+    split: whether equal windows may be in other groups; lead: the seed's offset in the words;
+    windows: how many start in them (the first one at `start`)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
-            out = {c: [] for c in ("bucket", "prefix", "split", "o", "t", "start", "lead", "windows", "words")}
-            for text, o, t, marks in zip(*(b.column(c).to_pylist() for c in ("text", "o", "t", "marks"))):
-                raw = text.encode("utf-8")
+            marks = b.column("marks")
+            edge = marks.offsets.to_numpy()
+            marked_pos, marked_n = (marks.values.field(c).to_numpy() for c in ("pos", "n"))
+            out: dict[str, list] = {c: [] for c in ("bucket", "split", "which", "start", "lead", "windows")}
+            words: list[bytes] = []
+            for i, z in enumerate(b.column("z").to_pylist()):
+                raw = unpack(z)
                 h, begin, end = word_hashes(raw)
-                _, pos, first, after = elected(h, length, seed)
-                at = np.searchsorted(pos, [m["pos"] for m in marks])
-                for i, n in zip(at.tolist(), [m["n"] for m in marks]):
-                    p, s, e = int(pos[i]), int(first[i]), int(after[i])
-                    longer = min(length, seed + max(0, -(-n // group) - 1).bit_length())
-                    prefix = int(sequence_hashes(h[p:p + longer], min(longer, len(h) - p))[0])
-                    if n > group:
-                        who = mix(np.array([(o * 31 + p) & (2**64 - 1)], np.uint64))[0]
-                        prefix = int(mix(np.array([prefix ^ int(who % np.uint64(-(-n // group)))], np.uint64))[0])
-                    out["prefix"].append(prefix - (1 << 63))
-                    out["bucket"].append(prefix % buckets)
-                    out["split"].append(n > group)
-                    out["o"].append(o)
-                    out["t"].append(t)
-                    out["start"].append(s)
-                    out["lead"].append(p - s)
-                    out["windows"].append(e - s)
-                    out["words"].append(raw[begin[s]:end[e + length - 2]])
-            yield pa.RecordBatch.from_pydict(out, pa.schema([
-                ("bucket", pa.int64()), ("prefix", pa.int64()), ("split", pa.bool_()), ("o", pa.int64()), ("t", pa.int64()),
-                ("start", pa.int32()), ("lead", pa.int32()), ("windows", pa.int32()), ("words", pa.binary())]))
-
-    return marked.select("text", "o", "t", "marks").mapInArrow(
-        run, "bucket long, prefix long, split boolean, o long, t long, start int, lead int, windows int, words binary")
+                hashes, pos, first, after = elected(h, length, seed)
+                p, n = marked_pos[edge[i]:edge[i + 1]], marked_n[edge[i]:edge[i + 1]]
+                at = np.searchsorted(pos, p)
+                prefix = hashes[at]
+                for j in np.flatnonzero(n > group):  # a longer prefix, and a part of it
+                    more = -(-int(n[j]) // group)
+                    longer = min(length, seed + (more - 1).bit_length(), len(h) - int(p[j]))
+                    who = mix(np.array([(b.column("o")[i].as_py() * 31 + int(p[j])) & (2**64 - 1)], np.uint64))
+                    prefix[j] = mix(sequence_hashes(h[p[j]:p[j] + longer], longer) ^ who % np.uint64(more))[0]
+                s, e = first[at], after[at]
+                for c, x in (("bucket", (mix(prefix) % np.uint64(buckets)).astype(np.int64)), ("split", n > group),
+                             ("which", np.full(len(p), i)), ("start", s), ("lead", p - s), ("windows", e - s)):
+                    out[c].append(x)
+                words += [raw[x:y] for x, y in zip(begin[s].tolist(), end[e + length - 2].tolist())]
+            flat = {c: np.concatenate(x) if x else np.zeros(0, np.int64) for c, x in out.items()}
+            which = pa.array(flat["which"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(flat["bucket"], pa.int64()), pa.array(flat["split"].astype(bool), pa.bool_()), b.column("o").take(which),
+                 b.column("t").take(which), *(pa.array(flat[c].astype(np.int32)) for c in ("start", "lead", "windows")),
+                 pa.array(words, pa.binary())], ["bucket", "split", "o", "t", "start", "lead", "windows", "words"])
+
+    return marked.select("z", "o", "t", "marks").mapInArrow(
+        run, "bucket long, split boolean, o long, t long, start int, lead int, windows int, words binary")
 
 
 def deep_nodes(node: np.ndarray, paths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +156,7 @@ def deep_nodes(node: np.ndarray, paths: np.ndarray) -> tuple[np.ndarray, np.ndar
     return alive, node[alive]
 
 
-def subtree(length: int):
+def subtree(length: int, seed: int):
     """Function of one group's contexts: marked windows (from, to: starts) and winners of split prefixes."""
     cols = ["o", "t", "from", "to", "x", "y"]
 
@@ -144,8 +176,9 @@ def subtree(length: int):
             edges.append(sequence_hashes(h, step)[at + d])
         paths = np.stack(edges, axis=1)
         # suffixes of one prefix that start at the same distance before it hang below one node
-        lead = pdf["lead"].to_numpy().astype(np.int64)[row] - inside
-        root = mix(pdf["prefix"].to_numpy().view(np.uint64)[row] ^ (lead.astype(np.uint64) << np.uint64(40)))
+        own = pdf["lead"].to_numpy().astype(np.int64)
+        prefix = sequence_hashes(h, seed)[np.cumsum(n_words) - n_words + own]
+        root = mix(prefix[row] ^ ((own[row] - inside).astype(np.uint64) << np.uint64(40)))
         _, root = np.unique(root, return_inverse=True)
         split = pdf["split"].to_numpy().astype(bool)[row]
         leaf, node = deep_nodes(root, paths)
@@ -173,18 +206,16 @@ def subtree(length: int):
     return run
 
 
-def repeated_windows(keyed: DataFrame, length: int, seed: int, group: int) -> DataFrame:
+def repeated_windows(keyed: DataFrame, texts: DataFrame, length: int, seed: int, group: int) -> DataFrame:
     """Runs of marked windows: o, t, from, to (starts, `to` exclusive)."""
     found = seeds(keyed, length, seed)
     census = materialise(found.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "seed-census")
     total = census.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     marks = found.join(census, "seed").groupBy("o", "t").agg(F.collect_set(F.struct("pos", "n")).alias("marks"))
-    # rows that repeat id and text would only repeat the same contexts
-    texts = keyed.select("o", "t", "text")
     marked = texts.join(marks, ["o", "t"])
     dealt = contexts(marked, length, seed, group, max(1, -(-total // group)))
     trees = materialise(dealt.groupBy("bucket").applyInPandas(
-        subtree(length), "o long, t long, `from` int, `to` int, x long, y long"), "repeats")
+        subtree(length, seed), "o long, t long, `from` int, `to` int, x long, y long"), "repeats")
     winners = trees.where("x IS NOT NULL")
     best = winners.groupBy("x", "y").agg(F.min(F.struct("o", "from")).alias("w"))
     lost = winners.join(best, ["x", "y"]).where(F.struct("o", "from") > F.col("w"))
@@ -195,15 +226,17 @@ def remove_repeats(docs: DataFrame, length: int = 20, seed: int = SEED, group: i
                    text_col: str = "text") -> DataFrame:
     """One row per document: id, n_words, n_removed, spans (removed words: first, after), kept_text."""
     keyed = _keyed(docs, id_col, text_col)
-    runs = repeated_windows(keyed, length, seed, group).groupBy("o", "t").agg(
+    texts = packed(keyed)
+    runs = repeated_windows(keyed, texts, length, seed, group).groupBy("o", "t").agg(
         F.collect_list(F.struct("from", "to")).alias("runs"))
-    rows = keyed.join(runs, ["o", "t"], "left").select("id", "text", "runs")
+    rows = texts.join(runs, ["o", "t"], "left").select("id", "z", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
             out = {c: [] for c in ("n_words", "n_removed", "spans", "kept_text")}
-            for text, runs in zip(b.column("text").to_pylist(), b.column("runs").to_pylist()):
-                words = (text or "").encode("utf-8").split()
+            for z, runs in zip(b.column("z").to_pylist(), b.column("runs").to_pylist()):
+                words = unpack(z).split() if z else []
                 spans = []
                 if runs:
                     edge = np.zeros(len(words) + 1, np.int64)

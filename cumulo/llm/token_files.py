@@ -149,6 +149,8 @@ def scan(spark: SparkSession, shards: str, dtype: str) -> DataFrame:
         for files in batches:
             for name in files["path"]:
                 with _open(name) as f:
+                    if not f.size():  # a partition without rows
+                        continue
                     keys, null, counts = _directory(f, width)
                 yield pd.DataFrame({"shard": int(_SHARD.search(name).group(1)), "file": name,
                                     "key": np.where(null, 0, keys), "null": null, "row": np.arange(len(keys)),
@@ -262,14 +264,15 @@ def lookup(keys: DataFrame, index: DataFrame, key_col: str = "key") -> DataFrame
     def find(asked: pd.DataFrame, idx: pd.DataFrame) -> pd.DataFrame:
         cols = ["key", "file", "row", "at", "n_tokens", "start", "records"]
         if not len(idx) or not len(asked):
-            return pd.DataFrame({c: [] for c in cols})
+            return pd.DataFrame({c: pd.Series([], dtype=object if c == "file" else "int64") for c in cols})
         x, h = idx.iloc[0], asked["h"].to_numpy().view(np.uint64)
         slot = slots_of(h, np.frombuffer(x["pilots"], "<u4"), int(x["n"]))
         known = np.frombuffer(x["prints"], "<u4")[slot] == _fingerprints(h)
         slot = slot[known]
         out = {"key": asked["key"].to_numpy()[known],
                "file": np.array(list(x["files"]), object)[np.frombuffer(x["file"], "<i4")[slot]]}
-        return pd.DataFrame(out | {c: np.frombuffer(x[c], "<i8")[slot] for c in cols[2:]})
+        # object strings: Arrow-backed ones are handed over in chunks, which an empty group has none of
+        return pd.DataFrame(out | {c: np.frombuffer(x[c], "<i8")[slot] for c in cols[2:]}).astype({"file": object})
 
     return asked.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(
         find, "key long, file string, row long, at long, n_tokens long, start long, records long")
