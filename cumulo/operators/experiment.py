@@ -66,7 +66,7 @@ def experiment_readout(users: DataFrame, cell: str = "cell", control: str = "con
     pool = (F.col("conversions").cast("double") + c_k) / (F.col("users").cast("double") + c_n)
     se = F.sqrt(pool * (1.0 - pool) * (1.0 / F.col("users").cast("double") + 1.0 / c_n))
     return g.select(cell, "users", "conversions", "conversion_rate", "mean_value", "var_value",
-                    (F.col("conversion_rate") / c_rate - 1.0).alias("lift"),
+                    (safe_ratio(F.col("conversion_rate"), c_rate) - 1.0).alias("lift"),
                     F.when(F.col(cell) != control, safe_ratio(F.col("conversion_rate") - c_rate, se)).alias("z"))
 
 
