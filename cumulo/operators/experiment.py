@@ -53,7 +53,7 @@ def experiment_readout(users: DataFrame, cell: str = "cell", control: str = "con
     g = users.groupBy(cell).agg(
         F.count(F.lit(1)).alias("users"), F.sum("converted").cast("bigint").alias("conversions"),
         F.sum(F.col("value_cents").cast("decimal(28,0)")).alias("_s"),
-        F.var_samp(F.col("value_cents") / 100.0).alias("_var"))
+        (F.var_samp("value_cents") / 10000.0).alias("_var"))
     n = F.col("users").cast("double")
     rate = F.col("conversions").cast("double") / n
     mean = F.col("_s").cast("double") / n / 100.0

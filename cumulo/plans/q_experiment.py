@@ -30,7 +30,7 @@ def q_experiment_cells(spark, sf):
   CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS value_cents,
   CASE WHEN user_id % 2 = 0 THEN 'control' ELSE 'treatment' END AS cell FROM web GROUP BY user_id),
 g AS (SELECT cell, COUNT(*) AS users, CAST(SUM(converted) AS BIGINT) AS conversions,
-  CAST(SUM(value_cents) AS BIGINT) AS s, round(var_samp(value_cents / 100.0), 4) AS var_value FROM u GROUP BY cell),
+  CAST(SUM(value_cents) AS BIGINT) AS s, round(var_samp(value_cents) / 10000.0, 4) AS var_value FROM u GROUP BY cell),
 h AS (SELECT cell, users, conversions, CAST(conversions AS DOUBLE) / CAST(users AS DOUBLE) AS conversion_rate,
   CAST(s AS DOUBLE) / CAST(users AS DOUBLE) / 100.0 AS mean_value,
   var_value FROM g),
