@@ -128,8 +128,10 @@ def word_bits(word, mask: int = WORD_MASK) -> Column:
 
 
 def stable_bucket(id_col, salt: str, modulus: int = 10000) -> Column:
-    """Deterministic bucket of an id, independent per experiment name."""
-    return F.pmod(F.xxhash64(F.lit(salt), col_(id_col)), F.lit(modulus))
+    """Deterministic bucket of an id, independent per experiment name: the first 32 bits of
+    md5(salt:id), so any engine can assign the same bucket."""
+    digest = F.md5(F.concat(F.lit(salt + ":"), col_(id_col).cast("string")))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(modulus))
 
 
 def attrs_struct(attrs: Sequence[str]) -> Column:

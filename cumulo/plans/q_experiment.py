@@ -17,15 +17,27 @@ def _users(web):
                                F.round(F.col("value") * 100).cast("bigint"))
 
 
-@query("experiment_cells")
+@query("experiment_cells", with_(W20, """b AS (SELECT DISTINCT user_id,
+  ('0x' || substr(md5('homepage_test:' || user_id), 1, 8))::BIGINT % 10000 AS bucket FROM web)""") + """
+SELECT user_id, CASE WHEN bucket < 3400 THEN 'control' WHEN bucket < 6700 THEN 'variant_a' ELSE 'variant_b' END AS cell FROM b""")
 def q_experiment_cells(spark, sf):
-    """Hash-assigned cells (control + two variants) per user, with exposures.
-    No SQL oracle: the hash is Spark's xxhash64."""
+    """Hash-assigned cells (control + two variants) per user."""
     users = A.web_events(spark, sf).select("user_id").distinct()
     return X.assign_cells(users, "user_id", "homepage_test",
                           (("control", 34), ("variant_a", 33), ("variant_b", 33)))
 
 
+@query("experiment_exposures", with_(W20, """b AS (SELECT *, ('0x' || substr(md5('homepage_test:' || user_id), 1, 8))::BIGINT % 10000 AS bucket
+  FROM web)""") + """
+SELECT CASE WHEN bucket < 3400 THEN 'control' WHEN bucket < 6700 THEN 'variant_a' ELSE 'variant_b' END AS cell, host,
+  COUNT(*) AS exposures FROM b WHERE user_id IS NOT NULL GROUP BY ALL""")
+def q_experiment_exposures(spark, sf):
+    """Events of assigned users by cell and host."""
+    web = A.web_events(spark, sf)
+    cells = q_experiment_cells(spark, sf)
+    return X.exposures(web, cells, "user_id").groupBy("cell", "host").agg(F.count(F.lit(1)).alias("exposures"))
+
+
 @query("experiment_readout", with_(W20, """u AS (SELECT user_id, MAX(CASE WHEN url = '/purchase' THEN 1 ELSE 0 END) AS converted,
   CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS value_cents,
   CASE WHEN user_id % 2 = 0 THEN 'control' ELSE 'treatment' END AS cell FROM web GROUP BY user_id),

@@ -77,6 +77,15 @@ def q_edges_membership(spark, sf):
     return GR.with_json(_edges(spark, sf))
 
 
+@query("graph_contract_raw", with_(GD) + """SELECT 'edge_key' AS issue, CAST(player_id AS VARCHAR) AS detail
+FROM gd GROUP BY player_id, game_id HAVING COUNT(*) > 1""")
+def q_graph_contract_raw(spark, sf):
+    """J4 on box scores before dedup: every (player, game) edge that occurs more than once."""
+    raw = A.game_details(spark, sf)
+    return GR.graph_contract(_vertices(spark, sf), GR.edges(raw, "player_id", "player", "game_id", "game", "plays_in",
+                                                            {"pts": "pts"}))
+
+
 @query("graph_contract", with_(GD) + "SELECT 'none' AS issue, 'none' AS detail FROM gd WHERE 1 = 0")
 def q_graph_contract(spark, sf):
     """Violations of the vertex / edge contract (expected: none)."""

@@ -39,7 +39,7 @@ def duck():
 def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(ORACLES) <= set(QUERIES)
     own = {q for q in QUERIES if q in registry.QUERIES}
-    assert own - set(ORACLES) == {"layout_report", "experiment_cells"}
+    assert own - set(ORACLES) == {"layout_report"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
