@@ -9,8 +9,9 @@ the Jaccard similarity of their sets reaches `percent` / 100; components are wha
 3. Pivots instead of pairs: in each band every member is paired with a pivot, the most central
    member (the one whose bands hold most members), if their components differ. After verification
    components are merged, pivots are done with, and bands whose members are not yet all in one
-   component go on with four times as many pivots. So every candidate pair is compared unless its two
-   sides have been connected otherwise, and no band emits all pairs when one component fills it.
+   component go on with four times as many pivots, without members that share too few shingles
+   with all others together to be linked with any (`linkable`). So every candidate pair is compared unless its two
+   sides have been connected otherwise or cannot reach the similarity, and no band emits all pairs when one component fills it.
 4. Sequential Bayesian verification: signatures are compared in batches of `BATCH` hashes; with m of
    n equal, the posterior of the similarity s under a uniform prior is Beta(m + 1, n - m + 1), and
    a pair is pruned once P(s >= threshold) falls below `miss`. Survivors are verified on the full
@@ -168,6 +169,31 @@ def verified_links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) ->
     return wide.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def linkable(here: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The members of `here` that could still be linked with another one.
+
+    A partner y of x is among the members, so x & y is part of what x shares with any of them
+    (`shared` shingles), and y is no smaller than the smallest member of x's bands; this bounds
+    the similarity from above. One row per shingle, counted, whatever the size of a band."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(_normal(t), k) for t in b.column("text").to_pylist()]
+            n = np.array([len(s) for s in sets], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("node").take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array(np.repeat(n, n)),
+                 pa.array(np.concatenate(sets).view(np.int64) if len(sets) else np.zeros(0, np.int64))], ["node", "size", "h"])
+
+    nodes = here.select("node").distinct()
+    rows = texts.join(nodes, "node").select("node", "text").mapInArrow(run, "node long, size long, h long")
+    common = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    shared = materialise(rows.join(common, "h").groupBy("node", "size").agg(F.count(F.lit(1)).alias("shared")), "shared-shingles")
+    sized = here.join(shared.select("node", "size"), "node")
+    least = sized.join(sized.groupBy("band").agg(F.min("size").alias("low")), "band").groupBy("node").agg(F.min("low").alias("low"))
+    other = F.greatest("low", "shared")
+    may = shared.join(least, "node").where(100 * F.col("shared") >= percent * (F.col("size") + other - F.col("shared")))
+    return here.join(may.select("node"), "node")
+
+
 def merge_components(comp: DataFrame, links: DataFrame) -> DataFrame:
     """New (node, comp) after connecting the components of linked nodes; comp is the smallest id."""
     ends = links.join(comp.withColumnsRenamed({"node": "a", "comp": "ca"}), "a") \
@@ -207,6 +233,10 @@ def link_classes(docs: DataFrame, prints: DataFrame, k: int, percent: int, miss:
         here = open_.join(comp, "node")
         split = here.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
         here = materialise(here.join(split, "band"), "open-bands")
+        if pivots_per_band > 1:  # the first pivots have connected most members: rule out what cannot be linked at all
+            here = linkable(here, texts, k, percent)
+            split = here.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
+            here = materialise(here.join(split, "band"), "open-bands")
         if not here.head(1):
             return comp
         order = Window.partitionBy("band").orderBy(F.desc("weight"), "node")
