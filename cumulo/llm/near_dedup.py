@@ -232,15 +232,16 @@ def link_classes(docs: DataFrame, prints: DataFrame, k: int, percent: int, miss:
     while True:
         here = open_.join(comp, "node")
         split = here.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
-        here = materialise(here.join(split, "band"), "open-bands")
+        here = here.join(split, "band")
         if pivots_per_band > 1:  # the first pivots have connected most members: rule out what cannot be linked at all
-            here = linkable(here, texts, k, percent)
+            here = linkable(materialise(here, "open-bands"), texts, k, percent)
             split = here.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
-            here = materialise(here.join(split, "band"), "open-bands")
+            here = here.join(split, "band")
+        order = Window.partitionBy("band").orderBy(F.desc("weight"), "node")
+        here = materialise(here.withColumn("r", F.row_number().over(order)), "open-bands")
         if not here.head(1):
             return comp
-        order = Window.partitionBy("band").orderBy(F.desc("weight"), "node")
-        pivots = here.withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots_per_band).select(
+        pivots = here.where(F.col("r") <= pivots_per_band).select(
             "band", F.col("node").alias("b"), F.col("comp").alias("cb"))
         pairs = here.join(pivots, "band").where("comp <> cb").select(F.col("node").alias("a"), "b")
         # of two pivots of a band the pair comes twice: keep one direction of each
@@ -255,7 +256,7 @@ def link_classes(docs: DataFrame, prints: DataFrame, k: int, percent: int, miss:
             links = materialise(verified_links(apart, texts, k, percent), "links")
             if links.head(1):
                 comp = merge_components(comp, links)
-        open_ = here.join(pivots.select("band", F.col("b").alias("node")), ["band", "node"], "left_anti").drop("comp")
+        open_ = here.where(F.col("r") > pivots_per_band).drop("comp", "r")  # all pairs of a pivot have been compared
         pivots_per_band *= 4
 
 
