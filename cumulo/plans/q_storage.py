@@ -50,22 +50,48 @@ def q_year_partition(spark, sf):
             .agg(F.count(F.lit(1)).alias("num_orders"), F.max("year").cast("int").alias("year")))
 
 
-@query("snapshot_days", GROWTH_SQL + """SELECT user_id, first_active_date, last_active_date, daily_active_state,
-  weekly_active_state, n_dates, date FROM g WHERE date <= (SELECT MIN(first_active_date) + 3 FROM g)""")
-def q_snapshot_days(spark, sf):
-    """Four daily steps into a day-partitioned table bucketed by the key."""
-    table = "cumulo_growth_days"
+def _store_growth_days(spark, sf, table: str):
+    """The growth table of every day from the first to the last event day, partitioned by day and bucketed
+    by the key: the days before the last in one write, the last as a step on the stored day before."""
     act = A.web_events(spark, sf).filter(F.col("user_id").isNotNull()).select("user_id", "event_date")
-    first = act.agg(F.min("event_date")).first()[0]  # the run's first day decides which steps are run
+    first, last = act.agg(F.min("event_date"), F.max("event_date")).first()  # decide which days are written
     io.drop_table(spark, table)
-    for i in range(4 if first else 0):
-        run_step_table(spark, table, "snapshot_date", first + dt.timedelta(days=i),
-                       lambda prev, day: G.growth_accounting_step(prev, act, "user_id", day), key=["user_id"], buckets=8)
-    stored = spark.table(table) if first else G.growth_accounting_backfill(act, "user_id", dt.date(1970, 1, 1))
+    if first is None:
+        return G.growth_accounting_backfill(act, "user_id", dt.date(1970, 1, 1)).withColumn("snapshot_date", F.col("date"))
+    if first < last:
+        before = last - dt.timedelta(days=1)
+        days = G.growth_accounting_backfill(act.filter(F.col("event_date") <= F.lit(before)), "user_id", before)
+        days = days.withColumn("snapshot_date", F.col("date"))
+        by_file = days.repartition("snapshot_date", F.pmod(F.hash("user_id"), F.lit(8)))  # a file for a day's bucket
+        io.write_bucketed(by_file, table, 8, ["user_id"], sort_by=["user_id"], partition_by=["snapshot_date"])
+    run_step_table(spark, table, "snapshot_date", last,
+                   lambda prev, day: G.growth_accounting_step(prev, act, "user_id", day), key=["user_id"], buckets=8)
+    return spark.table(table)
+
+
+def _growth_rows(stored):
     return stored.select("user_id", "first_active_date", "last_active_date", "daily_active_state",
                          "weekly_active_state", F.size("dates_active").alias("n_dates"), "date")
 
 
+@query("snapshot_days", GROWTH_SQL + """SELECT user_id, first_active_date, last_active_date, daily_active_state,
+  weekly_active_state, n_dates, date FROM g WHERE date <= (SELECT MIN(first_active_date) + 3 FROM g)""")
+def q_snapshot_days(spark, sf):
+    """Every day stored in a day-partitioned table bucketed by the key; the first four days'
+    partitions, which the SQL asks for, read back. `snapshot_all_days` returns the whole table."""
+    stored = _store_growth_days(spark, sf, "cumulo_growth_days")
+    first = stored.agg(F.min("snapshot_date")).first()[0]
+    return _growth_rows(stored if first is None else
+                        stored.filter(F.col("snapshot_date") <= F.lit(first + dt.timedelta(days=3))))
+
+
+@query("snapshot_all_days", GROWTH_SQL + """SELECT user_id, first_active_date, last_active_date, daily_active_state,
+  weekly_active_state, n_dates, date FROM g""")
+def q_snapshot_all_days(spark, sf):
+    """The growth table of every day, stored in day partitions bucketed by the key and read back."""
+    return _growth_rows(_store_growth_days(spark, sf, "cumulo_growth_all_days"))
+
+
 @query("bucketed_tables_join", with_(MATCHES, FACTS_SQL) + """SELECT match_id, player_gamertag, mapid, playlist_id,
   player_total_kills, player_total_deaths, medal_count FROM facts""")
 def q_bucketed_tables_join(spark, sf):
