@@ -169,14 +169,18 @@ def _predictor(model: dict[str, np.ndarray], penalty: float, bits: int):
 def keep_identified(docs: DataFrame, model: dict[str, np.ndarray], min_share: float = 0.5, text_col: str = "text",
                     penalty: float = PENALTY, bits: int = BITS) -> DataFrame:
     """`docs` without the rejected documents: those without a letter and those in which no language
-    reaches `min_share`."""
-    predict = _predictor(model, penalty, bits)
+    reaches `min_share`. With an empty model every text with a letter stays."""
+    predict, untaught = _predictor(model, penalty, bits), not model
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = predict()
         for b in batches:
-            langs = [one(t)[2] for t in b.column(at).to_pylist()]
-            yield b.filter(pa.array([bool(x) and x[0]["share"] >= min_share for x in langs], pa.bool_()))
+            texts = b.column(at).to_pylist()
+            if untaught:
+                keep = [bool(t) and len(trigrams(t, bits)) > 0 for t in texts]
+            else:
+                keep = [bool(x) and x[0]["share"] >= min_share for x in (one(t)[2] for t in texts)]
+            yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
