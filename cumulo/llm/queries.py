@@ -125,13 +125,15 @@ def bpe_codec(docs: DataFrame) -> DataFrame:
 
 @query("op6_token_files")
 def op6_token_files(spark, sf_dir):
-    """Every text written as raw ids and read back through the minimal perfect hash index."""
+    """Every text written as raw ids and read back: by its key through the minimal perfect hash index, without
+    a key by its place in the shards."""
     docs = load(spark, sf_dir, "documents", ["doc_id", "text"])
     path = public_tokenizers.path("byte_bpe_50k.json")
     out, dtype = shared_path(spark, "token-files"), token_files.id_dtype(path)
     entries = token_files.scan(spark, token_files.write(docs, out, path), dtype)
     index = token_files.build_index(entries, out)
-    back = token_files.read(token_files.lookup(docs, index, "doc_id"), dtype)
+    back = token_files.read(token_files.lookup(docs, index, "doc_id"), dtype).unionByName(
+        token_files.read_unkeyed(entries, dtype))
     return back.select(F.col("key").alias("doc_id"), "start", "n_tokens",
                        token_files.crc32_of_ids("ids", dtype).alias("ids_crc32"))
 

@@ -22,7 +22,7 @@ Encoding calls the library on segments of the texts at which its pre-tokeniser a
 (see segments.py), each distinct one once while it is remembered; the ids are those of the whole text.
 
 Defined cases: NULL and empty texts are a lone end id; a NULL key is written but not indexed
-(`scan` returns it); rows that repeat a key lie side by side ordered by text, the index points to the
+(`scan` returns it, `read_unkeyed` its ids); rows that repeat a key lie side by side ordered by text, the index points to the
 first and counts them, `read` returns them all; an empty table gives no shard, an empty index and an
 empty result; other columns are not looked at.
 """
@@ -305,6 +305,13 @@ def read(records: DataFrame, dtype: str) -> DataFrame:
     return by_file.mapInPandas(slices, RECORDS)
 
 
+def read_unkeyed(entries: DataFrame, dtype: str) -> DataFrame:
+    """The ids of the records with a NULL key, which the index leaves out: as from `read`."""
+    records = entries.where("key IS NULL").select(F.lit(0).cast("long").alias("key"), "file", "row", "at", "n_tokens",
+                                                  "start", F.lit(1).cast("long").alias("records"))
+    return read(records, dtype).withColumn("key", F.lit(None).cast("long"))
+
+
 def crc32_of_ids(ids_col: str, dtype: str):
     """Column: unsigned crc32 of the ids as little-endian 32-bit integers."""
     @F.pandas_udf("long")
