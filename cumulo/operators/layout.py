@@ -152,3 +152,13 @@ def enrich_events(events: DataFrame, devices: DataFrame, renames: Mapping[str, s
     e = events.join(broadcast_if_small(devices), on="device_id", how="left").withColumn(
         "event_day", F.to_date("event_time"))
     return e.withColumnsRenamed(dict(renames)) if renames else e
+
+
+def repartitioned(df: DataFrame, n: int, cols: list[str]) -> DataFrame:
+    """the rows dealt by the hash of `cols` into `n` partitions, also where adaptive execution would merge them."""
+    return df.repartition(n, *cols)
+
+
+def globally_sorted(df: DataFrame, order: list[str]) -> DataFrame:
+    """every row in one order, by range partitions sorted each in its own task; no limit."""
+    return df.orderBy(*order)

@@ -102,6 +102,22 @@ def q_bucketed_tables_join(spark, sf):
                         "player_total_deaths", "medal_count")
 
 
+@query("orders_by_customer", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+def q_orders_by_customer(spark, sf):
+    """the orders dealt by customer into eight partitions, written and read back."""
+    path = _warehouse(spark, "cumulo_orders_by_customer")
+    L.repartitioned(load(spark, sf, "orders", ORDERS.names), 8, ["o_custkey"]).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("orders_sorted", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+def q_orders_sorted(spark, sf):
+    """all orders in one global order, written as range-ordered files and read back."""
+    path = _warehouse(spark, "cumulo_orders_sorted")
+    L.globally_sorted(load(spark, sf, "orders", ORDERS.names), ["o_custkey", "o_orderkey"]).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 @query("key_skew", "SELECT l_suppkey, COUNT(*) AS count FROM lineitem GROUP BY 1 ORDER BY count DESC, l_suppkey LIMIT 20")
 def q_key_skew(spark, sf):
     """The heaviest join keys of lineitem (a top-20 report)."""

@@ -17,3 +17,16 @@ def test_every_event_day_is_stored_and_returned(spark):
     out = E.queries()["snapshot_all_days"](spark, SF_SMALL)
     assert out.select("date").distinct().count() == n
     assert out.select("user_id").distinct().count() == act.select("user_id").distinct().count()
+
+
+def test_orders_are_dealt_by_customer(spark):
+    out = E.queries()["orders_by_customer"](spark, SF_SMALL).withColumn("file", F.input_file_name())
+    assert out.select("file").distinct().count() == 8
+    assert out.groupBy("o_custkey").agg(F.count_distinct("file").alias("n")).where("n > 1").count() == 0
+
+
+def test_orders_are_in_one_order_over_all_files(spark):
+    out = E.queries()["orders_sorted"](spark, SF_SMALL).withColumn("part", F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1).cast("int"))
+    rows = out.withColumn("row", F.monotonically_increasing_id()).collect()
+    rows = [(r.o_custkey, r.o_orderkey) for r in sorted(rows, key=lambda r: (r.part, r.row))]
+    assert rows == sorted(rows)
