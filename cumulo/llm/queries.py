@@ -9,8 +9,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulo.llm import (bpe_replay, chat_format, decontaminate, exact_dedup, kd_shards, language_id, near_dedup,
-                        substring_dedup, token_counts, token_files)
+from cumulo.llm import (bpe_replay, chat_format, decontaminate, exact_dedup, fill_in_middle, kd_shards, language_id,
+                        near_dedup, substring_dedup, token_counts, token_files)
 from cumulo.llm.common import prepare, shared_path
 from cumulo.sources.tables import load
 
@@ -167,3 +167,30 @@ def op4_substring_dedup(spark, sf_dir):
     """Every document without the words of 20-word windows that start earlier elsewhere."""
     got = substring_dedup.remove_repeats(load(spark, sf_dir, "documents", ["doc_id", "text"]), length=20)
     return got.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "spans")
+
+
+_H = "('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), {0}, 8))::BIGINT"
+
+
+@query("op13_fill_in_middle", f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_H.format(1)} AS h1, {_H.format(9)} AS h2, {_H.format(25)} AS h4,
+                  string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+     n AS (SELECT *, len(l) - (l[-1] = '')::INT AS n FROM d),
+     k AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM n),
+     c AS (SELECT *, least(length(t), CASE WHEN a = 0 THEN 0 ELSE length(array_to_string(l[:a], chr(10))) + 1 END) AS x,
+                  least(length(t), CASE WHEN b = 0 THEN 0 ELSE length(array_to_string(l[:b], chr(10))) + 1 END) AS y,
+                  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+                       WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM k),
+     p AS (SELECT *, substring(t, 1, x) AS p, substring(t, x + 1, y - x) AS m, substring(t, y + 1) AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN x END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN y - x END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE p || m || s END) AS restored_sha256
+FROM p""")
+def op13_fill_in_middle(spark, sf_dir):
+    """Every text cut at two line ends, written suffix first or prefix first, and put together again."""
+    made = fill_in_middle.fill_in_middle(load(spark, sf_dir, "documents", ["doc_id", "text"]), seed=7, rate=100, spm=50)
+    return fill_in_middle.restore(made).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"))
