@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cumulo.llm import (bpe_replay, chat_format, decontaminate, exact_dedup, fill_in_middle, kd_shards, language_id,
-                        near_dedup, substring_dedup, token_counts, token_files)
-from cumulo.llm.common import prepare, shared_path
+                        near_dedup, prefix_trie, substring_dedup, token_counts, token_files)
+from cumulo.llm.common import materialise, prepare, shared_path
 from cumulo.sources.tables import load
 
 QUERIES: dict = {}
@@ -194,3 +194,43 @@ def op13_fill_in_middle(spark, sf_dir):
     return fill_in_middle.restore(made).select(
         "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
         F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def shared_heads(sequences: DataFrame, every: int = 20, most: int = 4) -> DataFrame:
+    """Each conversation c with the first crc32(c) % `most` turns of conversation c - c % `every` before its own
+    turns after as many."""
+    n = (F.crc32(F.col("id").cast("string")) % most).cast("int")
+    head = sequences.select(F.col("id").alias("base"), F.slice("seq", 1, most - 1).alias("hs"),
+                            F.slice("words", 1, most - 1).alias("hw"))
+    own = sequences.withColumns({"base": F.col("id") - F.col("id") % every, "n": n}).join(head, "base", "left")
+    nothing = F.array().cast("array<bigint>")
+    return own.select("id", *[
+        F.concat(F.slice(F.coalesce(h, nothing), F.lit(1), F.col("n")),
+                 F.slice(c, F.col("n") + 1, F.greatest(F.size(c) - F.col("n"), F.lit(0)))).alias(c)
+        for c, h in (("seq", "hs"), ("words", "hw"))])
+
+
+@query("op11_prefix_trie", f"""
+WITH own AS (SELECT conv_id AS c, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                    ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS t
+             FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+     h AS (SELECT c, t, c - c % 20 AS base, list_reduce(list_prepend(4294967295, list_transform(string_split(c::VARCHAR, ''),
+             lambda x: ord(x)::BIGINT)), lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(0, 8)),
+             lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)) AS crc FROM own),
+     r AS (SELECT h.c, list_concat(coalesce(b.t, [])[:xor(h.crc, 4294967295) % 4], h.t[xor(h.crc, 4294967295) % 4 + 1:]) AS t
+           FROM h LEFT JOIN own b ON b.c = h.base),
+     p AS (SELECT c, d, t[:d] AS k, len(t) = d AS ended FROM (SELECT c, t, unnest(range(0, len(t) + 1)) AS d FROM r)),
+     n AS (SELECT d, k, min(c) AS c, count(*) AS n, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ended), '')) AS e
+           FROM p GROUP BY d, k),
+     w AS (SELECT *, CASE WHEN d = 0 THEN 0 ELSE (n - 1) * len({_SQL_WORDS.format("k[-1].text")}) END AS s,
+                  (SELECT count(*) FROM n x WHERE x.d = n.d + 1 AND x.k[:n.d] = n.k) AS kids FROM n),
+     u AS (SELECT a AS d, k[:a] AS k, sum(s) AS saved, count(*) FILTER (kids = 0) AS leaves
+           FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM w) GROUP BY 1, 2)
+SELECT w.c AS conv_id, w.d AS depth, up.c AS parent_conv_id, w.n AS n_convs, w.kids AS n_children, u.leaves AS n_leaves,
+       u.saved::BIGINT AS saved_tokens, w.e AS ends_sha256
+FROM w JOIN u ON u.d = w.d AND u.k = w.k LEFT JOIN w up ON up.d = w.d - 1 AND up.k = w.k[:w.d - 1]""")
+def op11_prefix_trie(spark, sf_dir):
+    """Nodes of the trie of all conversations, each rebuilt with the first turns of a conversation it shares them with."""
+    rows = load(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    sequences = materialise(shared_heads(prefix_trie.encode_turns(rows)), "sequences")
+    return prefix_trie.prefix_trie(sequences)
