@@ -9,8 +9,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulo.llm import (bpe_replay, chat_format, decontaminate, exact_dedup, fill_in_middle, kd_shards, language_id,
-                        near_dedup, prefix_trie, substring_dedup, token_counts, token_files)
+from cumulo.llm import (bpe_replay, chat_format, decontaminate, embedding_dedup, exact_dedup, fill_in_middle, kd_shards,
+                        language_id, near_dedup, prefix_trie, substring_dedup, token_counts, token_files)
 from cumulo.llm.common import materialise, prepare, shared_path
 from cumulo.sources.tables import load
 
@@ -234,3 +234,18 @@ def op11_prefix_trie(spark, sf_dir):
     rows = load(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
     sequences = materialise(shared_heads(prefix_trie.encode_turns(rows)), "sequences")
     return prefix_trie.prefix_trie(sequences)
+
+
+@query("op12_embedding_dedup", """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+                     WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                       AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+     l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+           ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93),
+     r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.x = vec_id) AS n_links, c AS component_id, c = vec_id AS kept,
+       1.0::DOUBLE AS audited_recall
+FROM (SELECT x AS vec_id, min(y) AS c FROM r GROUP BY x)""")
+def op12_embedding_dedup(spark, sf_dir):
+    """Links and components of all vectors of one label whose cosine is 0.93 or more."""
+    return embedding_dedup.near_vectors(load(spark, sf_dir, "embeddings"), threshold=0.93)
