@@ -5,9 +5,9 @@ matches across a change from a visible character to a space or line feed, and it
 ends inside the white-space run. So a text may be cut before every space or line feed whose left
 neighbour is not white space, and the tokens of the text are the tokens of its segments in
 order. (A text may always be cut less often: where the left neighbour is not plainly visible from its
-UTF-8 bytes there is no cut.) Segments repeat far more often than texts do: workers compute each new
-one once and keep the results in numpy arrays, found by the segment's 64-bit hash (two of a million
-segments share one with a probability of 3e-8).
+UTF-8 bytes there is no cut. A special string that a tokeniser looks for before it splits the text must
+not hold a break after a visible character.) Segments repeat far more often than texts do: a task computes each new one
+once and keeps results and segments in numpy arrays, found by hash and compared byte by byte.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-from cumulo.llm.word_arrays import byte_sums, span_hashes
+from cumulo.llm.word_arrays import span_hashes
 
 PART = 1 << 19  # bytes of text cut and hashed at once (a longer text makes a longer part)
 _SPACE = np.zeros(256, bool)
@@ -40,25 +40,36 @@ def cuts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
 class SegmentTable:
     """Token counts and ids of segments, kept between batches.
 
-    `compute` gets distinct new segments and returns for each its ids as bytes of `dtype`, or, with
-    `dtype` None, its token count. All is forgotten beyond `limit` segments or `room` ids."""
+    `compute` gets distinct new segments and returns for each its ids as bytes of `dtype`, or all ids in one array and
+    their counts, or, with `dtype` None, token counts. A segment is found by the hash of its bytes and known by its bytes: one whose hash
+    belongs to another segment gets an entry of its own, without a place in the table. The table grows with its
+    entries; all is forgotten between two parts of text beyond `limit` segments or `room` bytes of arrays."""
 
     def __init__(self, compute: Callable[[list[str]], list], dtype: str | None, limit: int = 1_000_000,
-                 room: int = 16_000_000):
+                 room: int = 64 << 20):
         self.compute, self.dtype, self.limit, self.room = compute, dtype, limit, room
         self._forget()
 
     def _forget(self) -> None:
-        self.mask = (1 << (4 * self.limit - 1).bit_length() - 1) - 1
+        self.mask = (1 << 12) - 1
         self.keys = np.zeros(self.mask + 1, np.uint64)  # 0: free
         self.slot = np.zeros(self.mask + 1, np.int32)
-        self.n, self.used = 0, 0
+        self.placed = 0
+        self.n, self.used, self.held = 0, 0, 0
+        self.hash = np.zeros(1 << 12, np.uint64)  # of each entry, 0 without a place in the table
         self.lens = np.zeros(1 << 12, np.int64)
         self.begin = np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, self.dtype or "u1")
+        self.size = np.zeros(1 << 12, np.int64)
+        self.at = np.zeros(1 << 12, np.int64)
+        self.bytes = np.zeros(1 << 14, np.uint8)
+
+    def room_taken(self) -> int:
+        return sum(a.nbytes for a in (self.keys, self.slot, self.hash, self.lens, self.begin, self.ids, self.size, self.at,
+                                      self.bytes))
 
     def _find(self, h: np.ndarray) -> np.ndarray:
-        """Slot of each hash, -1 if unknown."""
+        """Entry of each hash, -1 if unknown."""
         out = np.full(len(h), -1, np.int64)
         left, at = np.arange(len(h)), (h & np.uint64(self.mask)).astype(np.int64)
         while len(left):
@@ -69,16 +80,22 @@ class SegmentTable:
             left, at = left[go], (at[go] + 1) & self.mask
         return out
 
-    def _insert(self, h: np.ndarray) -> None:
-        """Give the distinct new hashes the next slots, in order."""
-        slot = np.arange(self.n, self.n + len(h))
+    def _place(self, h: np.ndarray, entry: np.ndarray) -> None:
+        """Put distinct new hashes into the table; at most half of its places are ever taken."""
+        if 2 * (self.placed + len(h)) > len(self.keys):
+            self.mask = (1 << (4 * (self.placed + len(h)) - 1).bit_length()) - 1
+            self.keys, self.slot = np.zeros(self.mask + 1, np.uint64), np.zeros(self.mask + 1, np.int32)
+            known = np.flatnonzero(self.hash[:self.n])
+            known = known[~np.isin(known, entry)]
+            h, entry, self.placed = np.concatenate((self.hash[known], h)), np.concatenate((known, entry)), 0
+        self.placed += len(h)
         at = (h & np.uint64(self.mask)).astype(np.int64)
         left = np.arange(len(h))
         while len(left):
             free = np.flatnonzero(self.keys[at] == 0)
             first = free[np.unique(at[free], return_index=True)[1]]  # one of those that want the same place
             self.keys[at[first]] = h[left[first]]
-            self.slot[at[first]] = slot[left[first]]
+            self.slot[at[first]] = entry[left[first]]
             rest = np.ones(len(left), bool)
             rest[first] = False
             left, at = left[rest], (at[rest] + 1) & self.mask
@@ -87,21 +104,40 @@ class SegmentTable:
     def _grown(a: np.ndarray, n: int) -> np.ndarray:
         return a if len(a) >= n else np.concatenate((a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)))
 
-    def _learn(self, h: np.ndarray, segments: list[str]) -> None:
-        got = self.compute(segments)
+    def _learn(self, segments: list[bytes]) -> np.ndarray:
+        """New entries for the segments; returns their numbers."""
+        got = self.compute([s.decode("utf-8") for s in segments])
         if self.dtype is None:
             lens, flat = np.array(got, np.int64), np.zeros(0, "u1")
+        elif isinstance(got, tuple):
+            flat, lens = got
         else:
             flat = np.frombuffer(b"".join(got), self.dtype)
             lens = np.array([len(g) for g in got], np.int64) // np.dtype(self.dtype).itemsize
-        end = self.n + len(h)
-        self.lens, self.begin = self._grown(self.lens, end), self._grown(self.begin, end)
-        self.ids = self._grown(self.ids, self.used + len(flat))
-        self.lens[self.n:end] = lens
+        size, raw = np.array([len(s) for s in segments], np.int64), np.frombuffer(b"".join(segments), np.uint8)
+        end = self.n + len(segments)
+        for name in ("lens", "begin", "size", "at", "hash"):
+            setattr(self, name, self._grown(getattr(self, name), end))
+        self.ids, self.bytes = self._grown(self.ids, self.used + len(flat)), self._grown(self.bytes, self.held + len(raw))
+        self.lens[self.n:end], self.size[self.n:end], self.hash[self.n:end] = lens, size, 0
         self.begin[self.n:end] = self.used + np.cumsum(lens) - lens
+        self.at[self.n:end] = self.held + np.cumsum(size) - size
         self.ids[self.used:self.used + len(flat)] = flat
-        self._insert(h)
-        self.n, self.used = end, self.used + len(flat)
+        self.bytes[self.held:self.held + len(raw)] = raw
+        entry = np.arange(self.n, end)
+        self.n, self.used, self.held = end, self.used + len(flat), self.held + len(raw)
+        return entry
+
+    def _others(self, raw: np.ndarray, begin: np.ndarray, size: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        """Segments whose bytes are not those of their entry."""
+        odd = self.size[entry] != size
+        same = np.flatnonzero(~odd)
+        n = size[same]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        wrong = raw[np.repeat(begin[same], n) + place] != self.bytes[np.repeat(self.at[entry[same]], n) + place]
+        if wrong.any():
+            odd[np.repeat(same, n)[wrong]] = True
+        return np.flatnonzero(odd)
 
     def _part(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         whole = b"".join(texts)
@@ -113,21 +149,28 @@ class SegmentTable:
         starts = np.cumsum(sizes) - sizes
         begin = cuts(raw, starts[sizes > 0])
         end = np.append(begin[1:], len(raw))
-        h = span_hashes(byte_sums(raw), begin, end)
+        h = span_hashes(raw, begin, end)
         h[h == 0] = 1
-        slot = self._find(h)
-        if (slot < 0).any():
-            new, first = np.unique(h[slot < 0], return_index=True)
-            first = np.flatnonzero(slot < 0)[first]
-            self._learn(new, [whole[a:b].decode("utf-8") for a, b in zip(begin[first].tolist(), end[first].tolist())])
-            slot = self._find(h)
-        lens = self.lens[slot]
+        entry = self._find(h)
+        if (entry < 0).any():
+            new, first = np.unique(h[entry < 0], return_index=True)
+            first = np.flatnonzero(entry < 0)[first]
+            made = self._learn([whole[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())])
+            self.hash[made] = new
+            self._place(new, made)
+            entry = self._find(h)
+        odd = self._others(raw, begin, end - begin, entry)
+        if len(odd):
+            parts = [whole[a:b] for a, b in zip(begin[odd].tolist(), end[odd].tolist())]
+            number = {s: i for i, s in enumerate(dict.fromkeys(parts))}
+            entry[odd] = self._learn(list(number))[[number[s] for s in parts]]
+        lens = self.lens[entry]
         total = np.concatenate(([0], np.cumsum(lens)))
         edge = np.searchsorted(begin, np.append(starts, len(raw)))
         counts = total[edge[1:]] - total[edge[:-1]]
         if self.dtype is None:
             return counts, self.ids[:0]
-        at = np.repeat(self.begin[slot] - total[:-1], lens) + np.arange(total[-1])
+        at = np.repeat(self.begin[entry] - total[:-1], lens) + np.arange(total[-1])
         return counts, self.ids[at]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +180,7 @@ class SegmentTable:
             part.append(text.encode("utf-8"))
             size += len(part[-1])
             if size >= PART or i == len(texts) - 1:
-                if self.n > self.limit or self.used > self.room:
+                if self.n > self.limit or self.room_taken() > self.room:
                     self._forget()
                 c, f = self._part(part)
                 counts.append(c)

@@ -120,7 +120,7 @@ class MergeTable:
         return fixed.tolist()
 
 
-_TABLES: dict[tuple, SegmentTable] = {}
+_TABLES: dict[tuple, SegmentTable] = {}  # bounded: the vocabulary and the table's own limits
 
 
 def _cache(path: str, pattern: str) -> SegmentTable:

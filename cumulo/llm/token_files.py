@@ -75,12 +75,12 @@ class LibraryEncoder:
         return out
 
 
-_ENCODERS: dict[tuple, SegmentTable] = {}
+_ENCODERS: dict[tuple, SegmentTable] = {}  # bounded: the vocabulary and the table's own limits
 
 
 def _encoder(path: str, dtype: str) -> SegmentTable:
     if (path, dtype) not in _ENCODERS:
-        _ENCODERS[path, dtype] = SegmentTable(LibraryEncoder(path, dtype).segment_ids, dtype, limit=1_500_000)
+        _ENCODERS[path, dtype] = SegmentTable(LibraryEncoder(path, dtype).segment_ids, dtype)
     return _ENCODERS[path, dtype]
 
 

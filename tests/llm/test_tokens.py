@@ -1,6 +1,7 @@
 """Token counts, BPE codec, token files: held against the libraries."""
 
 import base64
+import hashlib
 import zlib
 
 import numpy as np
@@ -12,10 +13,12 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cumulo.llm import bpe_replay, queries, token_counts, token_files
+from cumulo.llm import bpe_replay, near_dedup, queries, segments, substring_dedup, token_counts, token_files
 from cumulo.llm.common import shared_path
 from cumulo.llm.segments import SegmentTable, cuts
+from cumulo.llm.word_arrays import word_hashes
 from tests.conftest import SF_SMALL
+from tests.llm import brute
 from tests.llm.conftest import TRICKY
 
 JSON, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -62,7 +65,66 @@ def test_segments_cut_only_after_visible_characters():
 def test_runs_of_one_pair(merges, replay):
     texts = ["a" * n for n in (1, 2, 3, 4, 7, 64, 5000)] + ["ab" * 3000, "=" * 4097, " " * 300, "\n" * 99]
     assert merges.segment_counts(texts) == [len(library_ids(t)) for t in texts]
-    assert [np.frombuffer(x, "<i4").tolist() for x in replay.segment_ids(texts)] == [TIKTOKEN.encode_ordinary(t) for t in texts]
+    ids, counts = replay.segment_ids(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [TIKTOKEN.encode_ordinary(t) for t in texts]
+
+
+def test_one_by_one_and_lower_ranks(replay, tmp_path):
+    """Made-up ranks in which a merge brings up a pair of lower rank beside another occurrence."""
+    for w in (b" international", b"aaaaaaa", b"x", "über".encode()):
+        assert replay.one_by_one(w) == TIKTOKEN.encode_ordinary(w.decode())
+    tokens = [bytes([i]) for i in range(256)] + [b"ba", b"aba", b"abab", b"ab", b"abc", b"cab", b"bcab", b"abca", b"aa", b"aaa"]
+    path = tmp_path / "made.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate(tokens)))
+    odd = bpe_replay.MergeReplay(str(path), r"[a-z]+|[^a-z]+")
+    library = tiktoken.Encoding("made", pat_str=r"[a-z]+|[^a-z]+", special_tokens={},
+                                mergeable_ranks={t: i for i, t in enumerate(tokens)})
+    rng = np.random.default_rng(8)
+    texts = ["".join(rng.choice(list("abc"), rng.integers(1, 40))) for _ in range(3000)]
+    ids, counts = odd.segment_ids(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [library.encode_ordinary(t) for t in texts]
+
+
+def test_more_segments_than_places():
+    """2.5 million different segments in one text, and limits far below the number of segments."""
+    text = " ".join(map(str, range(2_500_000)))
+    counts, flat = SegmentTable(lambda s: [len(x) for x in s], None).encode([text, "7 8"])
+    assert counts.tolist() == [len(text), 3]
+    texts = [" ".join(map(str, range(a, a + 700))) for a in range(0, 7000, 500)]
+    counts, flat = SegmentTable(lambda s: [x.encode() for x in s], "u1", limit=50, room=1000).encode(texts)
+    assert flat.tobytes().decode() == "".join(texts) and counts.tolist() == [len(t) for t in texts]
+
+
+def _thue_morse(n):
+    return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_words_with_alternating_structure(spark_llm, n):
+    """Words that polynomial hashes modulo a power of two confuse: a Thue-Morse word and its complement."""
+    a = _thue_morse(n)
+    b = a.translate(str.maketrans("ab", "ba"))
+    assert word_hashes(a.encode())[0] != word_hashes(b.encode())[0]
+    rest = " ".join(f"w{i}" for i in range(40))
+    docs = spark_llm.createDataFrame([(1, a), (2, b), (3, f"{rest[:60]} {a} {rest[60:]}"), (4, f"{rest[:60]} {b} {rest[60:]}")],
+                                     "doc_id long, text string").coalesce(1)
+    text = {1: a, 2: b, 3: f"{rest[:60]} {a} {rest[60:]}", 4: f"{rest[:60]} {b} {rest[60:]}"}
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, JSON, PATTERN).collect()}
+    assert got == {i: len(library_ids(t)) for i, t in text.items()}
+    both = bpe_replay.decode(bpe_replay.encode(docs, RANKS, PATTERN), RANKS, PATTERN).collect()
+    assert {r.doc_id: (r.ids, bytes(r.decoded).decode()) for r in both} == {i: (TIKTOKEN.encode_ordinary(t), t) for i, t in text.items()}
+    assert {r.doc_id: r.component_id for r in near_dedup.near_copies(docs, k=4).where("doc_id < 3").collect()} == {1: 1, 2: 2}
+    cut = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(docs, length=20).collect()}
+    assert cut == {i: removed for i, (_, removed, _) in brute.without_repeats(sorted(text.items()), 20).items()}
+
+
+def test_segments_with_one_hash(monkeypatch):
+    """Entries are known by their bytes: with four hash values only, every value is still right."""
+    monkeypatch.setattr(segments, "span_hashes", lambda raw, a, b: (raw[a].astype(np.uint64) % np.uint64(4)))
+    table = SegmentTable(lambda s: [x.encode() for x in s], "u1")
+    for texts in (["aa bb", "cc bb aa"], ["bb aa dd", "aa", "", "aaaa bb"] * 3):
+        counts, flat = table.encode(texts)
+        assert flat.tobytes().decode() == "".join(texts) and counts.tolist() == [len(t) for t in texts]
 
 
 def _by_id(rows):
@@ -87,12 +149,15 @@ def test_queries_match_the_libraries(spark_llm):
     docs = pq.read_table(f"{SF_SMALL}/documents.parquet").to_pandas().sort_values("doc_id")
     counts = {r.doc_id: r.n_tokens for r in queries.QUERIES["op3_token_counts"](spark_llm, SF_SMALL).collect()}
     files = {r.doc_id: r for r in queries.QUERIES["op6_token_files"](spark_llm, SF_SMALL).collect()}
-    codec = {r.doc_id: r.n_tokens for r in queries.QUERIES["op5_bpe_codec"](spark_llm, SF_SMALL).collect()}
+    codec = {r.doc_id: r for r in queries.QUERIES["op5_bpe_codec"](spark_llm, SF_SMALL).collect()}
     assert len(files) == len(docs) == len(counts)
     at = 0
     for i, text in zip(docs.doc_id, docs.text):
         ids = library_ids(text)
-        assert counts[i] == len(ids) and codec[i] == len(TIKTOKEN.encode_ordinary(text))
+        ranked = TIKTOKEN.encode_ordinary(text or "")
+        assert counts[i] == len(ids) and codec[i].n_tokens == len(ranked)
+        assert codec[i].ids_sha256 == hashlib.sha256(" ".join(map(str, ranked)).encode()).hexdigest()
+        assert codec[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
         closed = np.array([*ids, 2], "<u4")
         assert (files[i].start, files[i].n_tokens, files[i].ids_crc32) == (at, len(closed), zlib.crc32(closed.tobytes()))
         at += len(closed)
