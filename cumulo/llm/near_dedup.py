@@ -6,17 +6,20 @@ the Jaccard similarity of their sets reaches `percent` / 100; components are wha
 1. Documents with equal sets are one class (number: 64 bits of the set's digest; n classes share a
    number by chance with probability below n * n / 2**65). One pass writes class and band keys.
 2. Banding: classes that share a band key are candidates. Bands with the same members count once.
-3. Pivots instead of pairs: in each band every member is paired with a pivot, the most central
-   member (the one whose bands hold most members), if their components differ. After verification
-   components are merged, pivots are done with, and bands whose members are not yet all in one
-   component go on with four times as many pivots, without members that share too few shingles
-   with all others together to be linked with any (`linkable`). So every candidate pair is compared unless its two
-   sides have been connected otherwise or cannot reach the similarity, and no band emits all pairs when one component fills it.
+3. Pivots instead of pairs: in each band every member is paired with the pivot, the most central member
+   (the one whose bands hold most members). The best match of each member is verified, and components
+   are formed. Every other pair of a band is compared only if its sides are still in different
+   components: bands of at most `SMALL` members give their pairs, larger ones are laid out in blocks of
+   about `BLOCK` members by band and component, and pairs of blocks that share a band and do not lie in
+   one component are compared as matrices. No pair of a large band becomes a row unless it is a link.
 4. Sequential Bayesian verification: signatures are compared in batches of `BATCH` hashes; with m of
    n equal, the posterior of the similarity s under a uniform prior is Beta(m + 1, n - m + 1), and
    a pair is pruned once P(s >= threshold) falls below `miss`. Survivors are verified on the full
-   shingle sets of the two texts; of several survivors of a class the best match is verified
-   first and the others only while they would connect different components.
+   shingle sets of the two texts.
+
+A large band whose members resemble one another just below the threshold costs a number of block pairs
+that grows with the square of its members over `BLOCK`: similarity just below the threshold can only be
+told by comparing.
 
 Misses: a pair at exactly 0.8 shares no band with probability (1 - 0.8**4)**25 = 2e-6, and pruning adds
 at most `miss` for each batch; both matter only where no other chain of links connects the two.
@@ -39,9 +42,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cumulo.llm.common import materialise
+from cumulo.llm.components import components
 from cumulo.llm.word_arrays import shingle_set
 
 ROWS, BANDS, HASHES, BATCH = 4, 25, 256, 32
+SMALL, BLOCK, BLOCK_BYTES = 24, 512, 8 << 20
 MISS = 1e-7
 _FACTORS = np.random.default_rng(77).integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -169,95 +174,147 @@ def verified_links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) ->
     return wide.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def linkable(here: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The members of `here` that could still be linked with another one.
+def open_members(bands: DataFrame, comp: DataFrame) -> DataFrame:
+    """band, node, comp, m of bands whose members lie in several components; m: members of the band."""
+    here = bands.select("band", "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    split = here.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m")) \
+        .where("lo < hi").select("band", "m")
+    return here.join(split, "band")
+
+
+def small_band_pairs(members: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of different components from bands of at most SMALL members."""
+    few = members.where(F.col("m") <= SMALL)
+    pairs = few.select("band", F.col("node").alias("a"), F.col("comp").alias("ca")).join(
+        few.select("band", F.col("node").alias("b"), F.col("comp").alias("cb")), "band").where("a < b AND ca <> cb")
+    return pairs.select("a", "b").distinct()
+
+
+def blocks_of_large_bands(members: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(blocks: block, lo, hi, nodes, comps, sigs, texts; members: block, band) of the bands of more than SMALL members.
+
+    A member is in one block, that of its largest band: a component with many members there has blocks of its own,
+    the others share some; counts and bytes fix the number of blocks, a hash of node or component deals them out."""
+    many = materialise(members.where(F.col("m") > SMALL), "large-bands")
+    home = many.groupBy("node").agg(F.max(F.struct("m", "band")).alias("h"), F.min("comp").alias("comp")).select(
+        "node", "comp", F.col("h.band").alias("home"))
+    rows = materialise(home.join(texts, "node"), "large-band-texts")
+    per = rows.groupBy("home", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text") + 4 * HASHES).alias("size"))
+    slots = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES))
+    wide = (F.col("n") >= BLOCK // 2) | (F.col("size") >= BLOCK_BYTES // 2)
+    rest = per.where(~wide).groupBy("home").agg(F.sum("n").alias("n"), F.sum("size").alias("size")).select(
+        "home", slots(F.col("n"), F.col("size")).alias("shared"))
+    plan = per.join(rest, "home", "left").select(
+        "home", "comp", F.when(wide, F.col("comp")).alias("own"),
+        F.when(wide, slots(F.col("n"), F.col("size"))).otherwise(F.col("shared")).alias("slots"))
+    dealt = rows.join(plan, ["home", "comp"]).withColumn(
+        "slot", F.pmod(F.when(F.col("own").isNull(), F.xxhash64("comp")).otherwise(F.xxhash64("node")), F.col("slots")))
+    blocks = materialise(dealt.groupBy("home", "own", "slot").agg(
+        F.min("node").alias("block"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+        F.collect_list(F.struct("node", "comp", "sig", "text")).alias("r")).select(
+        "block", "lo", "hi", F.col("r.node").alias("nodes"), F.col("r.comp").alias("comps"), F.col("r.sig").alias("sigs"),
+        F.col("r.text").alias("texts")), "blocks")
+    of = blocks.select("block", F.explode("nodes").alias("node"))
+    return blocks, many.select("band", "node").join(of, "node").select("band", "block").distinct()
+
+
+def _equal_shingles(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Number of common elements of each set of x with each of y, as a product of two 0/1 matrices, columns at a time."""
+    flat = np.concatenate([np.unique(np.concatenate(x)), np.unique(np.concatenate(y))])
+    value, times = np.unique(flat, return_counts=True)
+    value = value[times == 2]  # only what both sides have
+    out = np.zeros((len(x), len(y)), np.float32)
+    for a in range(0, len(value), 8192):
+        some = value[a:a + 8192]
+        sides = []
+        for sets in (x, y):
+            m = np.zeros((len(sets), len(some)), np.float32)
+            for i, s in enumerate(sets):
+                at = np.searchsorted(some, s)
+                at[at == len(some)] = 0
+                m[i, at[some[at] == s]] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def links_of_blocks(pairs: DataFrame, blocks: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
+    """Links (a, b) between components inside pairs of blocks, one for each two components of a block pair.
+
+    Signatures are compared batch by batch for all pairs of the two blocks at once; rows and columns that
+    are left are verified on their full sets."""
+    steps = least_matches(percent / 100, miss)
 
-    A partner y of x is among the members, so x & y is part of what x shares with any of them
-    (`shared` shingles), and y is no smaller than the smallest member of x's bands; this bounds
-    the similarity from above. One row per shingle, counted, whatever the size of a band."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingle_set(_normal(t), k) for t in b.column("text").to_pylist()]
-            n = np.array([len(s) for s in sets], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("node").take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array(np.repeat(n, n)),
-                 pa.array(np.concatenate(sets).view(np.int64) if len(sets) else np.zeros(0, np.int64))], ["node", "size", "h"])
-
-    nodes = here.select("node").distinct()
-    rows = texts.join(nodes, "node").select("node", "text").mapInArrow(run, "node long, size long, h long")
-    common = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    shared = materialise(rows.join(common, "h").groupBy("node", "size").agg(F.count(F.lit(1)).alias("shared")), "shared-shingles")
-    sized = here.join(shared.select("node", "size"), "node")
-    least = sized.join(sized.groupBy("band").agg(F.min("size").alias("low")), "band").groupBy("node").agg(F.min("low").alias("low"))
-    other = F.greatest("low", "shared")
-    may = shared.join(least, "node").where(100 * F.col("shared") >= percent * (F.col("size") + other - F.col("shared")))
-    return here.join(may.select("node"), "node")
-
-
-def merge_components(comp: DataFrame, links: DataFrame) -> DataFrame:
-    """New (node, comp) after connecting the components of linked nodes; comp is the smallest id."""
-    ends = links.join(comp.withColumnsRenamed({"node": "a", "comp": "ca"}), "a") \
-        .join(comp.withColumnsRenamed({"node": "b", "comp": "cb"}), "b").where("ca <> cb").select("ca", "cb")
-    edges = materialise(ends.union(ends.select("cb", "ca")).distinct(), "component-edges")
-    while edges.head(1):
-        # every component points to its smallest neighbour if that is smaller; then follow the pointers
-        to = edges.groupBy("ca").agg(F.min("cb").alias("p")).where("p < ca")
-        while True:
-            hop = to.select(F.col("ca").alias("p"), F.col("p").alias("q"))
-            far = materialise(to.join(hop, "p", "left").select(
-                "ca", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved")), "component-pointers")
-            to = far.select("ca", "p")
-            if not far.where("moved").head(1):
-                break
-        comp = comp.join(to.withColumnsRenamed({"ca": "comp", "p": "_p"}), "comp", "left").select(
-            "node", F.coalesce("_p", "comp").alias("comp"))
-        near = to.withColumnRenamed("p", "pa").join(edges, "ca", "right").select(
-            F.coalesce("pa", "ca").alias("ca"), "cb")
-        both = to.withColumnsRenamed({"ca": "cb", "p": "pb"}).join(near, "cb", "right").select(
-            "ca", F.coalesce("pb", "cb").alias("cb"))
-        edges = materialise(both.where("ca <> cb").distinct(), "component-edges")
-    return materialise(comp, "components")
+        for batch in batches:
+            for r in range(batch.num_rows):
+                row = {c: batch.column(c)[r].as_py() for c in batch.schema.names}
+                comp = [np.array(row[f"c{s}"]) for s in "ab"]
+                sig = [np.frombuffer(b"".join(row[f"s{s}"]), "<u4").reshape(-1, HASHES) for s in "ab"]
+                i, j = np.nonzero(comp[0][:, None] != comp[1][None, :])
+                if row["a"] == row["b"]:
+                    i, j = i[i < j], j[i < j]
+                found = np.zeros((0, 2), np.int64)
+                for part in range(0, len(i), 1 << 16):
+                    x, y = i[part:part + (1 << 16)], j[part:part + (1 << 16)]
+                    equal = np.zeros(len(x), np.int64)
+                    for upto, least in steps:
+                        equal = equal + (sig[0][x, upto - BATCH:upto] == sig[1][y, upto - BATCH:upto]).sum(axis=1)
+                        keep = equal >= least
+                        x, y, equal = x[keep], y[keep], equal[keep]
+                    found = np.concatenate((found, np.stack((x, y), axis=1)))
+                if not len(found):
+                    continue
+                left, right = np.unique(found[:, 0]), np.unique(found[:, 1])
+                sets = [[shingle_set(_normal(row[f"t{s}"][p]), k) for p in at] for s, at in (("a", left), ("b", right))]
+                both = _equal_shingles(*sets)[np.searchsorted(left, found[:, 0]), np.searchsorted(right, found[:, 1])]
+                n = [np.array([len(x) for x in part]) for part in sets]
+                union = n[0][np.searchsorted(left, found[:, 0])] + n[1][np.searchsorted(right, found[:, 1])] - both
+                linked = found[100 * both >= percent * union]
+                _, one = np.unique(np.stack((comp[0][linked[:, 0]], comp[1][linked[:, 1]]), axis=1), axis=0, return_index=True)
+                linked = linked[one]
+                if len(linked):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.array(row["na"])[linked[:, 0]]),
+                                                      pa.array(np.array(row["nb"])[linked[:, 1]])], ["a", "b"])
+
+    wide = pairs
+    for s in "ab":
+        wide = wide.join(blocks.select(F.col("block").alias(s), F.col("nodes").alias(f"n{s}"), F.col("comps").alias(f"c{s}"),
+                                       F.col("sigs").alias(f"s{s}"), F.col("texts").alias(f"t{s}")), s)
+    return wide.repartition("a", "b").mapInArrow(run, "a long, b long")
 
 
 def link_classes(docs: DataFrame, prints: DataFrame, k: int, percent: int, miss: float, id_col: str,
                  text_col: str) -> DataFrame:
-    """(node, comp) of the classes that share a band with another class."""
+    """(node, comp) of the classes linked with another class; comp is the smallest node of the component."""
     bands = materialise(shared_bands(prints), "bands")
-    central = materialise(bands.groupBy("node").agg(F.sum("n").alias("weight")), "centrality")
+    central = bands.groupBy("node").agg(F.sum("n").alias("weight"))
     texts = materialise(candidate_texts(docs, prints, central.select("node"), k, id_col, text_col), "candidate-texts")
-    first = prints.where("id IS NOT NULL").groupBy("node").agg(F.min("id").alias("comp"))
-    comp = materialise(central.select("node").join(first, "node"), "components")
-    open_ = bands.select("band", "node").join(central, "node")
-    pivots_per_band = 1
-    while True:
-        here = open_.join(comp, "node")
-        split = here.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
-        here = here.join(split, "band")
-        if pivots_per_band > 1:  # the first pivots have connected most members: rule out what cannot be linked at all
-            here = linkable(materialise(here, "open-bands"), texts, k, percent)
-            split = here.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
-            here = here.join(split, "band")
-        order = Window.partitionBy("band").orderBy(F.desc("weight"), "node")
-        here = materialise(here.withColumn("r", F.row_number().over(order)), "open-bands")
-        if not here.head(1):
-            return comp
-        pivots = here.where(F.col("r") <= pivots_per_band).select(
-            "band", F.col("node").alias("b"), F.col("comp").alias("cb"))
-        pairs = here.join(pivots, "band").where("comp <> cb").select(F.col("node").alias("a"), "b")
-        # of two pivots of a band the pair comes twice: keep one direction of each
-        pairs = pairs.withColumn("lo", F.least("a", "b")).withColumn("hi", F.greatest("a", "b")) \
-            .groupBy("lo", "hi").agg(F.max_by("a", F.col("b")).alias("a"), F.max("b").alias("b")).select("a", "b")
-        found = materialise(posterior_survivors(pairs, texts.select("node", "sig"), percent / 100, miss), "survivors")
-        best = found.groupBy("a").agg(F.max(F.struct("equal", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-        rest = found.join(best, ["a", "b"], "left_anti").select("a", "b")
-        for some in (best, rest):  # the rest only where it would still connect
-            apart = some.join(comp.withColumnsRenamed({"node": "a", "comp": "ca"}), "a") \
-                .join(comp.withColumnsRenamed({"node": "b", "comp": "cb"}), "b").where("ca <> cb").select("a", "b")
-            links = materialise(verified_links(apart, texts, k, percent), "links")
-            if links.head(1):
-                comp = merge_components(comp, links)
-        open_ = here.where(F.col("r") > pivots_per_band).drop("comp", "r")  # all pairs of a pivot have been compared
-        pivots_per_band *= 4
+    # every member against the most central member of its bands
+    weighed = bands.select("band", "node").join(central, "node")
+    pivots = weighed.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("p")).select("band", F.col("p.node").alias("b"))
+    pairs = bands.select("band", F.col("node").alias("a")).join(pivots, "band").where("a <> b").select("a", "b") \
+        .withColumn("lo", F.least("a", "b")).withColumn("hi", F.greatest("a", "b")) \
+        .groupBy("lo", "hi").agg(F.max_by("a", F.col("b")).alias("a"), F.max("b").alias("b")).select("a", "b")
+    found = posterior_survivors(pairs, texts.select("node", "sig"), percent / 100, miss)
+    best = found.groupBy("a").agg(F.max(F.struct("equal", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+    links = materialise(verified_links(best, texts, k, percent), "links")
+    comp = components(links)
+    # what is left in bands whose members are not all connected: pairs of small bands, blocks of large ones
+    members = materialise(open_members(bands, comp), "open-bands")
+    few = posterior_survivors(small_band_pairs(members), texts.select("node", "sig"), percent / 100, miss)
+    more = materialise(verified_links(few.select("a", "b"), texts, k, percent), "links")
+    if members.where(F.col("m") > SMALL).head(1):
+        blocks, of = blocks_of_large_bands(members, texts)
+        two = of.select("band", F.col("block").alias("a")).join(of.select("band", F.col("block").alias("b")), "band").where(
+            "a <= b").select("a", "b").distinct()
+        span = blocks.select("block", "lo", "hi")
+        two = two.join(span.withColumnsRenamed({"block": "a", "lo": "la", "hi": "ha"}), "a").join(
+            span.withColumnsRenamed({"block": "b", "lo": "lb", "hi": "hb"}), "b")
+        # blocks that lie in one and the same component have nothing to connect
+        two = two.where("NOT (la = ha AND lb = hb AND la = lb)").select("a", "b")
+        more = more.union(materialise(links_of_blocks(two, blocks, k, percent, miss), "links"))
+    return components(links.union(more))
 
 
 def near_copies(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = MISS, id_col: str = "doc_id",
@@ -273,7 +330,8 @@ def _labelled(docs, prints, k, percent, miss, id_col, text_col) -> DataFrame:
     """id, n_shingles, component (smallest id; NULL for a NULL id)."""
     comp = link_classes(docs, prints, k, percent, miss, id_col, text_col)
     classes = prints.where("id IS NOT NULL AND node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"))
-    label = classes.join(comp, "node", "left").select("node", F.coalesce("comp", "least").alias("component"))
+    of = classes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    label = of.join(of.groupBy("comp").agg(F.min("least").alias("component")), "comp").select("node", "component")
     return prints.drop("bands").join(label, "node", "left").withColumn(
         "component", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")))
 

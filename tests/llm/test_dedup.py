@@ -193,3 +193,21 @@ def test_native_plans_run_no_python(spark_llm):
 def test_words_split_on_ascii_breaks_only(spark_llm):
     df = spark_llm.createDataFrame([("  a b\tc\x0b\x1cd  ",), (None,), ("",)], "t string")
     assert [r.w for r in df.select(words(F.col("t")).alias("w")).collect()] == [["a b", "c", "\x1cd"], [], []]
+
+
+@pytest.mark.parametrize("small,block", [(24, 512), (3, 20)])
+def test_template_just_below_the_threshold(spark_llm, monkeypatch, small, block):
+    """Texts of one template, most pairs a little below 0.8 and some above: no pair becomes a row, no link is lost."""
+    monkeypatch.setattr(near_dedup, "SMALL", small)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rnd = random.Random(12)
+    base, data = [f"t{i}" for i in range(160)], []
+    for i in range(220):
+        w = list(base)
+        for p in rnd.sample(range(160), rnd.choice([5, 5, 5, 4, 3])):
+            w[p] = rnd.choice(["p", "q"])
+        data.append((i, " ".join(w)))
+    want = brute.components(data, 4, 80)
+    assert 20 < len(set(want.values())) < 215
+    got = near_dedup.near_copies(spark_llm.createDataFrame(data, "doc_id long, text string").repartition(3), k=4).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
