@@ -4,15 +4,14 @@ aggregates and a file-size layout experiment."""
 from __future__ import annotations
 
 import os
-import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cumulo.operators.joins import broadcast_if_small
-from cumulo.session import ensure_checkpoint_dir
-from cumulo.sources.io import layout_report, write_bucketed
+from cumulo.sources.io import layout_report, plan_text, write_bucketed
+from cumulo.sources.scratch import scratch_path, scratch_table, settings, stored
 
 
 def match_facts(details: DataFrame, matches: DataFrame, medals_players: DataFrame,
@@ -46,6 +45,32 @@ def bucketed_match_facts(spark: SparkSession, details: DataFrame, matches: DataF
                        spark.table(names["medals"]))
 
 
+#: Joins on a superset of the bucket keys stay in their buckets, and of two tables with unlike numbers of buckets
+#: the larger number is read as the smaller one (which must divide it, up to the ratio).
+IN_BUCKETS = {"spark.sql.requireAllClusterKeysForCoPartition": "false",
+              "spark.sql.bucketing.coalesceBucketsInJoin.enabled": "true",
+              "spark.sql.bucketing.coalesceBucketsInJoin.maxBucketRatio": "16"}
+
+
+def bucketed(df: DataFrame, name: str, buckets: int, keys: Sequence[str]) -> DataFrame:
+    """`df` as a bucketed table of this run, one sorted file for each bucket, read back."""
+    table, path = scratch_table(df.sparkSession, name)
+    write_bucketed(df.repartition(buckets, *keys), table, buckets, list(keys), sort_by=list(keys), path=path)
+    return df.sparkSession.table(table)
+
+
+def joined_in_buckets(spark: SparkSession, join: Callable[[], DataFrame], name: str,
+                      plans: list[str] | None = None) -> DataFrame:
+    """The rows of `join()` over bucketed tables, planned and run under `IN_BUCKETS`, stored and read back.
+
+    The settings hold for this job only. The plan that ran is appended to `plans`."""
+    with settings(spark, IN_BUCKETS):
+        out = join()
+        if plans is not None:
+            plans.append(plan_text(out, "simple"))
+        return stored(out, name)
+
+
 def top_one(df: DataFrame, order: Sequence, n: int = 1) -> DataFrame:
     """top rows by a total order (sort + limit: a top-k report)."""
     return df.orderBy(*order).limit(n)
@@ -131,10 +156,10 @@ def layout_experiment(df: DataFrame, orders: Mapping[str, Sequence[str]], partit
     partitions) and report bytes and file counts per variant.
 
     Files go under the session's checkpoint directory (shared storage on a
-    cluster), one fresh sub-folder per run.
+    cluster), one fresh sub-folder per run, removed when the driver ends.
     """
     spark = df.sparkSession
-    root = base or os.path.join(ensure_checkpoint_dir(spark), f"layout-{uuid.uuid4().hex}")
+    root = base or scratch_path(spark, "layout")
     frames = {}
     for name, cols in orders.items():
         path = os.path.join(root, name)

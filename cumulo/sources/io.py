@@ -30,9 +30,12 @@ def apply_schema(df: DataFrame, schema: StructType) -> DataFrame:
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, keys: list[str],
                    sort_by: list[str] | None = None, partition_by: list[str] | None = None,
-                   mode: str = "overwrite", fmt: str = "parquet") -> None:
-    """Bucketed (and optionally partitioned) table so later joins on `keys` skip the shuffle."""
+                   mode: str = "overwrite", fmt: str = "parquet", path: str | None = None) -> None:
+    """Bucketed (and optionally partitioned) table so later joins on `keys` skip the shuffle.
+    With `path` the table is external."""
     w = df.write.format(fmt).mode(mode).bucketBy(buckets, *keys)
+    if path:
+        w = w.option("path", path)
     if sort_by:
         w = w.sortBy(*sort_by)
     if partition_by:
