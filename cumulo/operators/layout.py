@@ -6,7 +6,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cumulo.operators.joins import broadcast_if_small
@@ -172,6 +172,34 @@ def layout_experiment(df: DataFrame, orders: Mapping[str, Sequence[str]], partit
     return layout_report(frames)
 
 
+def interleaved(df: DataFrame, cols: Sequence[str], bits: int = 16) -> Column:
+    """The columns' bits taken in turns, the highest first: rows near in all columns are near in this order.
+
+    A column's value is its place between its smallest and largest value, in `bits` bits (scalar subqueries); NULL is
+    the lowest place. `bits` times the number of columns must not exceed 63."""
+    if bits * len(cols) > 63:
+        raise ValueError("too many bits")
+    out = F.lit(0).cast("bigint")
+    for j, c in enumerate(cols):
+        kind = df.schema[c].dataType.typeName()
+        v = (F.unix_micros(F.col(c).cast("timestamp")) if kind.startswith("timestamp") else
+             F.unix_date(c) if kind == "date" else F.col(c)).cast("double")
+        lo, hi = (df.agg(f(v)).scalar() for f in (F.min, F.max))
+        place = F.coalesce(F.floor(F.try_divide(v - lo, hi - lo) * (2 ** bits - 2)) + 1, F.when(v.isNotNull(), 1).otherwise(0)).cast("bigint")
+        for i in range(bits):
+            out = out.bitwiseOR(F.shiftleft(F.shiftright(place, i).bitwiseAND(F.lit(1)), i * len(cols) + len(cols) - 1 - j))
+    return out
+
+
+def layout_variants(df: DataFrame, orders: Mapping[str, Sequence], files: int) -> dict[str, DataFrame]:
+    """K5: the same rows written once for each order as `files` range-ordered files (or dealt round-robin for none)."""
+    out = {}
+    for name, order in orders.items():
+        dealt = df.repartitionByRange(files, *order).sortWithinPartitions(*order) if order else df.repartition(files)
+        out[name] = stored(dealt, f"layout-{name}")
+    return out
+
+
 def enrich_events(events: DataFrame, devices: DataFrame, renames: Mapping[str, str] | None = None) -> DataFrame:
     """K8: events left-joined to device attributes, day column, renamed columns."""
     e = events.join(broadcast_if_small(devices), on="device_id", how="left").withColumn(

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from cumulo.plans import adapters as A
 from cumulo.plans.registry import query
 from cumulo.plans.sqlparts import PS, with_
-from cumulo.sources import derived, file_upsert
+from cumulo.operators.layout import interleaved, layout_variants
+from cumulo.sources import derived, file_upsert, footers
 from cumulo.sources.scratch import scratch_path
 from cumulo.sources.tables import load
 
@@ -55,3 +56,19 @@ def q_bucket_pruned_orders(spark, sf):
     path = _derived_orders(spark, sf)
     first = spark.read.parquet(path).agg(F.min("o_custkey")).first()[0]
     return derived.scan(spark, path, [("o_custkey", "=", first)])
+
+
+@query("layout_footers", """WITH c AS (SELECT COUNT(*) AS num_rows, COUNT(*) - COUNT(l_partkey) AS p, COUNT(*) - COUNT(l_suppkey) AS s,
+  COUNT(*) - COUNT(l_quantity) AS q FROM lineitem)
+SELECT variant, "column", CAST(num_rows AS BIGINT) AS num_rows, CAST(CASE "column" WHEN 'l_partkey' THEN p WHEN 'l_suppkey' THEN s ELSE q END AS BIGINT) AS num_nulls,
+  variant <> 'unsorted' AND "column" <> 'l_quantity' AND NOT (variant = 'by_part' AND "column" = 'l_suppkey') AS prunes
+FROM c, (VALUES ('unsorted'), ('by_part'), ('interleaved')) v(variant), (VALUES ('l_partkey'), ('l_suppkey'), ('l_quantity')) k("column")""")
+def q_layout_footers(spark, sf):
+    """Rows and NULLs of each column and layout, from the files' footers, and whether a filter on the column
+    leaves out at least a third of the row groups: one sort order serves its first column, interleaved bits both."""
+    lines = load(spark, sf, "lineitem", ["l_partkey", "l_suppkey", "l_quantity"])
+    feet = footers.footers(layout_variants(lines, {
+        "unsorted": [], "by_part": ["l_partkey"], "interleaved": [interleaved(lines, ["l_partkey", "l_suppkey"])]}, files=16))
+    overlap = footers.range_overlap(feet)
+    return footers.column_sizes(feet).join(overlap.select("variant", "column", "mean_hit"), ["variant", "column"]).select(
+        "variant", "column", "num_rows", "num_nulls", (F.col("mean_hit") < 2 / 3).alias("prunes"))
