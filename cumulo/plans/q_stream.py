@@ -1,4 +1,4 @@
-"""Batch forms of the stream jobs (L3-L6) on events: same transforms as the streams."""
+"""Stream jobs (L1-L8): batch forms of the transforms, and streams run to the end of the landed events."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from cumulo.operators.ordered import sessionize
 from cumulo.plans import adapters as A
 from cumulo.plans.registry import query
 from cumulo.plans.sqlparts import WEB, with_
+from cumulo.sources.scratch import scratch_path
+from cumulo.streaming import runner
 from cumulo.streaming import windows as SW
 
 W20 = WEB.format(mod=20)
@@ -71,3 +73,66 @@ def _web_raw(spark, sf):
     w = A.web_events(spark, sf, device_mod=30)
     return w.select("event_id", "device_id", "host", "url", "referrer",
                     F.date_format(F.col("event_time").cast("timestamp"), SW.EVENT_TIME_PATTERN).alias("event_time"))
+
+
+# -- streams ----------------------------------------------------------------------------------------
+
+STREAM_SCHEMA = "event_id long, device_id long, host string, url string, referrer string, event_time string, part int"
+PARTS = 4  # the events land in four steps; the stream runs after each and goes on from its checkpoint
+
+
+def _land_and_run(spark, sf, name: str, start):
+    """The landed events, part by part (event id modulo `PARTS`), each followed by a run of the stream."""
+    raw = _web_raw(spark, sf).withColumn("part", F.pmod("event_id", F.lit(PARTS)).cast("int"))
+    landing, checkpoint = scratch_path(spark, f"{name}-landing"), scratch_path(spark, f"{name}-checkpoint")
+    for part in range(PARTS):
+        raw.where(F.col("part") == part).write.mode("append").parquet(landing)
+        events = SW.parse_event_time(runner.file_source(spark, landing, STREAM_SCHEMA, "parquet"))
+        runner.start(events, f"{name}-{part}", batch_writer=start, checkpoint=checkpoint, available_now=True).awaitTermination()
+
+
+def _summed(spark, path: str, keys: list, count: str):
+    return spark.read.parquet(path).groupBy(F.col("window_start").cast("timestamp_ntz").alias("window_start"), *keys).agg(
+        F.sum(count).alias(count))
+
+
+def _two_sinks(spark, sf) -> dict[str, str]:
+    paths = {n: scratch_path(spark, f"stream-{n}") for n in ("by_host", "by_referrer")}
+    counts = lambda *by: lambda batch, _: SW.tumbling_counts(batch, "event_timestamp", list(by))
+    _land_and_run(spark, sf, "tumbling", runner.sinks_writer(paths, {
+        "by_host": counts("host"), "by_referrer": counts("host", "referrer")}))
+    return paths
+
+
+@query("stream_tumbling", with_(W20) + """SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start, host,
+  COUNT(*) AS num_hits FROM web GROUP BY 1, 2""")
+def q_stream_tumbling(spark, sf):
+    """Hits per 5-minute window and host out of a stream that feeds two sinks and is stopped and started
+    again from its checkpoint after each part of the events."""
+    return _summed(spark, _two_sinks(spark, sf)["by_host"], ["host"], "num_hits")
+
+
+@query("stream_tumbling_by_referrer", with_(W20) + """SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start, host,
+  referrer, COUNT(*) AS num_hits FROM web GROUP BY 1, 2, 3""")
+def q_stream_tumbling_by_referrer(spark, sf):
+    """The second sink of the same stream: hits per window, host and referrer."""
+    return _summed(spark, _two_sinks(spark, sf)["by_referrer"], ["host", "referrer"], "num_hits")
+
+
+LATE_DELAY, LATE_WINDOW = 15, 300  # seconds
+
+
+@query("stream_late_rows", with_(W20, f"""w AS (SELECT host, event_id % {PARTS} AS part,
+  time_bucket(INTERVAL {LATE_WINDOW} SECOND, event_time) AS window_start, date_trunc('millisecond', event_time) AS t FROM web),
+m AS (SELECT p.part, (SELECT MAX(t) FROM w x WHERE x.part < p.part) AS top FROM (SELECT DISTINCT part FROM w) p),
+f AS (SELECT w.*, COALESCE(epoch(window_start) + {LATE_WINDOW} <= floor(epoch(top)) - {LATE_DELAY}, FALSE) AS late
+      FROM w JOIN m USING (part))""") + """SELECT window_start, host, COUNT(*) FILTER (NOT late) AS num_hits,
+  COUNT(*) FILTER (late) AS num_late FROM f GROUP BY 1, 2""")
+def q_stream_late_rows(spark, sf):
+    """Hits in time and rows too late for their window, per 5-minute window and host, out of a stream whose
+    parts overlap in time; both add up to the events."""
+    root = scratch_path(spark, "stream-late")
+    _land_and_run(spark, sf, "late", runner.late_rows_writer(spark, root, "event_timestamp", LATE_DELAY, LATE_WINDOW, ["host"]))
+    hits, late = (_summed(spark, f"{root}/{n}", ["host"], c) for n, c in (("counts", "num_hits"), ("late", "num_late")))
+    both = hits.withColumn("num_late", F.lit(0).cast("long")).unionByName(late.withColumn("num_hits", F.lit(0).cast("long")))
+    return both.groupBy("window_start", "host").agg(F.sum("num_hits").alias("num_hits"), F.sum("num_late").alias("num_late"))

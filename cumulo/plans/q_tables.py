@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cumulo.plans import adapters as A
 from cumulo.plans.registry import query
 from cumulo.plans.sqlparts import PS, with_
+from cumulo.operators.joins import heavy_hitter_join
 from cumulo.operators.layout import interleaved, layout_variants
 from cumulo.sources import derived, file_upsert, footers
 from cumulo.sources.scratch import scratch_path
@@ -72,3 +73,14 @@ def q_layout_footers(spark, sf):
     overlap = footers.range_overlap(feet)
     return footers.column_sizes(feet).join(overlap.select("variant", "column", "mean_hit"), ["variant", "column"]).select(
         "variant", "column", "num_rows", "num_nulls", (F.col("mean_hit") < 2 / 3).alias("prunes"))
+
+
+@query("heavy_hitter_join", """SELECT l_orderkey, l_linenumber, l_suppkey, s_nationkey, s_acctbal FROM lineitem
+LEFT JOIN supplier ON l_suppkey = s_suppkey""")
+def q_heavy_hitter_join(spark, sf):
+    """Line items with their supplier: suppliers above 1 / 200 of the lines meet theirs by broadcast, the others
+    by a shuffle."""
+    lines = load(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_suppkey"])
+    suppliers = load(spark, sf, "supplier", ["s_suppkey", "s_nationkey", "s_acctbal"]).withColumnRenamed("s_suppkey", "l_suppkey")
+    return heavy_hitter_join(lines, suppliers, ["l_suppkey"], "left", share=200).select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "s_nationkey", "s_acctbal")

@@ -70,6 +70,57 @@ def parquet_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def sinks_writer(paths: dict[str, str], rows: dict[str, Callable[[DataFrame, int], DataFrame]]) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer that feeds several sinks from one micro-batch: name -> path, name -> rows of the sink.
+
+    Each sink takes the batch under its id, replacing what an earlier attempt at the batch has left there, so a
+    batch that failed between two sinks is simply repeated. Sinks are written in the order of `paths`."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for name, path in paths.items():
+                parquet_writer(path)(rows[name](batch, batch_id), batch_id)
+        finally:
+            batch.unpersist()
+    return write
+
+
+def late_rows_writer(spark: SparkSession, root: str, ts: str, delay_seconds: int, window_seconds: int,
+                     by: list[str]) -> Callable[[DataFrame, int], None]:
+    """Per micro-batch the window counts of the rows in time and the number of rows too late for their window.
+
+    The watermark of a batch is the greatest event time of all batches before it less the delay, as a
+    stateful query has it; a row is late if its window ended by then. Three sinks below `root`: `seen`
+    (greatest event time), `counts` (window_start, keys, num_hits) and `late` (window_start, keys, num_late), each
+    under the batch's id. `seen` is written last and asked for earlier batches only, so a repeated batch
+    splits its rows as before; counted and late rows add up to the rows read. NULL times are late in no window:
+    they are in `late` with a NULL window."""
+    paths = {name: os.path.join(root, name) for name in ("counts", "late", "seen")}
+    size = F.lit(window_seconds)
+    seconds = F.unix_seconds(ts)
+    start = F.timestamp_seconds(seconds - F.pmod(seconds, size))
+
+    def marked(batch: DataFrame, batch_id: int) -> DataFrame:
+        before = None
+        if batch_id > 0:  # batch 0 has none before it
+            seen = spark.read.schema("top timestamp, batch_id long").parquet(paths["seen"])
+            before = seen.where(F.col("batch_id") < batch_id).agg(F.max("top")).first()[0]
+        late = F.lit(False) if before is None else (
+            F.unix_seconds(start) + size <= F.unix_seconds(F.lit(before)) - F.lit(delay_seconds))
+        return batch.select(start.alias("window_start"), *by, F.coalesce(late, F.lit(True)).alias("_late"))
+
+    def counted(flag: bool, out: str):
+        def rows(batch: DataFrame, batch_id: int) -> DataFrame:
+            m = marked(batch, batch_id)
+            known = F.col("window_start").isNotNull()
+            some = m.where(F.col("_late") | ~known) if flag else m.where(~F.col("_late") & known)
+            return some.groupBy("window_start", *by).agg(F.count(F.lit(1)).alias(out))
+        return rows
+
+    return sinks_writer(paths, {"counts": counted(False, "num_hits"), "late": counted(True, "num_late"),
+                                "seen": lambda batch, _: batch.agg(F.max(ts).alias("top"))})
+
+
 def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
     """Rows as JSON values to Kafka."""
     return (df.select(F.to_json(F.struct(*df.columns)).alias("value")).writeStream.format("kafka")
@@ -80,18 +131,21 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str) -> Stre
 def start(df: DataFrame, name: str, *, mode: str = "append", trigger_seconds: float | None = 10,
           batch_writer: Callable[[DataFrame, int], None] | None = None, fmt: str | None = None,
           path: str | None = None, checkpoint: str | None = None,
-          state_partitions: int | None = None) -> StreamingQuery:
+          state_partitions: int | None = None, available_now: bool = False) -> StreamingQuery:
     """Start a query with a checkpoint (exactly-once state, replayable batches).
 
     The number of state partitions of a stateful query is fixed by
     `spark.sql.shuffle.partitions` when its checkpoint is first created and
     read back from the checkpoint afterwards; `state_partitions` sets it for
-    a new query (the reference runs aggregations at parallelism 3).
+    a new query (the reference runs aggregations at parallelism 3). With
+    `available_now` the query ends when all that is there has been processed.
     """
     spark = df.sparkSession
     w = (df.writeStream.queryName(name).outputMode(mode)
          .option("checkpointLocation", checkpoint or checkpoint_path(spark, name)))
-    if trigger_seconds:
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger_seconds:
         w = w.trigger(processingTime=f"{trigger_seconds} seconds")
     if batch_writer is not None:
         w = w.foreachBatch(batch_writer)
