@@ -39,8 +39,8 @@ def state_changes(facts: DataFrame, key: Sequence[str], period_col: str, out: st
     from cumulo.operators.cumulative import fill_gaps
     key = list(key)
     present = facts.select(*key, period_col).distinct()
-    periods = facts.select(period_col).distinct()
-    dense = fill_gaps(present, key, period_col, facts.agg(F.max(period_col)).scalar())
+    periods = present.select(period_col).distinct()  # one aggregate of the facts serves all three
+    dense = fill_gaps(present, key, period_col, present.agg(F.max(period_col)).scalar())
     flags = dense.join(periods, on=period_col, how="left_semi").select(
         *key, period_col, F.when(F.col(period_col) == F.col("_src"), 1).otherwise(0).alias("played"))
     w = Window.partitionBy(*key).orderBy(period_col)

@@ -86,19 +86,6 @@ def cumulate_group_step(prev: DataFrame, facts: DataFrame, key: Sequence[str], p
                          class_col=class_col, period_col=snapshot_col)
 
 
-def entity_spine(facts: DataFrame, key: Sequence[str], period_col: str, last_period) -> DataFrame:
-    """C7 rewrite: one row per entity and period from its first period to `last_period`.
-
-    `explode(sequence(first, last))` per entity replaces the theta join
-    `first <= period` with a generator; its output is exactly the dense grid.
-    `last_period` may be a literal or a scalar subquery column.
-    """
-    key = list(key)
-    firsts = facts.groupBy(*key).agg(F.min(period_col).alias("_first"))
-    last = last_period if isinstance(last_period, Column) else F.lit(last_period)
-    return firsts.select(*key, F.explode(F.sequence(F.col("_first"), last.cast("int"))).alias(period_col))
-
-
 def fill_gaps(active: DataFrame, key: Sequence[str], period_col: str, last_period,
               src_col: str = "_src", step=None) -> DataFrame:
     """Dense (entity, period) rows generated from the active rows alone.
@@ -155,6 +142,25 @@ def cumulate_backfill(facts: DataFrame, key: Sequence[str], period_col: str, *,
     return out
 
 
+def snapshot_as_of(facts: DataFrame, key: Sequence[str], period_col: str, period, *, struct_cols: Sequence[str],
+                   measure: str, thresholds, default_class: str, static: DataFrame | None = None,
+                   history: str = "history", class_col: str = "scoring_class") -> DataFrame:
+    """The snapshot of one period, without the periods before it.
+
+    One aggregate per key over the facts up to `period` (a literal or a scalar subquery): the history is the
+    sorted list of the key's periods, class and activity follow from its last element. Equal to
+    `cumulate_backfill` filtered to the period."""
+    key = list(key)
+    period = period if isinstance(period, Column) else F.lit(period)
+    item = F.struct(F.col(period_col).alias("_p"), F.col(measure).alias("_m"), F.struct(*struct_cols).alias("_s"))
+    g = facts.where(F.col(period_col) <= period).groupBy(*key).agg(F.sort_array(F.collect_list(item)).alias("_h"))
+    last = F.element_at("_h", -1)
+    out = g.select(*key, F.col("_h._s").alias(history), classify(last["_m"], thresholds, default_class).alias(class_col),
+                   (period - last["_p"]).cast("int").alias("years_since_last_active"), (last["_p"] == period).alias("is_active"),
+                   period.cast(facts.schema[period_col].dataType).alias("current_period"))
+    return out if static is None else out.join(static, on=key, how="left")
+
+
 def static_attributes(facts: DataFrame, key: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """P3 static columns: one value per key by `max` (partial aggregation)."""
     return facts.groupBy(*key).agg(*[F.max(c).alias(c) for c in cols])

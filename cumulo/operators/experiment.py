@@ -70,6 +70,30 @@ def experiment_readout(users: DataFrame, cell: str = "cell", control: str = "con
                     F.when(F.col(cell) != control, safe_ratio(F.col("conversion_rate") - c_rate, se)).alias("z"))
 
 
+def cell_engagement(events: DataFrame, sessions: DataFrame, cells: DataFrame, user: str = "user_id", day: str = "event_date",
+                    cell: str = "cell", after_days: Sequence[int] = (1, 7)) -> DataFrame:
+    """Per cell users, sessions, mean session length in seconds, and the share of users who were active again
+    exactly n days after their first day, of those whose n-th day is not after the last day of the data.
+
+    `sessions` has a row per session with its user and seconds; `cells` one row per user. Every step is a partial
+    aggregate per user, so a user with many events or sessions costs one row."""
+    last = events.agg(F.max(day)).scalar()
+    days = events.where(F.col(user).isNotNull()).groupBy(user, day).agg(F.lit(1).alias("_one"))
+    first = days.groupBy(user).agg(F.min(day).alias("_first"))
+    again = days.join(first, user).groupBy(user).agg(
+        F.min("_first").alias("_first"),
+        *[F.max(F.when(F.datediff(day, "_first") == n, 1).otherwise(0)).alias(f"_d{n}") for n in after_days])
+    per = sessions.groupBy(user).agg(F.count(F.lit(1)).alias("_s"), F.sum("seconds").alias("_len"))
+    u = cells.join(again, user).join(per, user, "left")
+    eligible = {n: F.date_add("_first", n) <= last for n in after_days}
+    g = u.groupBy(cell).agg(
+        F.count(F.lit(1)).alias("users"), F.coalesce(F.sum("_s"), F.lit(0)).alias("num_sessions"), F.sum("_len").alias("_len"),
+        *[F.count_if(eligible[n]).alias(f"_e{n}") for n in after_days],
+        *[F.sum(F.when(eligible[n], F.col(f"_d{n}"))).alias(f"_r{n}") for n in after_days])
+    return g.select(cell, "users", "num_sessions", safe_ratio(F.col("_len"), F.col("num_sessions")).alias("mean_session_seconds"),
+                    *[safe_ratio(F.col(f"_r{n}"), F.col(f"_e{n}")).alias(f"retention_{n}") for n in after_days])
+
+
 def daily_kpis(events: DataFrame, user: str, kind: str, date_col: str = "event_date",
                click: str = "click", view: str = "view", purchase: str = "purchase") -> DataFrame:
     """Daily active users, events, click-through and purchases per day."""

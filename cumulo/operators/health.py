@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cumulo.functions.columns import safe_ratio
+from cumulo.operators.sketches import day_bitmaps, rolling_active
+
 
 def missing_partitions(df: DataFrame, date_col: str, start: Column, end: Column,
                        out: str = "missing_date") -> DataFrame:
@@ -81,15 +84,30 @@ def null_contract(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return agg.unpivot(["num_rows"], list(cols), "column_name", "null_count")
 
 
+def engagement_kpi(events: DataFrame, user: str, day: str) -> DataFrame:
+    """Per day events and active users of 1, 7 and 28 days (exact, from daily bitmaps), events per active user
+    and stickiness (daily over monthly active users); events without a user are not counted."""
+    known = events.where(F.col(user).isNotNull())
+    active = rolling_active(day_bitmaps(known, user, day), day, {"daily_active": 1, "weekly_active": 7, "monthly_active": 28})
+    per_day = known.groupBy(day).agg(F.count(F.lit(1)).alias("num_events"))
+    j = active.join(per_day, day, "left").withColumn("num_events", F.coalesce("num_events", F.lit(0)))
+    return j.select(day, "num_events", "daily_active", "weekly_active", "monthly_active",
+                    safe_ratio(F.col("num_events"), F.col("daily_active")).alias("events_per_user"),
+                    safe_ratio(F.col("daily_active"), F.col("monthly_active")).alias("stickiness"))
+
+
 def profit_kpi(lineitem: DataFrame, group: Sequence[str]) -> DataFrame:
-    """revenue = price x (1 - discount), summed exactly in cents x percent
-    (as decimals of 38 digits: a sum over 100 TB stays in range)."""
+    """revenue = price x (1 - discount), summed exactly in cents x percent.
+
+    A product is split into its millions and the rest, both summed as 64-bit integers, so no decimal is
+    made per row; the sums stay in range for 9e12 rows of a group (prices up to 9e10)."""
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     pct = F.round(F.col("l_discount") * 100).cast("bigint")
-    g = lineitem.groupBy(*group).agg(
+    g = lineitem.withColumn("_p", cents * (F.lit(100) - pct)).groupBy(*group).agg(
         F.count(F.lit(1)).alias("num_items"),
-        F.sum(cents.cast("decimal(20,0)") * (F.lit(100) - pct).cast("decimal(5,0)")).alias("_rev"),
+        F.sum(F.expr("_p div 1000000")).alias("_high"), F.sum(F.col("_p") % 1000000).alias("_low"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("units"))
-    rev = F.col("_rev").cast("double") / 10000.0
+    whole = F.col("_high").cast("decimal(38,0)") * F.lit(1000000).cast("decimal(7,0)") + F.col("_low").cast("decimal(38,0)")
+    rev = whole.cast("double") / 10000.0
     return g.select(*group, "num_items", "units", rev.alias("revenue"),
                     (rev / F.col("units").cast("double")).alias("revenue_per_unit"))

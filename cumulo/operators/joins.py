@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cumulo.sources.scratch import stored
 
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+UNPACKED = 8  # bytes in memory of a byte of a compressed columnar file, taken generously
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -29,9 +30,10 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only when the estimate is known and under `max_bytes`."""
+    """Broadcast hint only when the estimate, taken for compressed bytes, is known and stays under `max_bytes`
+    unpacked; without the hint adaptive execution decides on the measured size."""
     size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= max_bytes else df
+    return F.broadcast(df) if size is not None and size * UNPACKED <= max_bytes else df
 
 
 def join_bounded_dimension(facts: DataFrame, dim: DataFrame, on, how: str = "left",

@@ -86,17 +86,15 @@ def top_mean(facts: DataFrame, entity: str, measure: str, per: str, out: str) ->
 def most_frequent(facts: DataFrame, dims: Sequence[str], unit: str) -> DataFrame:
     """K3: most frequent value of each dimension counted in distinct `unit`s.
 
-    One row per dimension: (dimension, value, num_units). Each dimension's
-    best comes from a `max` over struct(count, value) - a partial aggregate.
+    One row per dimension: (dimension, value, num_units), all dimensions from
+    one scan. Each dimension's best comes from a `max` over struct(count,
+    value) - a partial aggregate.
     """
-    out = None
-    for d in dims:
-        counts = facts.groupBy(d).agg(F.count_distinct(unit).alias("n"))
-        best = counts.agg(F.max(F.struct(F.col("n"), F.col(d).cast("string").alias("v"))).alias("b"))
-        part = best.select(F.lit(d).alias("dimension"), F.col("b.v").alias("value"),
-                           F.col("b.n").alias("num_units"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("v")) for d in dims])
+    counts = facts.select(F.col(unit).alias("_unit"), F.inline(pairs)).groupBy("dimension", "v").agg(
+        F.count_distinct("_unit").alias("n"))
+    best = counts.groupBy("dimension").agg(F.max(F.struct("n", "v")).alias("b"))
+    return best.select("dimension", F.col("b.v").alias("value"), F.col("b.n").alias("num_units"))
 
 
 def top_filtered_group(facts: DataFrame, dim: DataFrame, dim_key: str, dim_filter, group: str,

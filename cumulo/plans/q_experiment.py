@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cumulo.operators import experiment as X
+from cumulo.operators.ordered import sessionize
 from cumulo.plans import adapters as A
 from cumulo.plans.registry import query
+from cumulo.plans.q_stream import SESSIONS_SQL
 from cumulo.plans.sqlparts import WEB, with_
 
 W20 = WEB.format(mod=20)
@@ -61,6 +63,29 @@ def q_experiment_readout(spark, sf):
     return X.experiment_readout(users).withColumn("var_value", F.round("var_value", 4))
 
 
+@query("experiment_engagement", SESSIONS_SQL + """, b AS (SELECT DISTINCT user_id,
+  ('0x' || substr(md5('homepage_test:' || user_id), 1, 8))::BIGINT % 10000 AS bucket FROM web WHERE user_id IS NOT NULL),
+c AS (SELECT user_id, CASE WHEN bucket < 3400 THEN 'control' WHEN bucket < 6700 THEN 'variant_a' ELSE 'variant_b' END AS cell FROM b),
+firsts AS (SELECT user_id, MIN(event_date) AS d0 FROM web GROUP BY 1), z AS (SELECT MAX(event_date) AS z FROM web),
+r AS (SELECT c.cell, c.user_id, d0, d0 + 1 <= z AS e1, d0 + 7 <= z AS e7,
+  EXISTS (SELECT 1 FROM web w WHERE w.user_id = c.user_id AND w.event_date = d0 + 1) AS a1,
+  EXISTS (SELECT 1 FROM web w WHERE w.user_id = c.user_id AND w.event_date = d0 + 7) AS a7 FROM c JOIN firsts USING (user_id), z),
+per AS (SELECT cell, COUNT(*) AS n, CAST(SUM(epoch(session_end) - epoch(session_start) - 300) AS BIGINT) AS len
+  FROM (SELECT user_id, date_trunc('second', session_start) AS session_start, date_trunc('second', session_end) AS session_end FROM sess)
+  JOIN c USING (user_id) GROUP BY 1)
+SELECT cell, COUNT(*) AS users, CAST(MIN(per.n) AS BIGINT) AS num_sessions, CAST(MIN(per.len) AS DOUBLE) / MIN(per.n) AS mean_session_seconds,
+  CAST(COUNT(*) FILTER (e1 AND a1) AS DOUBLE) / COUNT(*) FILTER (e1) AS retention_1,
+  CAST(COUNT(*) FILTER (e7 AND a7) AS DOUBLE) / COUNT(*) FILTER (e7) AS retention_7
+FROM r LEFT JOIN per USING (cell) GROUP BY cell""")
+def q_experiment_engagement(spark, sf):
+    """Sessions, their mean length and the retention after 1 and 7 days per experiment cell."""
+    web = A.web_events(spark, sf)
+    sessions = sessionize(web, ["user_id", "host"], "event_time", 300)
+    seconds = sessions.select("user_id", (F.unix_seconds(F.col("session_end").cast("timestamp"))
+                                          - F.unix_seconds(F.col("session_start").cast("timestamp")) - 300).alias("seconds"))
+    return X.cell_engagement(web, seconds, q_experiment_cells(spark, sf).where("user_id IS NOT NULL"))
+
+
 @query("daily_kpis", with_(W20) + """SELECT event_date, COUNT(DISTINCT user_id) AS dau, COUNT(*) AS events,
   COUNT(*) FILTER (WHERE host = 'click') AS clicks, COUNT(*) FILTER (WHERE host = 'view') AS views,
   CAST(COUNT(*) FILTER (WHERE host = 'click') AS DOUBLE) / CAST(COUNT(*) FILTER (WHERE host = 'view') AS DOUBLE) AS ctr,

@@ -74,6 +74,18 @@ def q_late_arrival(spark, sf):
     return H.late_arrival(j, "o_orderdate", "l_shipdate", ["o_orderpriority"])
 
 
+@query("engagement_kpi", with_(W20, """days AS (SELECT CAST(UNNEST(generate_series(MIN(event_date), MAX(event_date), INTERVAL 1 DAY)) AS DATE) AS d
+  FROM web WHERE user_id IS NOT NULL)""") + """SELECT d AS event_date, COUNT(*) FILTER (event_date = d) AS num_events,
+  COUNT(DISTINCT user_id) FILTER (event_date = d) AS daily_active, COUNT(DISTINCT user_id) FILTER (event_date > d - 7) AS weekly_active,
+  COUNT(DISTINCT user_id) AS monthly_active,
+  CAST(COUNT(*) FILTER (event_date = d) AS DOUBLE) / NULLIF(COUNT(DISTINCT user_id) FILTER (event_date = d), 0) AS events_per_user,
+  CAST(COUNT(DISTINCT user_id) FILTER (event_date = d) AS DOUBLE) / COUNT(DISTINCT user_id) AS stickiness
+FROM days JOIN web ON event_date <= d AND event_date > d - 28 WHERE user_id IS NOT NULL GROUP BY 1""")
+def q_engagement_kpi(spark, sf):
+    """Engagement roll-up per day: events, daily, weekly and monthly active users, events per user, stickiness."""
+    return H.engagement_kpi(A.web_events(spark, sf), "user_id", "event_date")
+
+
 @query("growth_kpi", GROWTH_SQL + "SELECT date, daily_active_state, COUNT(*) AS num_users FROM g GROUP BY 1, 2")
 def q_growth_kpi(spark, sf):
     """Daily growth KPI = users per daily state per day (from P18's backfill)."""

@@ -28,13 +28,18 @@ def _states(ps, last=None):
                              default_class=A.SEASON_DEFAULT, last_period=last)
 
 
-def _backfill(spark, sf, ps, last=None, with_static=True):
-    static = A.player_static(spark, sf).select("player_id", "player_name", "country") if with_static else None
+def _backfill(spark, sf, ps, last=None):
+    static = A.player_static(spark, sf).select("player_id", "player_name", "country")
     return C.cumulate_backfill(ps, KEY, "season", struct_cols=STRUCT, measure="pts",
                                thresholds=A.SEASON_THRESHOLDS, default_class=A.SEASON_DEFAULT,
                                last_period=last, static=static)
 
 
+def _as_of(ps, period, static=None):
+    return C.snapshot_as_of(ps, KEY, "season", period, struct_cols=STRUCT, measure="pts", thresholds=A.SEASON_THRESHOLDS,
+                            default_class=A.SEASON_DEFAULT, static=static)
+
+
 def _render(df):
     """History array -> scalar summaries (comparable with an SQL oracle)."""
     h = F.col("history")
@@ -114,7 +119,7 @@ def q_cumulate_step(spark, sf):
     """Snapshot at the last season from the previous snapshot plus that season's facts."""
     ps = _ps(spark, sf)
     last = _max_season(ps)
-    prev = _backfill(spark, sf, ps, last - 1).filter(F.col("current_period") == last - 1)
+    prev = _as_of(ps, last - 1, A.player_static(spark, sf).select("player_id", "player_name", "country"))
     today = ps.filter(F.col("season") == last).join(
         A.player_static(spark, sf).select("player_id", "player_name", "country"), KEY, "left")
     step = C.cumulate_step(prev, today, KEY, last, struct_cols=STRUCT, carry=["player_name", "country"],
@@ -127,7 +132,7 @@ def q_history_unnest(spark, sf):
     """The last snapshot's history arrays back to rows."""
     ps = _ps(spark, sf)
     last = _max_season(ps)
-    snap = _backfill(spark, sf, ps, with_static=False).filter(F.col("current_period") == last)
+    snap = _as_of(ps, last)
     rows = C.unnest_history(snap, ["player_id"])
     return rows.select("player_id", "season", "gp", "pts", "total")
 
@@ -140,7 +145,7 @@ def q_first_last_ratio(spark, sf):
     """P5: latest season's value over the first season's, on the last snapshot."""
     ps = _ps(spark, sf)
     last = _max_season(ps)
-    snap = _backfill(spark, sf, ps, with_static=False).filter(F.col("current_period") == last)
+    snap = _as_of(ps, last)
     r = C.first_last_ratio(snap, ["player_id"], "pts")
     return r
 
@@ -171,11 +176,9 @@ def q_cumulate_group_step(spark, sf):
     per_year = (af.groupBy("actor_id", "year")
                 .agg(F.count(F.lit(1)).alias("n_items"), F.avg("rating").alias("mean_measure"),
                      F.sum("votes").alias("sum_votes")))
-    prev = C.cumulate_backfill(per_year.filter(F.col("year") <= last - 1), ["actor_id"], "year",
-                               struct_cols=["year", "n_items", "mean_measure", "sum_votes"],
-                               measure="mean_measure", thresholds=ACTOR_THRESHOLDS, default_class="bad",
-                               last_period=last - 1, class_col="quality_class")
-    prev = prev.filter(F.col("current_period") == last - 1)
+    prev = C.snapshot_as_of(per_year, ["actor_id"], "year", last - 1,
+                            struct_cols=["year", "n_items", "mean_measure", "sum_votes"], measure="mean_measure",
+                            thresholds=ACTOR_THRESHOLDS, default_class="bad", class_col="quality_class")
     step = C.cumulate_group_step(prev, af, ["actor_id"], "year", last, measure="rating",
                                  thresholds=ACTOR_THRESHOLDS, default_class="bad",
                                  class_col="quality_class", snapshot_col="current_year",

@@ -53,6 +53,21 @@ def q_session_report(spark, sf):
     return SW.session_report(sessionize(_web(spark, sf), ["user_id", "host"], "event_time", 300))
 
 
+_DOMAIN_SQL = SESSIONS_SQL.replace("o AS (SELECT user_id, host,", """named AS (SELECT * REPLACE (host || CASE user_id % 3 WHEN 0 THEN '.example.com'
+  WHEN 1 THEN '.notexample.com' ELSE '.example.org' END AS host) FROM web),
+o AS (SELECT user_id, host,""", 1).replace("AS prev FROM web)", "AS prev FROM named)")
+
+
+@query("session_report_domain", _DOMAIN_SQL + """SELECT host, COUNT(*) AS num_sessions, CAST(SUM(num_hits) AS BIGINT) AS num_events,
+  round(CAST(SUM(num_hits) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE), 2) AS avg_events_per_session FROM sess
+WHERE host LIKE '%.example.com' GROUP BY host""")
+def q_session_report_domain(spark, sf):
+    """The session report of one domain's hosts and none of those whose names only end alike."""
+    tail = F.when(F.col("user_id") % 3 == 0, ".example.com").when(F.col("user_id") % 3 == 1, ".notexample.com").otherwise(".example.org")
+    named = _web(spark, sf).withColumn("host", F.concat("host", tail))
+    return SW.session_report(sessionize(named, ["user_id", "host"], "event_time", 300), domain="example.com")
+
+
 @query("landing_enrich", with_(WEB.format(mod=30)) + """SELECT event_id, date_trunc('millisecond', event_time) AS event_timestamp,
   CASE WHEN n_nationkey IS NULL THEN '{}' ELSE CAST(json_object('country', n_name,
     'state', 'REGION_' || CAST(n_regionkey AS VARCHAR), 'city', 'CITY_' || CAST(n_nationkey AS VARCHAR)) AS VARCHAR)
@@ -87,7 +102,7 @@ def _land_and_run(spark, sf, name: str, start):
     landing, checkpoint = scratch_path(spark, f"{name}-landing"), scratch_path(spark, f"{name}-checkpoint")
     for part in range(PARTS):
         raw.where(F.col("part") == part).write.mode("append").parquet(landing)
-        events = SW.parse_event_time(runner.file_source(spark, landing, STREAM_SCHEMA, "parquet"))
+        events = runner.events_with_time(runner.file_source(spark, landing, STREAM_SCHEMA, "parquet"))  # L2
         runner.start(events, f"{name}-{part}", batch_writer=start, checkpoint=checkpoint, available_now=True).awaitTermination()
 
 

@@ -23,5 +23,5 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     from cumulo.plans import (  # noqa: F401
         q_history, q_activity, q_growth, q_analytics, q_graph, q_layout, q_bi,
-        q_experiment, q_health, q_stream, q_storage, q_tables, q_sketches,
+        q_experiment, q_health, q_stream, q_storage, q_tables, q_sketches, q_catalog,
     )

@@ -76,9 +76,11 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def create_table_as(df: DataFrame, table: str, mode: str = "overwrite",
-                    partition_by: list[str] | None = None) -> None:
-    """CTAS (overwrite replaces an existing table)."""
+                    partition_by: list[str] | None = None, path: str | None = None) -> None:
+    """CTAS (overwrite replaces an existing table); with `path` the table is external."""
     w = df.write.mode(mode).format("parquet")
+    if path:
+        w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(table)
@@ -129,6 +131,25 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     return spark.createDataFrame(rows, "name string, database string, table_type string, is_temporary boolean")
 
 
+def list_columns(spark: SparkSession, table: str) -> DataFrame:
+    """A table's columns in order, with type and partition / bucket marks (metadata only)."""
+    rows = [(i, c.name, c.dataType, c.nullable, c.isPartition, c.isBucket) for i, c in enumerate(spark.catalog.listColumns(table))]
+    return spark.createDataFrame(rows, "position int, name string, data_type string, nullable boolean, is_partition boolean, "
+                                       "is_bucket boolean")
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """One row per column: name, type, rows, NULLs, smallest and largest value as text; one scan."""
+    fields = [f for f in df.schema.fields]
+    agg = df.agg(F.count(F.lit(1)).alias("num_rows"), *[x for i, f in enumerate(fields) for x in (
+        F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"_n{i}"), F.min(f"`{f.name}`").cast("string").alias(f"_lo{i}"),
+        F.max(f"`{f.name}`").cast("string").alias(f"_hi{i}"))])
+    row = lambda i, f: F.struct(
+        F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("data_type"), F.col("num_rows"),
+        F.col(f"_n{i}").alias("num_nulls"), F.col(f"_lo{i}").alias("lowest"), F.col(f"_hi{i}").alias("highest"))
+    return agg.select(F.inline(F.array(*[row(i, f) for i, f in enumerate(fields)])))
+
+
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """The physical plan as text (for plan assertions in tests)."""
     qe = df._jdf.queryExecution()
