@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cumulo.llm.common import ascii_lower, words
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def _at(i: Column, k: int) -> list[Column]:
@@ -65,17 +66,18 @@ def sketches(shingles: DataFrame, threshold: float, spare: int) -> DataFrame:
                        F.explode(F.slice("hs", F.lit(1), F.col("sketch").cast("int"))).alias("h"))
 
 
-def _bounded(df: DataFrame, rows: int, limit: int) -> DataFrame:
-    return F.broadcast(df) if rows <= limit else df
+def _bounded(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
 
 
 def contaminated_pairs(docs: DataFrame, items: DataFrame, k: int = 5, threshold: float = 0.8, spare: int = 3,
                        doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id",
-                       item_text: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                       item_text: str = "text", broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per (document, item) that it holds: ids, n_item, n_shared, containment."""
     shingles = item_shingles(items, item_id, item_text, k)
-    rows = shingles.count()
-    sk = _bounded(sketches(shingles, threshold, spare), rows, broadcast_rows)
+    rows, size = shingles.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("shingle")), F.lit(0))).first()
+    small = rows <= broadcast_rows and size <= broadcast_bytes
+    sk = _bounded(sketches(shingles, threshold, spare), small)
     hashed = shingle_positions(docs, doc_id, doc_text, k).select("_id", F.xxhash64(*_at(F.col("_i"), k)).alias("h"))
     hits = (hashed.join(sk, "h").groupBy("_id", "item", "sketch", "may_miss")
             .agg(F.count_distinct("h").alias("hits")))
@@ -85,7 +87,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, k: int = 5, threshold:
         cand.select("_c").distinct(), F.col("_id").eqNullSafe(F.col("_c")), "left_semi")
     exact = shingle_positions(held, "_id", "_t", k).select(
         "_id", F.concat_ws(" ", *_at(F.col("_i"), k)).alias("shingle"))
-    own = _bounded(shingles.select("item", "shingle", "n"), rows, broadcast_rows)
+    own = _bounded(shingles.select("item", "shingle", "n"), small)
     shared = exact.join(own, "shingle").groupBy("_id", "item", "n").agg(F.count_distinct("shingle").alias("shared"))
     found = shared.join(cand, F.col("_id").eqNullSafe(F.col("_c")) & F.col("item").eqNullSafe(F.col("_q")), "left_semi")
     return found.where(F.col("shared") >= _needed(F.col("n"), threshold)).select(
@@ -97,5 +99,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id",
                       **options) -> DataFrame:
     """`docs` without the documents that hold a test item."""
     bad = contaminated_pairs(docs, items, doc_id=doc_id, doc_text=doc_text, **options).select(
-        F.col(doc_id).alias("_bad")).distinct()
-    return docs.join(bad, F.col(f"`{doc_id}`").eqNullSafe(F.col("_bad")), "left_anti")
+        F.col(f"`{doc_id}`").alias("_bad")).distinct()
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))  # column names cannot clash
+    return whole.join(bad, F.col(f"_row.`{doc_id}`").eqNullSafe(F.col("_bad")), "left_anti").select("_row.*")

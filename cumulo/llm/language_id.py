@@ -28,19 +28,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from cumulo.llm.common import materialise
+
 UND = "und"
 BITS = 15
 PENALTY = 6.0
 OVERLAP = 3.0
 ROUNDS = 40
+MAX_LANGS = 500  # at most 64 MB of model
 
 
 def _letters() -> np.ndarray:
-    table = np.zeros(0x110000, bool)
-    for c in range(0x32000):  # letters end well below
-        if not 0xD800 <= c < 0xE000 and chr(c).isalpha():
-            table[c] = True
-    return table
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
 _LETTER = None
@@ -63,8 +62,11 @@ def trigrams(text: str, bits: int = BITS) -> np.ndarray:
     return (h >> np.uint32(32 - bits)).astype(np.int64)
 
 
-def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", bits: int = BITS) -> dict[str, np.ndarray]:
-    """Trigram probabilities per language from all labelled rows (NULL labels and texts are left out)."""
+def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", bits: int = BITS,
+          max_langs: int = MAX_LANGS) -> dict[str, np.ndarray]:
+    """Trigram probabilities per language from all labelled rows (NULL labels and texts are left out).
+
+    The model goes to every task, 2**bits numbers a language; more than `max_langs` languages raise."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
         for b in batches:
@@ -79,6 +81,10 @@ def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", b
 
     rows = labelled.select(F.col(f"`{lang_col}`").alias("l"), F.col(f"`{text_col}`").alias("t")).dropna()
     total = rows.mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    total = materialise(total, "trigrams")
+    n_langs = total.select("lang").distinct().count()
+    if n_langs > max_langs:
+        raise ValueError(f"{n_langs} languages; the model is bounded to {max_langs}")
     model: dict[str, np.ndarray] = {}
     for r in total.toLocalIterator():  # at most 2**bits rows for a language
         model.setdefault(r.lang, np.zeros(1 << bits))[r.gram] = r.n
@@ -184,3 +190,24 @@ def keep_identified(docs: DataFrame, model: dict[str, np.ndarray], min_share: fl
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def keep_and_label(docs: DataFrame, model: dict[str, np.ndarray], lang_col: str = "lang", text_col: str = "text",
+                   penalty: float = PENALTY, bits: int = BITS) -> DataFrame:
+    """`docs` without the texts that have no letter; a missing language is filled with the predicted one.
+
+    Labelled documents keep their label and are not inferred again; without a model nothing is filled."""
+    predict = _predictor(model, penalty, bits)
+    text_at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = predict()
+        for b in batches:
+            texts, langs = b.column(text_at).to_pylist(), b.column(lang_at).to_pylist()
+            keep = [bool(t) and len(trigrams(t, bits)) > 0 for t in texts]
+            filled = [one(t)[0] if k and lang is None and model else lang for t, lang, k in zip(texts, langs, keep)]
+            columns = list(b.columns)
+            columns[lang_at] = pa.array(filled, b.column(lang_at).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=b.schema).filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
