@@ -1,9 +1,11 @@
 """Word hashes of whole texts as numpy arrays, without a Python object per word.
 
-A word's hash is the sum of one random 64-bit number for each pair of a byte and its place in the word
-(a table for the first places, a mixing function beyond), mixed with the length. No structure of a
-word, such as its being the complement of another one, carries over to the sum; of n different words two
-share a hash with a probability of about n * n / 2**65.
+The hash of a word of at most `SHORT` bytes is the difference of two prefix sums of a polynomial over the
+bytes, shifted back to position 0 (the base is odd, so it has an inverse modulo 2**64). Long words that
+alternate in a regular way would get equal polynomials (a Thue-Morse word of 1,024 letters and its complement);
+a longer word's hash is the sum of one mixed number for each byte and its place, in which no such structure
+is left. Both are mixed with the length. Of n different words two share a hash with a probability of about
+n * n / 2**65.
 """
 
 from __future__ import annotations
@@ -17,9 +19,8 @@ _BREAK = re.compile(rb"[\x20\x09-\x0D]")
 _IS_BREAK = np.zeros(256, bool)
 _IS_BREAK[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
-_ODD = np.uint64(_BASE)
-_NEAR = 64  # places of a word whose numbers are in the table
-_CELLS = np.random.default_rng(20240501).integers(0, 2**64, 256 * _NEAR, dtype=np.uint64)
+_TABLE = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+SHORT = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -29,20 +30,47 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of the bytes in each non-empty span (ascending, not overlapping); equal bytes have equal hashes wherever they stand."""
-    n = (end - start).astype(np.int64)
-    if not len(n):
-        return np.zeros(0, np.uint64)
+def powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo 2**64, by doubling."""
+    out = np.ones(max(n, 1), np.uint64)
+    done, step = 1, base & (2**64 - 1)
+    while done < n:
+        take = min(done, n - done)
+        out[done:done + take] = out[:take] * np.uint64(step)
+        done, step = done + take, step * step & (2**64 - 1)
+    return out
+
+
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS.get("up", ())) < n:
+        size = max(n, 1 << 16)
+        _POWERS["up"] = powers(_BASE, size)
+        _POWERS["down"] = powers(pow(_BASE, -1, 2**64), size)
+    return _POWERS["up"], _POWERS["down"]
+
+
+def _long_hashes(raw: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sum over the bytes of a span of a mixed number for byte and place."""
     first = np.cumsum(n) - n
-    place = np.arange(first[-1] + n[-1], dtype=np.int64) - np.repeat(first, n)
-    whole = end[-1] - start[0] == len(place)
-    byte = (raw[start[0]:end[-1]] if whole else raw[place + np.repeat(start, n)]).astype(np.int64)
-    value = _CELLS[(byte << 6) + np.minimum(place, _NEAR - 1)]
-    if n.max() > _NEAR:
-        far = np.flatnonzero(place >= _NEAR)
-        value[far] = mix(_CELLS[byte[far] << 6] + place[far].astype(np.uint64) * _ODD)
-    return mix(np.add.reduceat(value, first) + n.astype(np.uint64) * _ODD)
+    place = np.arange(first[-1] + n[-1]) - np.repeat(first, n)
+    value = mix(_TABLE[raw[place + np.repeat(start, n)]] + place.astype(np.uint64) * np.uint64(_BASE))
+    return np.add.reduceat(value, first)
+
+
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes in each non-empty span; equal bytes have equal hashes wherever they stand."""
+    up, down = _power_tables(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_TABLE[raw] * up[:len(raw)], out=sums[1:])
+    n = end - start
+    out = (sums[end] - sums[start]) * down[start]
+    long = np.flatnonzero(n > SHORT)
+    if len(long):
+        out[long] = _long_hashes(raw, start[long], n[long])
+    return mix(out + n.astype(np.uint64))
 
 
 def _slice_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
