@@ -232,6 +232,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32, copy=False)))
             yield pa.RecordBatch.from_arrays([b.column("id"), ids], ["id", "ids"])
+        cache.forget()  # workers live on: what one task has learned is not kept through the stages that follow
 
     kind = docs.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, ids array<int>").select(F.col("id").alias(id_col), "ids")

@@ -15,6 +15,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: Rows of an Arrow batch sent to a Python worker (whole texts, so far fewer than Spark's default).
 ARROW_ROWS = "1000"
+#: Bytes of an Arrow batch, where the rows are long.
+ARROW_BYTES = "16m"
 
 
 def ascii_lower(text: Column) -> Column:
@@ -34,6 +36,8 @@ def package_root() -> str:
 def prepare(spark: SparkSession) -> None:
     """Worker settings for whole-text batches. Python workers must find this package: on a
     cluster it is installed or sent along (--py-files); where the same path exists, this is enough."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     env = spark.sparkContext.environment

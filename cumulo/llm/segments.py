@@ -48,9 +48,9 @@ class SegmentTable:
     def __init__(self, compute: Callable[[list[str]], list], dtype: str | None, limit: int = 1_000_000,
                  room: int = 64 << 20):
         self.compute, self.dtype, self.limit, self.room = compute, dtype, limit, room
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.mask = (1 << 12) - 1
         self.keys = np.zeros(self.mask + 1, np.uint64)  # 0: free
         self.slot = np.zeros(self.mask + 1, np.int32)
@@ -181,7 +181,7 @@ class SegmentTable:
             size += len(part[-1])
             if size >= PART or i == len(texts) - 1:
                 if self.n > self.limit or self.room_taken() > self.room:
-                    self._forget()
+                    self.forget()
                 c, f = self._part(part)
                 counts.append(c)
                 flat.append(f)
