@@ -99,13 +99,15 @@ def engagement_kpi(events: DataFrame, user: str, day: str) -> DataFrame:
 def profit_kpi(lineitem: DataFrame, group: Sequence[str]) -> DataFrame:
     """revenue = price x (1 - discount), summed exactly in cents x percent.
 
-    A product is split into its millions and the rest, both summed as 64-bit integers, so no decimal is
-    made per row; the sums stay in range for 9e12 rows of a group (prices up to 9e10)."""
+    Cents are split into millions and the rest, both multiplied and summed as 64-bit integers, so no decimal
+    is made per row; the sums stay in range for 9e10 rows of a group with the rest alone and, for prices up to a
+    million, 9e14 rows with the millions; beyond it they raise an error, they do not wrap."""
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     pct = F.round(F.col("l_discount") * 100).cast("bigint")
-    g = lineitem.withColumn("_p", cents * (F.lit(100) - pct)).groupBy(*group).agg(
+    g = lineitem.withColumns({"_cents": cents, "_pct": F.lit(100) - pct}).groupBy(*group).agg(
         F.count(F.lit(1)).alias("num_items"),
-        F.sum(F.expr("_p div 1000000")).alias("_high"), F.sum(F.col("_p") % 1000000).alias("_low"),
+        F.sum(F.expr("_cents div 1000000") * F.col("_pct")).alias("_high"),
+        F.sum(F.col("_cents") % 1000000 * F.col("_pct")).alias("_low"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("units"))
     whole = F.col("_high").cast("decimal(38,0)") * F.lit(1000000).cast("decimal(7,0)") + F.col("_low").cast("decimal(38,0)")
     rev = whole.cast("double") / 10000.0
