@@ -31,6 +31,7 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     from cumulo.operators.analytics import dedup
+    from cumulo.operators.joins import heavy_hitter_join
     from cumulo.operators.ordered import ordinal_running, sessionize
     from cumulo.plans import adapters as A
     from cumulo.session import build_session
@@ -46,6 +47,11 @@ def main() -> None:
     hot = hot.select("event_id", "user_id", "host", "event_time").checkpoint(eager=True)
     n = hot.count()
     w = Window.partitionBy("user_id").orderBy("event_time", "event_id")
+    # all events of the hot user inside one hour of one day
+    hour = hot.withColumn("event_time", F.when(F.col("user_id") == 0, F.lit("2024-01-05 12:00:00").cast("timestamp_ntz")
+                          + F.make_dt_interval(secs=F.pmod("event_id", F.lit(3600)).cast("decimal(18,6)"))).otherwise(F.col("event_time")))
+    hour = hour.checkpoint(eager=True)
+    users = hot.select("user_id").distinct().withColumn("name", F.concat(F.lit("u"), "user_id")).checkpoint(eager=True)
     variants = {
         "position: row_number window": lambda: hot.withColumn("idx", F.row_number().over(w)),
         "position: ordinal_running": lambda: ordinal_running(hot, ["user_id"], ["event_time", "event_id"]),
@@ -54,6 +60,13 @@ def main() -> None:
         "first row per user: dedup": lambda: dedup(hot, ["user_id"], ["event_time", "event_id"]),
         "sessions: session_window (batch)": lambda: sessions(hot, "event_time", ["user_id"], "5 minutes"),
         "sessions: sessionize": lambda: sessionize(hot, ["user_id"], "event_time", 300, order=["event_id"]),
+        "hot hour, position: ordinal_running, one slice": lambda: ordinal_running(hour, ["user_id"], ["event_time", "event_id"]),
+        "hot hour, position: ordinal_running, limit 1000": lambda: ordinal_running(
+            hour, ["user_id"], ["event_time", "event_id"], limit=1000),
+        "hot hour, sessions: sessionize, limit 1000": lambda: sessionize(
+            hour, ["user_id"], "event_time", 300, order=["event_id"], limit=1000),
+        "join with users: shuffled": lambda: hot.hint("shuffle_hash").join(users.hint("shuffle_hash"), "user_id"),
+        "join with users: heavy_hitter_join": lambda: heavy_hitter_join(hot, users, ["user_id"]),
     }
     for name, build in variants.items():
         spark.sparkContext.setJobDescription(name)
@@ -88,9 +101,11 @@ def main() -> None:
           "task's shuffle records read in the variant's largest stage, and that task's share of all rows. "
           "Produced by `tools/skew_report.py`.\n")
     print("A window (or batch session window) partitioned by user sends the hot user's third of the rows "
-          "to one task. The range-sliced helpers split it into about a third of the slices; the local "
+          "to one task. The sliced helpers cut it into slices; the local "
           "windows then hash (slice, user) over the shuffle partitions, so the busiest task holds a few "
-          "slices (balls into bins), a share that shrinks as the shuffle widens. Keeping the first row per "
+          "slices (balls into bins), a share that shrinks as the shuffle widens. With all of the hot user's events in "
+          "one hour the first cut leaves one slice (33,000 rows are below the default limit of a million); with a "
+          "limit of 1,000 rows it is cut again at places of a histogram. Keeping the first row per "
           "user is partial either way: Spark plans `row_number() ... = 1` with a map-side window group "
           "limit (which `dedup` uses).\n")
     print("| variant | busiest task records | tasks in stage | share of rows |")
