@@ -31,6 +31,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from cumulo.llm.common import tidy
 from cumulo.llm.segments import SegmentTable
 
 
@@ -221,38 +222,56 @@ def _tokens(path: str) -> TokenBytes:
     return _TOKENS[path]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, ids (array of int)."""
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _replay(path, pattern)
+def _encoding(path: str, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, t) to (id, ids)."""
+    cache = _replay(path, pattern)
+    try:
         for b in batches:
             counts, flat = cache.encode(b.column("t").to_pylist())
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32, copy=False)))
             yield pa.RecordBatch.from_arrays([b.column("id"), ids], ["id", "ids"])
+    finally:
         cache.forget()  # workers live on: what one task has learned is not kept through the stages that follow
 
-    kind = docs.schema[id_col].dataType.simpleString()
+
+def _decoding(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, ids) to (id, ids, decoded)."""
+    tokens = _tokens(path)
+    for b in batches:
+        ids = b.column("ids")
+        counts = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = ids.flatten()
+        if flat.null_count:
+            raise KeyError("NULL token id")
+        raw = tokens.join(flat.to_numpy(zero_copy_only=False).astype(np.int64), counts)
+        yield pa.RecordBatch.from_arrays([b.column("id"), ids, pa.array(raw, pa.binary())], ["id", "ids", "decoded"])
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
+    return rows, docs.schema[id_col].dataType.simpleString()
+
+
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, ids (array of int)."""
+    rows, kind = _texts(docs, id_col, text_col)
+    run = tidy(lambda batches: _encoding(path, pattern, batches))
     return rows.mapInArrow(run, f"id {kind}, ids array<int>").select(F.col("id").alias(id_col), "ids")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """id, ids, decoded (binary): the bytes that the ids stand for."""
     rows = encoded.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{ids_col}`").alias("ids"))
+    kind = encoded.schema[id_col].dataType.simpleString()
+    run = tidy(lambda batches: _decoding(path, batches))
+    return rows.mapInArrow(run, f"id {kind}, ids array<int>, decoded binary").select(
+        F.col("id").alias(id_col), "ids", "decoded")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _tokens(path)
-        for b in batches:
-            ids = b.column("ids")
-            counts = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = ids.flatten()
-            if flat.null_count:
-                raise KeyError("NULL token id")
-            raw = tokens.join(flat.to_numpy(zero_copy_only=False).astype(np.int64), counts)
-            yield pa.RecordBatch.from_arrays([b.column("id"), ids, pa.array(raw, pa.binary())], ["id", "ids", "decoded"])
 
-    kind = encoded.schema[id_col].dataType.simpleString()
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, ids, decoded: `decode` of `encode`, one after the other in the same worker."""
+    rows, kind = _texts(docs, id_col, text_col)
+    run = tidy(lambda batches: _decoding(path, _encoding(path, pattern, batches)))
     return rows.mapInArrow(run, f"id {kind}, ids array<int>, decoded binary").select(
         F.col("id").alias(id_col), "ids", "decoded")

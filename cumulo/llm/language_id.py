@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cumulo.llm.common import materialise
+from cumulo.llm.common import materialise, tidy
 
 UND = "und"
 BITS = 15
@@ -80,7 +80,7 @@ def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", b
                                               pa.array(n[at], pa.int64())], ["lang", "gram", "n"])
 
     rows = labelled.select(F.col(f"`{lang_col}`").alias("l"), F.col(f"`{text_col}`").alias("t")).dropna()
-    total = rows.mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    total = rows.mapInArrow(tidy(count), "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     total = materialise(total, "trigrams")
     n_langs = total.select("lang").distinct().count()
     if n_langs > max_langs:
@@ -146,7 +146,7 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_i
                 pa.array([g[2] for g in got], pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))],
                 ["id", "lang_pred", "score", "languages"])
 
-    out = rows.mapInArrow(run, f"id {kind}, lang_pred string, score double, "
+    out = rows.mapInArrow(tidy(run), f"id {kind}, lang_pred string, score double, "
                                "languages array<struct<lang:string,share:double>>")
     return out.select(F.col("id").alias(id_col), "lang_pred", "score", "languages")
 
@@ -189,7 +189,7 @@ def keep_identified(docs: DataFrame, model: dict[str, np.ndarray], min_share: fl
                 keep = [bool(x) and x[0]["share"] >= min_share for x in (one(t)[2] for t in texts)]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def keep_and_label(docs: DataFrame, model: dict[str, np.ndarray], lang_col: str = "lang", text_col: str = "text",
@@ -210,4 +210,4 @@ def keep_and_label(docs: DataFrame, model: dict[str, np.ndarray], lang_col: str
             columns[lang_at] = pa.array(filled, b.column(lang_at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=b.schema).filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cumulo.llm.common import materialise
+from cumulo.llm.common import materialise, tidy
 from cumulo.llm.components import components
 from cumulo.llm.word_arrays import shingle_set
 
@@ -103,7 +103,7 @@ def fingerprint(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFram
                                               pa.array(bands, pa.list_(pa.int64()))], ["id", "n_shingles", "node", "bands"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t"))
-    return rows.mapInArrow(run, "id long, n_shingles long, node long, bands array<long>")
+    return rows.mapInArrow(tidy(run), "id long, n_shingles long, node long, bands array<long>")
 
 
 def shared_bands(prints: DataFrame) -> DataFrame:
@@ -133,7 +133,7 @@ def candidate_texts(docs: DataFrame, prints: DataFrame, nodes: DataFrame, k: int
             yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(text, pa.string()),
                                               pa.array(sig, pa.binary())], ["node", "text", "sig"])
 
-    return rows.select("node", "t").mapInArrow(run, "node long, text string, sig binary").dropDuplicates(["node"])
+    return rows.select("node", "t").mapInArrow(tidy(run), "node long, text string, sig binary").dropDuplicates(["node"])
 
 
 def posterior_survivors(pairs: DataFrame, sigs: DataFrame, threshold: float, miss: float) -> DataFrame:
@@ -153,7 +153,7 @@ def posterior_survivors(pairs: DataFrame, sigs: DataFrame, threshold: float, mis
 
     wide = pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a") \
         .join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
-    return wide.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, equal long")
+    return wide.select("a", "b", "sa", "sb").mapInArrow(tidy(run), "a long, b long, equal long")
 
 
 def verified_links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -171,7 +171,7 @@ def verified_links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) ->
 
     wide = pairs.select("a", "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a") \
         .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-    return wide.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return wide.select("a", "b", "ta", "tb").mapInArrow(tidy(run), "a long, b long")
 
 
 def open_members(bands: DataFrame, comp: DataFrame) -> DataFrame:
@@ -281,7 +281,7 @@ def links_of_blocks(pairs: DataFrame, blocks: DataFrame, k: int, percent: int, m
     for s in "ab":
         wide = wide.join(blocks.select(F.col("block").alias(s), F.col("nodes").alias(f"n{s}"), F.col("comps").alias(f"c{s}"),
                                        F.col("sigs").alias(f"s{s}"), F.col("texts").alias(f"t{s}")), s)
-    return wide.repartition("a", "b").mapInArrow(run, "a long, b long")
+    return wide.repartition("a", "b").mapInArrow(tidy(run), "a long, b long")
 
 
 def link_classes(docs: DataFrame, prints: DataFrame, k: int, percent: int, miss: float, id_col: str,

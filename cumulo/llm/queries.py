@@ -116,7 +116,7 @@ def op5_bpe_codec(spark, sf_dir):
 
 def bpe_codec(docs: DataFrame) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    both = bpe_replay.decode(bpe_replay.encode(docs, ranks, pattern), ranks, pattern)
+    both = bpe_replay.encode_and_decode(docs, ranks, pattern)
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
