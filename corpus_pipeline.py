@@ -14,7 +14,8 @@ from cumulo.sources.tables import load
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter and fills missing languages with the predicted one. The model is learned
+    """Rejects documents that are in no language of the corpus (no letter, or hardly a trigram the languages explain),
+    so that no later stage works on them, and fills missing languages with the predicted one. The model is learned
     from the labelled documents of the input; documents in several languages stay, whatever the largest share."""
     prepare(spark)
     return language_id.keep_and_label(docs, language_id.learn(docs))

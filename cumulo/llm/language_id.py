@@ -36,6 +36,8 @@ PENALTY = 6.0
 OVERLAP = 3.0
 ROUNDS = 40
 MAX_LANGS = 500  # at most 64 MB of model
+MIN_KNOWN = 0.2
+MIN_GRAMS = 100
 
 
 def _letters() -> np.ndarray:
@@ -130,6 +132,16 @@ def infer(grams: np.ndarray, logp: np.ndarray, p: np.ndarray, penalty: float) ->
     return chosen, shares, posterior
 
 
+def known_share(grams: np.ndarray, p: np.ndarray) -> float:
+    """Share of a document that the learned languages explain better than chance does: mixture shares over all
+    languages and a background in which every trigram is equally likely."""
+    n = np.bincount(grams, minlength=p.shape[0])
+    at = np.flatnonzero(n)
+    own = np.column_stack((p[at], np.full(len(at), 1 / p.shape[0])))
+    shares, _ = _fit(own, n[at].astype(np.float64), np.full(own.shape[1], 1 / own.shape[1]))
+    return float(1 - shares[-1])
+
+
 def identify(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text",
              penalty: float = PENALTY, bits: int = BITS) -> DataFrame:
     """One row per document: id, lang_pred, score, languages (array of lang, share; largest first)."""
@@ -193,18 +205,28 @@ def keep_identified(docs: DataFrame, model: dict[str, np.ndarray], min_share: fl
 
 
 def keep_and_label(docs: DataFrame, model: dict[str, np.ndarray], lang_col: str = "lang", text_col: str = "text",
-                   penalty: float = PENALTY, bits: int = BITS) -> DataFrame:
-    """`docs` without the texts that have no letter; a missing language is filled with the predicted one.
-
-    Labelled documents keep their label and are not inferred again; without a model nothing is filled."""
+                   penalty: float = PENALTY, bits: int = BITS, min_known: float = MIN_KNOWN,
+                   min_grams: int = MIN_GRAMS) -> DataFrame:
+    """`docs` without the texts that are in no language; a missing language is filled with the predicted one.
+
+    Rejected are texts without a letter and texts of which the learned languages explain less than `min_known`
+    (`known_share`: unknown scripts, encoded data, keyboard noise), labelled or not. A text of fewer than `min_grams`
+    trigrams shows too little to be rejected for that, and without a model there is nothing to hold texts against:
+    those with a letter stay and nothing is filled. Labels that are there are kept."""
     predict = _predictor(model, penalty, bits)
     text_at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = predict()
+        p = np.stack([model[x] for x in sorted(model)], axis=1) if model else None
+
+        def stays(text: str | None) -> bool:
+            grams = trigrams(text, bits) if text else ()
+            return len(grams) > 0 and (p is None or len(grams) < min_grams or known_share(grams, p) >= min_known)
+
         for b in batches:
             texts, langs = b.column(text_at).to_pylist(), b.column(lang_at).to_pylist()
-            keep = [bool(t) and len(trigrams(t, bits)) > 0 for t in texts]
+            keep = [stays(t) for t in texts]
             filled = [one(t)[0] if k and lang is None and model else lang for t, lang, k in zip(texts, langs, keep)]
             columns = list(b.columns)
             columns[lang_at] = pa.array(filled, b.column(lang_at).type)
