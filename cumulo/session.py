@@ -21,6 +21,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    # rows of one task: its sort buffers and hash maps hold many times the compressed bytes it reads
+    "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
