@@ -52,6 +52,16 @@ IN_BUCKETS = {"spark.sql.requireAllClusterKeysForCoPartition": "false",
               "spark.sql.bucketing.coalesceBucketsInJoin.maxBucketRatio": "16"}
 
 
+def bucket_number(*frames: DataFrame, least: int = 16, rows: int = 250_000) -> int:
+    """Buckets for tables that are joined in their buckets: the least power of two, `least` or more, that leaves the
+    largest table about `rows` rows a bucket. Counted: for projections of Parquet tables from the footers alone."""
+    wanted = max((df.count() for df in frames), default=0) / rows
+    n = least
+    while n < wanted and n < 65_536:  # Spark allows 100,000 buckets
+        n *= 2
+    return n
+
+
 def bucketed(df: DataFrame, name: str, buckets: int, keys: Sequence[str]) -> DataFrame:
     """`df` as a bucketed table of this run, one sorted file for each bucket, read back."""
     table, path = scratch_table(df.sparkSession, name)

@@ -90,9 +90,12 @@ def q_snapshot_all_days(spark, sf):
   player_total_kills, player_total_deaths, medal_count FROM facts""")
 def q_bucketed_tables_join(spark, sf):
     """The three inputs written as tables bucketed by the match, medals summed and both joins made in
-    the buckets, without an exchange, though one join has the player as a second key."""
-    details, found, medals = (L.bucketed(df, "cumulo_k1", 16, ["match_id"]) for df in (
-        A.match_details(spark, sf), A.matches(spark, sf), A.medals_matches_players(spark, sf)))
+    the buckets, without an exchange, though one join has the player as a second key. The number of buckets follows
+    the rows: a bucket is one task."""
+    matches, medals = A.matches(spark, sf), A.medals_matches_players(spark, sf)
+    n = L.bucket_number(matches, medals)  # details has no more rows than medals
+    details, found, medals = (L.bucketed(df, "cumulo_k1", n, ["match_id"]) for df in (
+        A.match_details(spark, sf), matches, medals))
     return L.joined_in_buckets(spark, lambda: L.match_facts(details, found, medals).select(
         "match_id", "player_gamertag", "mapid", "playlist_id", "player_total_kills", "player_total_deaths",
         "medal_count"), "bucketed-facts")
@@ -101,9 +104,11 @@ def q_bucketed_tables_join(spark, sf):
 @query("bucketed_unlike_join", with_(MATCHES) + """SELECT match_id, player_gamertag, player_total_kills, mapid, playlist_id
 FROM details JOIN matches USING (match_id)""")
 def q_bucketed_unlike_join(spark, sf):
-    """Tables of 16 and of 8 buckets joined without an exchange: the 16 are read as 8."""
-    details = L.bucketed(A.match_details(spark, sf), "cumulo_k1_16", 16, ["match_id"])
-    found = L.bucketed(A.matches(spark, sf), "cumulo_k1_8", 8, ["match_id"])
+    """Tables of 16 and of 8 buckets (more on larger inputs) joined without an exchange: the 16 are read as 8."""
+    matches = A.matches(spark, sf)
+    n = L.bucket_number(matches, A.medals_matches_players(spark, sf))  # details has no more rows than medals
+    details = L.bucketed(A.match_details(spark, sf), "cumulo_k1_wide", n, ["match_id"])
+    found = L.bucketed(matches, "cumulo_k1_half", n // 2, ["match_id"])
     return L.joined_in_buckets(spark, lambda: details.join(found, "match_id").select(
         "match_id", "player_gamertag", "player_total_kills", "mapid", "playlist_id"), "unlike-buckets")
 

@@ -32,3 +32,10 @@ def test_no_exchange(spark, tables, adaptive):
 
 def test_one_file_for_each_bucket(tables):
     assert len(tables["details"].inputFiles()) <= 16
+
+
+def test_buckets_follow_the_rows(spark):
+    few, many = spark.range(10), spark.range(1000)
+    assert L.bucket_number(few, rows=10) == L.bucket_number(rows=10) == 16
+    assert L.bucket_number(few, many, rows=10) == 128 and L.bucket_number(many, least=8, rows=100) == 16
+    assert L.bucket_number(A.matches(spark, SF_SMALL), A.medals_matches_players(spark, SF_SMALL)) == 16
