@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cumulo.operators.joins import heavy_hitter_join
+from cumulo.sources.scratch import stored
+
 LG_K = 14  # HyperLogLog registers (log 2): relative standard error 1.04 / sqrt(2**14) = 0.8 %
 KLL_K = 800  # KLL: rank error below 0.4 % of the rows at 99 % confidence, per sketch and for any merge
 
@@ -70,10 +73,16 @@ def merged_quantiles(sketches: DataFrame, keys: Sequence[str | Column], at: dict
         F.kll_sketch_get_quantile_double("_s", F.lit(q)).alias(name) for name, q in at.items()])
 
 
-def rank_share(df: DataFrame, keys: Sequence[str], value: Column, estimates: DataFrame, estimate: str) -> DataFrame:
-    """keys, below, upto: exact shares of the values below and not above the estimate (its true ranks)."""
-    known = df.withColumn("_value", value.cast("double")).where("_value IS NOT NULL")
-    both = known.join(estimates.select(*keys, F.col(estimate).alias("_e")), list(keys))
+def rank_share(df: DataFrame, keys: Sequence[str], value: Column, estimates: DataFrame, estimate: str,
+               broadcast_rows: int = 100_000) -> DataFrame:
+    """keys, below, upto: exact shares of the values below and not above the estimate (its true ranks).
+
+    The values are not shuffled by group, of which there may be few: the estimates go to them by broadcast, if
+    they are few (`broadcast_rows`, counted), else only the values of light groups are dealt by key."""
+    known = df.withColumn("_value", value.cast("double")).where("_value IS NOT NULL").select(*keys, "_value")
+    held = stored(estimates.select(*keys, F.col(estimate).alias("_e")), "estimates")
+    both = known.join(F.broadcast(held), list(keys)) if held.count() <= broadcast_rows else \
+        heavy_hitter_join(known, held, keys)
     return both.groupBy(*keys).agg(
         F.avg(F.when(F.col("_value") < F.col("_e"), 1.0).otherwise(0.0)).alias("below"),
         F.avg(F.when(F.col("_value") <= F.col("_e"), 1.0).otherwise(0.0)).alias("upto"))

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cumulo.operators import sketches as S
+from cumulo.sources.io import plan_text
+from cumulo.sources.scratch import stored
 
 DAY = dt.date(2024, 1, 1)
 
@@ -59,3 +61,12 @@ def test_quantile_ranks(events, k, bound):
             assert r.below <= q + bound and r.upto >= q - bound
     n = {r.host: r.n for r in est.collect()}
     assert n == {r.host: r.n for r in events.where("value IS NOT NULL").groupBy("host").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def test_ranks_of_few_groups_are_not_dealt_by_group(events):
+    est = stored(S.merged_quantiles(S.daily_quantiles(events, ["host"], F.col("value"), "day"), ["host"], {"q50": 0.5}), "est")
+    by = lambda **x: S.rank_share(events, ["host"], F.col("value"), est, "q50", **x)
+    plan = plan_text(by(), "simple")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    rows = [sorted(map(tuple, df.collect())) for df in (by(), by(broadcast_rows=0))]
+    assert rows[0] == rows[1] and len(rows[0]) == 2
