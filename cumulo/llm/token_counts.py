@@ -25,7 +25,7 @@ import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from cumulo.llm.segments import SegmentTable
+from cumulo.llm.segments import SegmentTable, check_special
 
 NEVER = np.int32(2**31 - 1)
 
@@ -58,6 +58,7 @@ class MergeTable:
         if any(max(born.get(int(a), -1), born.get(int(b), -1)) >= r for r, (a, b) in enumerate(zip(left, right))):
             raise ValueError("merges are not in the order in which their parts are made")
         specials = [t["content"] for t in spec.get("added_tokens", [])]
+        check_special(specials)
         self.special = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True)))) \
             if specials else None
         self.pattern = regex.compile(pattern)

@@ -18,7 +18,7 @@ keys of a small group share a pilot number, chosen so that all keys fall on diff
 slot a 32-bit fingerprint of its key, so a key that was never written is refused (but for 1 in 2^32).
 `read` looks keys up bucket by bucket and then reads each shard's slices by seeking.
 
-Encoding calls the library on segments of the texts at which its pre-tokeniser always breaks
+Encoding calls the library, many at a time in one string, on segments of the texts at which its pre-tokeniser always breaks
 (see segments.py), each distinct one once while it is remembered; the ids are those of the whole text.
 
 Defined cases: NULL and empty texts are a lone end id; a NULL key is written but not indexed
@@ -39,9 +39,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from cumulo.llm.segments import SegmentTable
+from cumulo.llm.common import tidy
+from cumulo.llm.segments import SegmentTable, check_special
 
 BUCKET, GROUP, MAGIC = 4096, 4, 0x6D756C756375
+SIDE = 1 << 20  # ids read at once where records lie side by side, besides the last one
 RECORDS = "key long, start long, n_tokens long, ids binary"
 _SHARD = re.compile(r"part-(\d+)")
 
@@ -49,30 +51,58 @@ _SHARD = re.compile(r"part-(\d+)")
 # -- encoding -----------------------------------------------------------------------------------
 
 class LibraryEncoder:
-    """Ids of segments by the tokenizers library, as bytes of `dtype`."""
+    """Ids of segments (as `segments.cuts` makes them) by the tokenizers library."""
 
     def __init__(self, path: str, dtype: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         from tokenizers import Tokenizer
         self.tok, self.dtype = Tokenizer.from_file(path), dtype
-        # segments are strung together by a special string, which the library cuts out before anything else
-        specials = [(t.content, i) for i, t in self.tok.get_added_tokens_decoder().items()
+        added = self.tok.get_added_tokens_decoder()
+        check_special([t.content for t in added.values()])
+        # a special string parts segments: the library cuts it out before anything else
+        specials = [(t.content, i) for i, t in added.items()
                     if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
-        self.mark, self.mark_id = specials[0] if specials else (None, None)
-
-    def segment_ids(self, segments: list[str], at_once: int = 512) -> list[bytes]:
-        if self.mark is None or any(self.mark in s for s in segments):
-            return [np.array(self.tok.encode(s, add_special_tokens=False).ids, self.dtype).tobytes() for s in segments]
-        out: list[bytes] = []
+        self.mark, self.mark_id = specials[0] if specials else ("", -1)
+        # bytes that each token stands for: a byte-level vocabulary has a character for each byte
+        vocabulary = self.tok.get_vocab()
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.width[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        for i, t in added.items():
+            self.width[i] = len(t.content.encode("utf-8"))
+
+    def _strung(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """All ids and their counts, with the segments encoded as one string. One that begins with a break follows one
+        that ends with a visible character as it would in a text; the special mark goes before the others. The tokens' bytes tell
+        which are whose; None if a token reaches over an edge."""
+        apart = np.array([i for i, (a, b) in enumerate(zip(segments, segments[1:]), 1) if not (
+            b[0] in " \n" and (a[-1].isalnum() or "!" <= a[-1] <= "~"))], np.int64)
+        if len(apart) and not self.mark:
+            return None
+        pieces = list(segments)
+        for i in apart.tolist():
+            pieces[i] = self.mark + pieces[i]
+        ids = np.array(self.tok.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, np.int64)
+        edge = np.cumsum([len(p.encode("utf-8")) for p in pieces])
+        total = np.cumsum(self.width[ids])
+        last = np.searchsorted(total, edge)
+        marks = last[apart - 1] + 1
+        if last[-1] != len(ids) - 1 or (total[last] != edge).any() or (ids[marks] != self.mark_id).any():
+            return None
+        counts = np.diff(last, prepend=-1)
+        counts[apart] -= 1
+        return np.delete(ids, marks).astype(self.dtype), counts
+
+    def segment_ids(self, segments: list[str], at_once: int = 512) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all non-empty segments one after the other, how many of each)."""
+        flat, counts = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
         for i in range(0, len(segments), at_once):
-            string = self.mark.join(segments[i:i + at_once])
-            ids = np.array(self.tok.encode_batch_fast([string], add_special_tokens=False)[0].ids, np.int64)
-            cuts = np.flatnonzero(ids == self.mark_id)
-            raw, width = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
-            begins = [0, *((cuts + 1) * width).tolist()]
-            ends = [*(cuts * width).tolist(), len(raw)]
-            out.extend(raw[a:b] for a, b in zip(begins, ends))
-        return out
+            got = self._strung(segments[i:i + at_once])
+            if got is None:
+                single = [self.tok.encode(s, add_special_tokens=False).ids for s in segments[i:i + at_once]]
+                got = np.array([i for s in single for i in s], self.dtype), np.array([len(s) for s in single], np.int64)
+            flat.append(got[0])
+            counts.append(got[1])
+        return np.concatenate(flat), np.concatenate(counts)
 
 
 _ENCODERS: dict[tuple, SegmentTable] = {}  # bounded: the vocabulary and the table's own limits
@@ -118,7 +148,7 @@ def write(docs: DataFrame, out: str, path: str, end_id: int = 2, id_col: str = "
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
     ordered = rows.repartitionByRange("id").sortWithinPartitions(F.asc_nulls_first("id"), "t")
-    (ordered.mapInArrow(shard, "ids binary").select(F.col("ids").cast("string").alias("value"))
+    (ordered.mapInArrow(tidy(shard), "ids binary").select(F.col("ids").cast("string").alias("value"))
      .write.option("lineSep", close.decode("ascii")).option("compression", "none").text(f"{out}/shards"))
     return f"{out}/shards"
 
@@ -146,6 +176,7 @@ def scan(spark: SparkSession, shards: str, dtype: str) -> DataFrame:
     width = np.dtype(dtype).itemsize
 
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _ENCODERS.clear()  # workers live on: their tables are of no use after the writing stage
         for files in batches:
             for name in files["path"]:
                 with _open(name) as f:
@@ -158,7 +189,7 @@ def scan(spark: SparkSession, shards: str, dtype: str) -> DataFrame:
 
     # lists files only: the content column is not asked for
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(shards).select("path")
-    found = files.mapInPandas(entries, "shard int, file string, key long, null boolean, row long, at long, n_tokens long")
+    found = files.mapInPandas(tidy(entries), "shard int, file string, key long, null boolean, row long, at long, n_tokens long")
     found = found.withColumn("key", F.when(~F.col("null"), F.col("key"))).drop("null")
     totals = found.groupBy("shard").agg(F.sum("n_tokens").alias("t"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
@@ -286,23 +317,35 @@ def read(records: DataFrame, dtype: str) -> DataFrame:
     def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         name, f = None, None
         for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                if r.file != name:
+            key, file, at, n, start, records, row = (pdf[c].to_numpy(object if c == "file" else None) for c in (
+                "key", "file", "at", "n_tokens", "start", "records", "row"))
+            end, several, out = at + n, records > 1, []
+            apart = np.ones(len(pdf), bool)
+            apart[1:] = (file[1:] != file[:-1]) | (at[1:] != end[:-1]) | several[1:] | several[:-1]
+            runs = np.flatnonzero(apart).tolist()
+            for a, b in zip(runs, [*runs[1:], len(pdf)]):
+                if file[a] != name:
                     if f is not None:
                         f.close()
-                    name, f = r.file, _open(r.file)
-                lens = [r.n_tokens] if r.records == 1 else \
-                    _directory(f, width)[2][r.row:r.row + r.records].tolist()
-                at = r.at
-                for n in lens:
-                    out.append((r.key, r.start + at - r.at, n, f.read_at(n * width, at * width)))
-                    at += n
+                    name, f = file[a], _open(file[a])
+                if several[a]:
+                    lens = _directory(f, width)[2][row[a]:row[a] + records[a]]
+                    keys, edge = [key[a]] * len(lens), np.concatenate(([0], np.cumsum(lens)))
+                else:
+                    lens, keys, edge = n[a:b], key[a:b], np.append(at[a:b], end[b - 1]) - at[a]
+                # records that follow each other are read at once, as far as they begin in the same block of ids
+                turns = [0, *(np.flatnonzero(np.diff(edge[:-1] // SIDE)) + 1).tolist(), len(lens)]
+                for i, j in zip(turns, turns[1:]):
+                    side = edge[i:j + 1] - edge[i]
+                    raw = f.read_at(int(side[-1]) * width, int(at[a] + edge[i]) * width)
+                    ends = (side * width).tolist()
+                    out.extend(zip(keys[i:j], (start[a] + edge[i:j]).tolist(), lens[i:j].tolist(),
+                                   (raw[x:y] for x, y in zip(ends, ends[1:]))))
             yield pd.DataFrame(out, columns=["key", "start", "n_tokens", "ids"])
         if f is not None:
             f.close()
 
-    return by_file.mapInPandas(slices, RECORDS)
+    return by_file.mapInPandas(tidy(slices), RECORDS)
 
 
 def read_unkeyed(entries: DataFrame, dtype: str) -> DataFrame:

@@ -62,6 +62,51 @@ def test_segments_cut_only_after_visible_characters():
     assert parts == ["é", " a\u00a0 b\u3000 c中", " d😀", " e\x1c f", "\n g", "  h\u2009 i"]
 
 
+def test_segments_cut_before_marks_after_letters():
+    """"word," and "word." share the word: the same tokens from fewer segments."""
+    raw = np.frombuffer("So, é, x1. it's a_b|c> (yes) no\u00a0. end.".encode(), np.uint8)
+    parts = [bytes(x).decode() for x in np.split(raw, cuts(raw, np.array([0]))[1:])]
+    assert parts == ["So", ",", " é,", " x1.", " it's", " a_b|c>", " (yes", ")", " no\u00a0.", " end", "."]
+    with pytest.raises(ValueError):
+        segments.check_special(["<|endoftext|>", "<end.of>"])
+
+
+def test_frequent_segments_outlive_a_full_table():
+    """Beyond its limits the table forgets what it met in one part only: frequent segments are encoded once."""
+    asked = []
+
+    def compute(parts):
+        asked.extend(parts)
+        return [s.encode() for s in parts]
+    often = "".join(f" often{i}" for i in range(100))
+    texts = [often + "".join(f" once{i}x{j}" for j in range(500)) for i in range(20)]
+    table = SegmentTable(compute, "u1", limit=1000)
+    for t in texts:
+        counts, flat = table.encode([t])
+        assert flat.tobytes().decode() == t and counts.tolist() == [len(t)]
+        assert table.n <= 2000
+    assert sum(s.startswith(" often") for s in asked) == 100
+    small = SegmentTable(compute, "u1", limit=200)  # frequent ones alone take over a third: all are forgotten
+    assert small.encode(texts)[1].tobytes().decode() == "".join(texts)
+
+
+def test_segments_in_one_string():
+    """The library gets many segments as one string; the special string goes only where they would not part by themselves."""
+    encoder = token_files.LibraryEncoder(JSON, "<u2")
+    parts = ["Start", " and", ",", " so", "\non", " é", "  \t ", " x", "<|endoftext|>", " a<|endoftext|>b", "<|endo", " ftext|>", " 中", "!"]
+    asked = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            asked.extend(texts)
+            return LIBRARY.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+    encoder.tok = Counting()  # has no `encode`: nothing goes one by one
+    ids, counts = encoder.segment_ids(parts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [library_ids(s) for s in parts]
+    mark = "<|endoftext|>"
+    assert asked == [f"Start and{mark}, so\non é  \t {mark} x{mark}{mark} a{mark}b{mark}<|endo ftext|> 中{mark}!"]
+
+
 def test_runs_of_one_pair(merges, replay):
     texts = ["a" * n for n in (1, 2, 3, 4, 7, 64, 5000)] + ["ab" * 3000, "=" * 4097, " " * 300, "\n" * 99]
     assert merges.segment_counts(texts) == [len(library_ids(t)) for t in texts]
@@ -184,6 +229,20 @@ def test_token_files_on_tricky_rows(spark_llm, tricky, empty):
     assert token_files.lookup(asked, index).count() == 0
 
 
+def test_records_side_by_side_are_read_at_once(spark_llm, monkeypatch):
+    """Blocks of a few ids, repeated keys between single ones, keys that are not asked for."""
+    monkeypatch.setattr(token_files, "SIDE", 7)
+    rows = [(i, f"text {i} " + "and more " * (i % 5) + str(k)) for i in range(60) for k in range(1 + 2 * (i % 9 == 4))]
+    docs, out = spark_llm.createDataFrame(rows, "doc_id long, text string"), shared_path(spark_llm, "test-tokens")
+    entries = token_files.scan(spark_llm, token_files.write(docs, out, JSON), "<u2")
+    found = token_files.lookup(docs.where("doc_id % 10 != 3"), token_files.build_index(entries, out), "doc_id").toPandas()
+    starts = {(r.key, r.start): r.n_tokens for r in entries.collect()}
+    got = token_files.read(spark_llm.createDataFrame(found), "<u2").collect()
+    assert sorted((r.key, np.frombuffer(r.ids, "<u2").tolist()) for r in got) == sorted(
+        (i, [*library_ids(t), 2]) for i, t in rows if i % 10 != 3)
+    assert all(starts[r.key, r.start] == r.n_tokens == len(r.ids) // 2 for r in got)
+
+
 @pytest.mark.parametrize("n", [1, 2, 5, 4096, 10_000])
 def test_minimal_perfect_hash(n):
     h = np.random.default_rng(n).integers(0, 2**63, n, dtype=np.uint64)
