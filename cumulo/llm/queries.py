@@ -130,7 +130,8 @@ def op6_token_files(spark, sf_dir):
     docs = load(spark, sf_dir, "documents", ["doc_id", "text"])
     path = public_tokenizers.path("byte_bpe_50k.json")
     out, dtype = shared_path(spark, "token-files"), token_files.id_dtype(path)
-    entries = token_files.scan(spark, token_files.write(docs, out, path), dtype)
+    # the index and the rows without a key both come from the directories: they are read once
+    entries = materialise(token_files.scan(spark, token_files.write(docs, out, path), dtype), "token-entries")
     index = token_files.build_index(entries, out)
     back = token_files.read(token_files.lookup(docs, index, "doc_id"), dtype).unionByName(
         token_files.read_unkeyed(entries, dtype))
